@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wildtally.llm.bpe import op7_bpe_chunks
+from wildtally.llm.simhash import op9_simhash_pivots
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op7_bpe_chunks": op7_bpe_chunks,
+        "op9_simhash_pivots": op9_simhash_pivots,
     }
 
 
