@@ -7,15 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wildtally.llm.bpe import op7_bpe_chunks
+from wildtally.llm.decontam import OP5_SQL, op5_decontamination
 from wildtally.llm.simhash import op9_simhash_pivots
+from wildtally.llm.urlrules import OP6_SQL, op6_url_automaton
+from wildtally.llm.warc import OP4_SQL, op4_warc_index_first
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_warc_index_first": op4_warc_index_first,
+        "op5_decontamination": op5_decontamination,
+        "op6_url_automaton": op6_url_automaton,
         "op7_bpe_chunks": op7_bpe_chunks,
         "op9_simhash_pivots": op9_simhash_pivots,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_warc_index_first": OP4_SQL,
+        "op5_decontamination": OP5_SQL,
+        "op6_url_automaton": OP6_SQL,
+    }
