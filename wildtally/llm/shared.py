@@ -78,3 +78,10 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 def remainder(doc_id: str = "doc_id", by: int = 5) -> F.Column:
     """crc32 of the id as text, modulo `by` (null id: that of an empty text)."""
     return F.pmod(F.crc32(F.encode(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "utf-8")), F.lit(by))
+
+
+def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
+    """About `rows` rows (all if there are fewer), picked by a hash of `key`, so the same ones each time."""
+    total = df.count()
+    share = 1.0 if total <= rows else rows / total
+    return df.filter(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
