@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wildtally.llm.bpe import op7_bpe_chunks
 from wildtally.llm.decontam import OP5_SQL, op5_decontamination
+from wildtally.llm.lattice import op10_lattice_scores
+from wildtally.llm.pii import op3_pii_skip_chain
 from wildtally.llm.simhash import op9_simhash_pivots
 from wildtally.llm.urlrules import OP6_SQL, op6_url_automaton
 from wildtally.llm.warc import OP4_SQL, op4_warc_index_first
@@ -15,11 +17,13 @@ from wildtally.llm.warc import OP4_SQL, op4_warc_index_first
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_pii_skip_chain": op3_pii_skip_chain,
         "op4_warc_index_first": op4_warc_index_first,
         "op5_decontamination": op5_decontamination,
         "op6_url_automaton": op6_url_automaton,
         "op7_bpe_chunks": op7_bpe_chunks,
         "op9_simhash_pivots": op9_simhash_pivots,
+        "op10_lattice_scores": op10_lattice_scores,
     }
 
 
