@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wildtally.llm.bpe import op7_bpe_chunks
 from wildtally.llm.decontam import OP5_SQL, op5_decontamination
+from wildtally.llm.langid import op2_language_crf
 from wildtally.llm.lattice import op10_lattice_scores
 from wildtally.llm.pii import op3_pii_skip_chain
 from wildtally.llm.simhash import op9_simhash_pivots
@@ -17,6 +18,7 @@ from wildtally.llm.warc import OP4_SQL, op4_warc_index_first
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_crf": op2_language_crf,
         "op3_pii_skip_chain": op3_pii_skip_chain,
         "op4_warc_index_first": op4_warc_index_first,
         "op5_decontamination": op5_decontamination,
