@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wildtally.llm.bpe import op7_bpe_chunks
 from wildtally.llm.decontam import OP5_SQL, op5_decontamination
+from wildtally.llm.embeddings import op8_lattice_neighbours
 from wildtally.llm.langid import op2_language_crf
 from wildtally.llm.lattice import op10_lattice_scores
 from wildtally.llm.pii import op3_pii_skip_chain
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op6_url_automaton": op6_url_automaton,
         "op7_bpe_chunks": op7_bpe_chunks,
+        "op8_lattice_neighbours": op8_lattice_neighbours,
         "op9_simhash_pivots": op9_simhash_pivots,
         "op10_lattice_scores": op10_lattice_scores,
     }
