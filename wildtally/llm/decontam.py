@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from wildtally.llm.shared import cut, table
+from wildtally.llm.shared import cut, matching, table
 
 SKETCH = 8
 #: 16 bytes a row: at most 32 MB in each executor.
@@ -74,9 +74,9 @@ def contained(docs: DataFrame, items: DataFrame, size: int = 5, least: float = 0
 
 def without_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of `docs` that hold no item; all columns, repeated rows and rows without an id stay as they are."""
-    bad = contained(docs, items, size, least).select("doc_key").distinct()
     key = "_doc_key"
-    return docs.withColumn(key, F.xxhash64("doc_id", "text")).join(bad.withColumnRenamed("doc_key", key), key, "left_anti").drop(key)
+    bad = contained(docs, items, size, least).select(F.col("doc_key").alias(key))
+    return matching(docs.withColumn(key, F.xxhash64("doc_id", "text")), bad, "left_anti").select(docs.columns)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,3 +85,18 @@ def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     total = df.count()
     share = 1.0 if total <= rows else rows / total
     return df.filter(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+
+
+#: Keys that without() sends to every task; more are joined by a shuffle. At most about 100 MB in each executor.
+SENT_KEYS = 1_000_000
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> F.Column:
+    """128 bits that name a row by its id and text, whether or not ids are null or repeated."""
+    return F.struct(F.xxhash64(doc_id, text).alias("k1"), F.xxhash64(F.lit(1), text, doc_id).alias("k2"))
+
+
+def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """left_anti or left_semi join of `rows` with the distinct key columns of `keys`, which are counted first."""
+    keys = cut(keys.distinct())
+    return rows.join(F.broadcast(keys) if keys.count() <= SENT_KEYS else keys, keys.columns, how)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.llm.components import components
-from wildtally.llm.shared import as_bytes, cut, over_batches, table
+from wildtally.llm.shared import as_bytes, cut, matching, over_batches, row_key, table
 
 PIVOTS = np.random.default_rng(64).integers(0, 1 << 64, 16, np.uint64)
 #: Widths of the six blocks, from the lowest bit.
@@ -187,5 +187,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, id_col: str
     return own.join(classes, "fingerprint").select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, words: int = 5, bits: int = 4) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each group the row with the smallest doc_id stays.
+
+    All columns stay. Rows without an id come last, so they stay where no row of their group has one; of equal rows
+    one stays. Texts aren't shuffled, but for rows that are there more than once.
+    """
+    key = ["_k1", "_k2"]
+    named = docs.withColumn("_key", row_key()).withColumn("_k1", F.col("_key.k1")).withColumn("_k2", F.col("_key.k2")).drop("_key")
+    order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), "_k1", "_k2").alias("key")
+    found = cut(near_duplicates(named.select(order, "text"), words, bits, id_col="key"))
+    of = lambda df: df.select("key._k1", "key._k2")
+    rest = matching(named, of(found.filter("key <> component_id")), "left_anti")
+    repeated = cut(of(found.filter("key = component_id")).groupBy(*key).count().filter("count > 1").select(*key))
+    if repeated.isEmpty():
+        return rest.select(docs.columns)
+    once = matching(rest, repeated, "left_semi").dropDuplicates(key)
+    return matching(rest, repeated, "left_anti").unionByName(once).select(docs.columns)
+
+
 def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
