@@ -13,12 +13,14 @@ from wildtally.llm.langid import op2_language_crf
 from wildtally.llm.lattice import op10_lattice_scores
 from wildtally.llm.pii import op3_pii_skip_chain
 from wildtally.llm.simhash import op9_simhash_pivots
+from wildtally.llm.tokenfile import op1_mixed_context_tokens
 from wildtally.llm.urlrules import OP6_SQL, op6_url_automaton
 from wildtally.llm.warc import OP4_SQL, op4_warc_index_first
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixed_context_tokens": op1_mixed_context_tokens,
         "op2_language_crf": op2_language_crf,
         "op3_pii_skip_chain": op3_pii_skip_chain,
         "op4_warc_index_first": op4_warc_index_first,
