@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wildtally.storage import cut, fresh_path, remove, shared_folder, stored
+
+__all__ = ["as_bytes", "bounded_sample", "cut", "fresh_path", "matching", "over_batches", "remainder", "remove", "row_key", "shared_folder", "stored", "table"]
+
 #: Rows that a Python function sees at a time; texts can be long, so batches are cut to this.
 ROWS_AT_A_TIME = 256
 
@@ -19,43 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (local runs only) a temporary one."""
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='wildtally-')}"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder made by fresh_path, through the file system that holds it."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, held in the shared folder: a lost executor costs no recomputation of what came before."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """The rows written as a table in the shared folder, and its path."""
-    path = fresh_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
 def over_batches(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = ROWS_AT_A_TIME):
     """A mapInArrow function that hands `work` slices of at most `rows` rows."""
 
