@@ -1 +1,49 @@
+"""The session and near-duplicate operators over a stream of photos."""
 
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def stream_sessions(photos: DataFrame, gap_s: float, late: str = "1 hour") -> DataFrame:
+    """camera_id, start, end, n_photos of sessions, once the watermark has passed them.
+
+    Photos without a valid clock are filtered before the watermark; a gap of exactly `gap_s` joins, as in batch.
+    """
+    valid = photos.filter("timestamp_valid AND decode_ok").withColumn("_t", F.col("timestamp").cast("timestamp"))
+    found = valid.withWatermark("_t", late).groupBy("camera_id", F.session_window("_t", f"{int(gap_s)} seconds").alias("w"))
+    whole = found.agg(F.min("timestamp").alias("start"), F.max("timestamp").alias("end"), F.count("*").alias("n_photos"))
+    return whole.select("camera_id", "start", "end", "n_photos")
+
+
+def stream_near_duplicates(photos: DataFrame, max_bits: int = 6, window: int = 8, max_gap_s: float = 300.0) -> DataFrame:
+    """photo_id, camera_id, dup_group as photos come; state: each camera's last `window` photos. They must come in order."""
+    state = "ids array<string>, times array<double>, hashes array<string>, groups array<string>"
+
+    def work(key: tuple, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+        last = list(zip(*held.get, strict=True)) if held.exists else []
+        for batch in batches:
+            rows = []
+            for photo, moment, print_ in batch.sort_values(["timestamp", "photo_id"])[["photo_id", "timestamp", "dhash"]].itertuples(index=False):
+                if print_ is None:
+                    rows.append((photo, key[0], photo))
+                    continue
+                second, group = moment.timestamp(), photo
+                for _, t, h, g in reversed(last):
+                    if second - t > max_gap_s:
+                        break
+                    if (int(h, 16) ^ int(print_, 16)).bit_count() <= max_bits:
+                        group = g
+                        break
+                last = [*last, (photo, second, print_, group)][-window:]
+                rows.append((photo, key[0], group))
+            yield pd.DataFrame(rows, columns=["photo_id", "camera_id", "dup_group"])
+        if last:
+            held.update(tuple(list(c) for c in zip(*last, strict=True)))
+
+    rows = photos.select("photo_id", "camera_id", F.col("timestamp").cast("timestamp").alias("timestamp"), "dhash")
+    return rows.groupBy("camera_id").applyInPandasWithState(work, "photo_id string, camera_id string, dup_group string", state, "append", "NoTimeout")
