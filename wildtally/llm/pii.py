@@ -160,6 +160,14 @@ def graph(text: str, base: list[Span]) -> Graph:
     return Graph(spans, shapes, observed, chain, list(dict.fromkeys(skip)))
 
 
+def told(g: Graph) -> np.ndarray:
+    """Which tokens teach what they are: not those that only skip edges tie to a base span, which may well belong to it."""
+    tied = g.observed >= 0
+    for i, j in [*g.skip, *reversed(g.skip)]:
+        tied[i] = tied[j] = tied[i] or tied[j]
+    return ~tied | (g.observed >= 0)
+
+
 @dataclass(frozen=True)
 class Field:
     """Log potentials: of features (rows of `weights`), of labels met in a chain, of labels joined by a skip edge."""
@@ -244,10 +252,10 @@ def learn(docs: DataFrame, text_col: str = "text") -> Field:
             seen: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
                 g = graph(text or "", base_spans(text or ""))
-                label = np.maximum(g.observed, 0).tolist()
-                seen.update(f"u{y} {s}" for s, y in zip(g.shapes, label, strict=True))
-                seen.update(f"c{label[i]}{label[j]}" for i, j in g.chain)
-                seen.update(f"s{label[i]}{label[j]}" for i, j in g.skip)
+                label, use = np.maximum(g.observed, 0).tolist(), told(g)
+                seen.update(f"u{y} {s}" for s, y, u in zip(g.shapes, label, use, strict=True) if u)
+                seen.update(f"c{label[i]}{label[j]}" for i, j in g.chain if use[i] and use[j])
+                seen.update(f"s{label[i]}{label[j]}" for i, j in g.skip if use[i] and use[j])
             yield pa.record_batch([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["k", "n"])
 
     rows = bounded_sample(docs, SAMPLE_DOCS).select(text_col).mapInArrow(over_batches(work), "k string, n long")
