@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='wildtally-')}"
+        own = tempfile.mkdtemp(prefix="wildtally-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = f"file://{own}"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
