@@ -70,7 +70,7 @@ def plain_form(text: bytes) -> bytes:
 class ChunkEncoder:
     """Encodes UTF-8 texts as the tokenizers library does (no special tokens added, no truncation, no padding)."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000, max_chunk_bytes: int = 24 << 20) -> None:
+    def __init__(self, path: str, max_words: int = 400_000, max_chunk_bytes: int = 12 << 20) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -199,7 +199,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(over_batches(work), f"`{id_col}` {kind}, token_ids array<int>, decoded string")
+    return docs.select(id_col, text_col).mapInArrow(over_batches(work, 64), f"`{id_col}` {kind}, token_ids array<int>, decoded string")
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:

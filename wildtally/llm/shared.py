@@ -17,6 +17,8 @@ ROWS_AT_A_TIME = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Texts are long, so Spark hands Python at most 1,000 rows at a time from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
