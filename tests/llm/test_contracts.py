@@ -109,6 +109,28 @@ def test_simhash_groups(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_wider_search_with_a_second_fingerprint(spark):
+    rnd = random.Random(8)
+    base = ["".join(rnd.choices("abcdefgh", k=4)) for _ in range(300)]
+    texts = [" ".join(base)] + [" ".join("odd" if k in chosen else w for k, w in enumerate(base)) for chosen in ([10, 90, 200], [5, 6, 7, 100])] + [" ".join("".join(rnd.choices("abcdefgh", k=4)) for _ in range(300))]
+    docs = documents(spark, texts)
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, 2, 7, second_words=5, second_bits=14).collect()}
+    one, two = ([plain_fingerprint(t, n) for t in texts] for n in (2, 5))
+    close = lambda i, j: (one[i] ^ one[j]).bit_count() <= 7 and (two[i] ^ two[j]).bit_count() <= 14
+    assert [found[k] == 0 for k in (1, 2, 3)] == [close(0, 1) or (close(0, 2) and close(1, 2)), close(0, 2) or (close(0, 1) and close(1, 2)), False]
+    assert simhash.one_of_each(docs).count() == len(set(found.values()))
+
+
+def test_cells_meet():
+    rng = np.random.default_rng(6)
+    for bits, (widths, shared) in simhash.PARTITIONS.items():
+        assert sum(widths) == 64 and len(widths) - bits >= shared
+        edges = np.cumsum((0, *widths))
+        for _ in range(200):
+            flipped = rng.choice(64, bits, replace=False)
+            assert sum(not ((flipped >= a) & (flipped < b)).any() for a, b in zip(edges, edges[1:], strict=False)) >= shared
+
+
 def test_pivot_forest_connects_large_cells():
     rng = np.random.default_rng(1)
     centre = rng.integers(0, 1 << 63, dtype=np.uint64)

@@ -6,9 +6,14 @@ the limit is discarded unseen; survivors are verified by counting differing bits
 
 Distances to references alone can't deal out work: on 64 random bits a coordinate spreads by 4, so two of three pairs
 agree in it within 4. Tasks therefore get their fingerprints by an exact partition first: two fingerprints that differ
-in at most 4 of 64 bits agree in at least 2 of 6 blocks, so each goes to one cell for each two blocks, and linked ones
-meet in a cell. A cell of more than `cell_rows` members is dealt out again as pairs of parts, so no task holds more
-than two parts and none is left out. A cell returns a forest of its links, never all pairs.
+in at most 4 of 64 bits agree in at least 2 of 6 blocks (in at most 7 bits, in 3 of 10), so each goes to one cell for
+each two (three) blocks, and linked ones meet in a cell. A cell of more than `cell_rows` members is dealt out again as
+pairs of parts, so no task holds more than two parts and none is left out. A cell returns a forest of its links, never
+all pairs.
+
+one_of_each() looks for a similarity of 0.8 or more on five-word shingles. An edit changes five such shingles but only
+two of two words, so candidates are fingerprints over two words within 7 bits, and a second fingerprint, over five
+words, must then lie within 14 bits (a similarity of 0.8 gives 10 on average).
 """
 
 from __future__ import annotations
@@ -26,8 +31,8 @@ from wildtally.llm.components import components
 from wildtally.llm.shared import as_bytes, cut, matching, over_batches, row_key, table
 
 PIVOTS = np.random.default_rng(64).integers(0, 1 << 64, 16, np.uint64)
-#: Widths of the six blocks, from the lowest bit.
-BLOCKS = (11, 11, 11, 11, 10, 10)
+#: Most differing bits: widths of the blocks from the lowest bit, and how many of them two linked fingerprints share.
+PARTITIONS = {4: ((11, 11, 11, 11, 10, 10), 2), 7: ((7, 7, 7, 7, 6, 6, 6, 6, 6, 6), 3)}
 SEED = 42
 
 
@@ -51,31 +56,38 @@ def fingerprint(data: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(one * 2 > len(first)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fingerprint (its 64 bits as a long) of every whole text; null and blank texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text", second_words: int = 0) -> DataFrame:
+    """id, fingerprint, second (64 bits as a long each; 0 without second_words) of every whole text; blank ones have 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.array([fingerprint(x, words) for x in as_bytes(batch.column(1))], np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(bits.view(np.int64))], names=[id_col, "fingerprint"])
+            texts = as_bytes(batch.column(1))
+            both = [np.array([fingerprint(x, n) if n else 0 for x in texts], np.uint64).view(np.int64) for n in (words, second_words)]
+            yield pa.record_batch([batch.column(0), *map(pa.array, both)], names=[id_col, "fingerprint", "second"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(over_batches(work), f"`{id_col}` {kind}, fingerprint long")
+    return docs.select(id_col, text_col).mapInArrow(over_batches(work), f"`{id_col}` {kind}, fingerprint long, second long")
 
 
-def cells(column: str) -> F.Column:
-    """The 15 cells of a fingerprint: which two blocks, and their bits."""
-    shift = np.cumsum((0, *BLOCKS)).tolist()
-    block = [F.shiftrightunsigned(column, shift[i]).bitwiseAND(F.lit((1 << w) - 1)) for i, w in enumerate(BLOCKS)]
-    pairs = combinations(range(len(BLOCKS)), 2)
-    return F.array(*[F.shiftleft(F.shiftleft(F.lit(k).cast("long"), 11).bitwiseOR(block[a]), 11).bitwiseOR(block[b]) for k, (a, b) in enumerate(pairs)])
+def cells(column: str, bits: int = 4) -> F.Column:
+    """The cells of a fingerprint: which blocks, and their bits. Two within `bits` of each other share a cell."""
+    widths, shared = PARTITIONS[min(b for b in PARTITIONS if b >= bits)]
+    shift = np.cumsum((0, *widths)).tolist()
+    block = [F.shiftrightunsigned(column, shift[i]).bitwiseAND(F.lit((1 << w) - 1)) for i, w in enumerate(widths)]
+    found = []
+    for k, chosen in enumerate(combinations(range(len(widths)), shared)):
+        cell = F.lit(k).cast("long")
+        for i in chosen:
+            cell = F.shiftleft(cell, max(widths)).bitwiseOR(block[i])
+        found.append(cell)
+    return F.array(*found)
 
 
 class DistanceTable:
-    """Fingerprints with their distances to all pivots."""
+    """Fingerprints with their distances to all pivots, and second fingerprints that linked ones agree in likewise."""
 
-    def __init__(self, prints: np.ndarray) -> None:
-        self.prints = prints
+    def __init__(self, prints: np.ndarray, second: np.ndarray | None = None, second_bits: int = 64) -> None:
+        self.prints, self.second, self.second_bits = prints, second, second_bits
         self.far = np.bitwise_count(prints[:, None] ^ PIVOTS[None, :]).astype(np.int8)
 
     def linked(self, i: np.ndarray, j: np.ndarray, bits: int) -> np.ndarray:
@@ -83,6 +95,9 @@ class DistanceTable:
         keep = np.abs(self.far[i] - self.far[j]).max(axis=1, initial=0) <= bits
         at = np.flatnonzero(keep)
         keep[at] = np.bitwise_count(self.prints[i[at]] ^ self.prints[j[at]]) <= bits
+        if self.second is not None:
+            at = np.flatnonzero(keep)
+            keep[at] = np.bitwise_count(self.second[i[at]] ^ self.second[j[at]]) <= self.second_bits
         return keep
 
 
@@ -113,11 +128,11 @@ def forest(table_: DistanceTable, bits: int, rows: int = 512) -> Iterator[tuple[
     yield at, label[at]
 
 
-def cell_links(group: np.ndarray, prints: np.ndarray, bits: int, small: int = 32) -> tuple[np.ndarray, np.ndarray]:
+def cell_links(group: np.ndarray, prints: np.ndarray, bits: int, small: int = 32, second: np.ndarray | None = None, second_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Links (positions) within the groups of rows; rows of a group lie together."""
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.r_[start, len(group)])
-    table_, found = DistanceTable(prints), []
+    table_, found = DistanceTable(prints, second, second_bits), []
     largest, of = np.repeat(size, size), np.repeat(np.arange(len(start)), size)
     for step in range(1, min(small, int(size.max(initial=1)))):
         i = np.flatnonzero((of[:-step] == of[step:]) & (largest[:-step] <= small))
@@ -125,35 +140,39 @@ def cell_links(group: np.ndarray, prints: np.ndarray, bits: int, small: int = 32
         found.append((i[hit], i[hit] + step))
     for k in np.flatnonzero(size > small):
         a, b = start[k], start[k] + size[k]
-        found += [(x + a, y + a) for x, y in forest(DistanceTable(prints[a:b]), bits)]
+        found += [(x + a, y + a) for x, y in forest(DistanceTable(prints[a:b], None if second is None else second[a:b], second_bits), bits)]
     return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in zip(*found, strict=True)) or (np.empty(0, np.int64),) * 2
 
 
-def links(prints: DataFrame, bits: int = 4, cell_rows: int = 4096) -> DataFrame:
-    """a, b: links between distinct fingerprints that connect all those within `bits` (up to 4) differing bits."""
-    if not 0 <= bits <= 4:
-        raise ValueError("the partition is exact for up to 4 bits")
-    member = prints.select("fingerprint", F.explode(cells("fingerprint")).alias("cell"))
-    full = prints.select(F.explode(cells("fingerprint")).alias("cell")).groupBy("cell").count().filter("count > 1")
+def links(prints: DataFrame, bits: int = 4, second_bits: int = 64, cell_rows: int = 1024) -> DataFrame:
+    """a, b: links that connect all nodes whose fingerprints lie within `bits` (up to 7), and second ones too.
+
+    `prints` has a row for each node (long, distinct): node, fingerprint, second.
+    """
+    if not 0 <= bits <= max(PARTITIONS):
+        raise ValueError(f"the partitions are exact for up to {max(PARTITIONS)} bits")
+    of = cells("fingerprint", bits)
+    member = prints.select("node", "fingerprint", "second", F.explode(of).alias("cell"))
+    full = prints.select(F.explode(of).alias("cell")).groupBy("cell").count().filter("count > 1")
     parts = F.ceil(F.col("count") / cell_rows).cast("int")
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # part p meets every part: it goes to the tasks (p, q) and (q, p) with the smaller first
     meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.least(q, F.col("own")) * F.col("parts") + F.greatest(q, F.col("own")))
     dealt = (
         member.join(full, "cell").withColumn("parts", parts).withColumn("own", own)
-        .select("cell", "fingerprint", F.explode(meets).alias("task"))
+        .select("cell", "node", "fingerprint", "second", F.explode(meets).alias("task"))
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the rows of a group not known to be complete
 
         def emit(rows: np.ndarray) -> pa.RecordBatch:
-            x = rows[:, 2].view(np.uint64)
-            i, j = cell_links(rows[:, 0] * 31 + rows[:, 1], x, bits)
+            x, y = (np.ascontiguousarray(rows[:, k]).view(np.uint64) for k in (3, 4))
+            i, j = cell_links(rows[:, 0] * 31 + rows[:, 1], x, bits, second=y if second_bits < 64 else None, second_bits=second_bits)
             return pa.record_batch([pa.array(rows[i, 2]), pa.array(rows[j, 2])], names=["a", "b"])
 
         for batch in batches:
-            rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)], axis=1)
+            rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(5)], axis=1)
             if not len(rows):
                 continue
             change = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
@@ -168,27 +187,30 @@ def links(prints: DataFrame, bits: int = 4, cell_rows: int = 4096) -> DataFrame:
         if held:
             yield emit(np.concatenate(held))
 
-    sorted_ = dealt.select("cell", "task", "fingerprint").repartition("cell", "task").sortWithinPartitions("cell", "task")
+    sorted_ = dealt.select("cell", "task", "node", "fingerprint", "second").repartition("cell", "task").sortWithinPartitions("cell", "task")
     return sorted_.mapInArrow(work, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, id_col: str = "doc_id", text_col: str = "text", second_words: int = 0, second_bits: int = 64) -> DataFrame:
     """id, fingerprint (16 lower-case hex digits), component_id (smallest id reachable by links, itself included).
 
-    One row for each row of `docs`; other columns are left out. A null or blank text has fingerprint zero and links
-    like any other. A null id keeps its row and is never a component_id, unless all ids of its component are null.
+    With `second_words`, linked documents also lie within `second_bits` by a fingerprint over that many words. One row
+    for each row of `docs`; other columns are left out. A null or blank text has fingerprint zero and links like any
+    other. A null id keeps its row and is never a component_id, unless all ids of its component are null.
     """
-    own = cut(fingerprints(docs, words, id_col, text_col))
-    least = cut(own.groupBy("fingerprint").agg(F.min(id_col).alias("first")))
-    joined = components(links(least.select("fingerprint"), bits)).withColumnRenamed("node", "fingerprint")
-    labelled = cut(least.join(joined, "fingerprint", "left").select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("root")))
+    own = cut(fingerprints(docs, words, id_col, text_col, second_words))
+    node = F.xxhash64("fingerprint", "second") if second_words else F.col("fingerprint")
+    own = own.withColumn("node", node)
+    least = cut(own.groupBy("node", "fingerprint", "second").agg(F.min(id_col).alias("first")))
+    joined = components(links(least.select("node", "fingerprint", "second"), bits, second_bits))
+    labelled = cut(least.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root")))
     roots = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = labelled.join(roots, "root").select("fingerprint", "component_id")
-    return own.join(classes, "fingerprint").select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = labelled.join(roots, "root").select("node", "component_id")
+    return own.join(classes, "node").select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 5, bits: int = 4) -> DataFrame:
-    """The rows of `docs` without near-duplicates: of each group the row with the smallest doc_id stays.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` without near-duplicates (see above): of each group the row with the smallest doc_id stays.
 
     All columns stay. Rows without an id come last, so they stay where no row of their group has one; of equal rows
     one stays. Texts aren't shuffled, but for rows that are there more than once.
@@ -196,7 +218,7 @@ def one_of_each(docs: DataFrame, words: int = 5, bits: int = 4) -> DataFrame:
     key = ["_k1", "_k2"]
     named = docs.withColumn("_key", row_key()).withColumn("_k1", F.col("_key.k1")).withColumn("_k2", F.col("_key.k2")).drop("_key")
     order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), "_k1", "_k2").alias("key")
-    found = cut(near_duplicates(named.select(order, "text"), words, bits, id_col="key"))
+    found = cut(near_duplicates(named.select(order, "text"), 2, 7, "key", second_words=5, second_bits=14))
     of = lambda df: df.select("key._k1", "key._k2")
     rest = matching(named, of(found.filter("key <> component_id")), "left_anti")
     repeated = cut(of(found.filter("key = component_id")).groupBy(*key).count().filter("count > 1").select(*key))
