@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wildtally.llm import bpe, components, decontam, embeddings, langid, lattice, pii, queries, rangecoder, simhash, tokenfile, urlrules, warc
+from wildtally.llm import bpe, components, decontam, embeddings, langid, lattice, pii, queries, rangecoder, resemblance, simhash, tokenfile, urlrules, warc
 from wildtally.llm.shared import fresh_path, stored
 
 tokenizers_files = pytest.importorskip("public_tokenizers")
@@ -121,6 +121,40 @@ def test_wider_search_with_a_second_fingerprint(spark):
     assert simhash.one_of_each(docs).count() == len(set(found.values()))
 
 
+def plain_similarity(a, b):
+    sets = []
+    for t in (a, b):
+        w = t.lower().split()
+        sets.append({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or {" ".join(w)})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def edited_copies():
+    """Pairs of texts: a passage appended, words changed here and there, half of them over and half under 0.8."""
+    rnd = random.Random(12)
+    words = lambda n: ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(n)]
+    pairs = []
+    for k in range(60):
+        base, other = words(200), words(90)
+        copy = base + other[: 10 + k] if k % 2 else [w if i % (200 // (2 + k // 5)) else "odd" for i, w in enumerate(base)]
+        pairs.append((" ".join(base), " ".join(copy)))
+    return pairs
+
+
+def component_ids(spark, texts, **sizes):
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    return {r.key: r.component_id for r in resemblance.groups(docs, **sizes).collect()}
+
+
+def test_near_duplicates_of_the_pipeline_are_all_found(spark):
+    pairs = edited_copies()
+    found = component_ids(spark, [t for p in pairs for t in p])
+    close = [k for k, p in enumerate(pairs) if plain_similarity(*p) >= 0.8]
+    assert 20 < len(close) < 50 and all(found[2 * k] == found[2 * k + 1] for k in close)
+    docs = documents(spark, [t for k in close for t in pairs[k]])
+    assert simhash.one_of_each(docs).count() == len(close)
+
+
 def test_cells_meet():
     rng = np.random.default_rng(6)
     for bits, (widths, shared) in simhash.PARTITIONS.items():

@@ -11,9 +11,8 @@ each two (three) blocks, and linked ones meet in a cell. A cell of more than `ce
 pairs of parts, so no task holds more than two parts and none is left out. A cell returns a forest of its links, never
 all pairs.
 
-one_of_each() looks for a similarity of 0.8 or more on five-word shingles. An edit changes five such shingles but only
-two of two words, so candidates are fingerprints over two words within 7 bits, and a second fingerprint, over five
-words, must then lie within 14 bits (a similarity of 0.8 gives 10 on average).
+one_of_each() needs a similarity of 0.8 or more on five-word shingles, which is about 10 of 64 bits and too wide for an
+exact partition, so it takes its groups from wildtally.llm.resemblance, which verifies that similarity itself.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.llm.components import components
+from wildtally.llm.resemblance import groups
 from wildtally.llm.shared import as_bytes, cut, matching, over_batches, row_key, table
 
 PIVOTS = np.random.default_rng(64).integers(0, 1 << 64, 16, np.uint64)
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, id_col: str
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` without near-duplicates (see above): of each group the row with the smallest doc_id stays.
+    """The rows of `docs` without near-duplicates (five-word shingle sets of Jaccard similarity 0.8 or more): of each group the row with the smallest doc_id stays.
 
     All columns stay. Rows without an id come last, so they stay where no row of their group has one; of equal rows
     one stays. Texts aren't shuffled, but for rows that are there more than once.
@@ -218,7 +218,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     key = ["_k1", "_k2"]
     named = docs.withColumn("_key", row_key()).withColumn("_k1", F.col("_key.k1")).withColumn("_k2", F.col("_key.k2")).drop("_key")
     order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), "_k1", "_k2").alias("key")
-    found = cut(near_duplicates(named.select(order, "text"), 2, 7, "key", second_words=5, second_bits=14))
+    found = cut(groups(named.select(order, "text")))
     of = lambda df: df.select("key._k1", "key._k2")
     rest = matching(named, of(found.filter("key <> component_id")), "left_anti")
     repeated = cut(of(found.filter("key = component_id")).groupBy(*key).count().filter("count > 1").select(*key))
