@@ -155,6 +155,23 @@ def test_near_duplicates_of_the_pipeline_are_all_found(spark):
     assert simhash.one_of_each(docs).count() == len(close)
 
 
+@pytest.mark.parametrize("sizes", [{}, {"cell_rows": 2, "group_shingles": 1000}])
+def test_near_duplicates_of_the_pipeline_are_verified(spark, sizes):
+    texts = [t for p in edited_copies() for t in p]
+    base = texts[0].split()
+    texts += [" ".join(base[: 200 - k] + [f"x{k}y{j}" for j in range(k)]) for k in range(5, 60, 3)]  # a chain: each is near the next ones
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and plain_similarity(texts[i], texts[j]) >= 0.8:
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    found = component_ids(spark, [*texts, None, "", " A b", "a B"], **sizes)
+    n = len(texts)
+    assert [found[k] for k in range(n + 4)] == [*group, n, n, n + 2, n + 2]
+    assert sum(found[2 * k] != found[2 * k + 1] for k in range(60)) >= 20
+
+
 def test_cells_meet():
     rng = np.random.default_rng(6)
     for bits, (widths, shared) in simhash.PARTITIONS.items():
