@@ -252,6 +252,21 @@ def test_pii_base_and_added(spark):
     assert pii.learn(docs.limit(0)).weights.shape[1] == 5
 
 
+def test_pii_reaches_every_mention_of_a_document():
+    field = pii.Field({}, np.zeros((1, 5)), np.full((5, 5), -2.0) + np.eye(5) * 14, np.full((5, 5), -3.0) + np.eye(5) * 5.4)
+    said = [f"we say {'555-0123' if k % 2 else '5550123'} in words" for k in range(60)]
+    base, spans = pii.all_spans(" ".join([*said[:5], "call +1 (386) 555-0123 now", *said[5:]]), field)
+    assert len(base) == 1 and len(spans) == 61 and {s[0] for s in spans} == {"phone"}
+    n, p = 120, np.eye(5)[4]  # a chain seen at one end only, against its exact marginals
+    observed = np.full(n, -1)
+    observed[0] = 4
+    step = np.exp(field.chain) / np.exp(field.chain).sum(axis=1, keepdims=True)
+    found = field.marginals(pii.Graph([], ["a"] * n, observed, [(k, k + 1) for k in range(n - 1)], []))
+    for k in range(n):
+        assert np.allclose(found[k], p, atol=1e-3)
+        p = p @ step
+
+
 def test_language(spark):
     rnd = random.Random(5)
     vocabulary = {"aa": ["pako", "tiko", "moku", "kopa"], "bb": ["schreng", "wurst", "stroff", "gruntz"], "cc": ["quesie", "doñar", "miente", "llora"]}
