@@ -284,6 +284,18 @@ def test_language(spark):
     assert langid.keep_identified(docs, langid.learn(docs.limit(0))).count() == docs.count()
 
 
+def test_language_reads_whole_words(monkeypatch):
+    assert langid.bare("-" * 250 + "Hello" + "1" * 250) == "hello" and langid.bare("-" * 300) == langid.bare("") == "" and langid.bare("'x") == "x"
+    windows = [("aa", ["pakotiko", "mokukopa"] * 9), ("bb", ["schreng", "gruntzst"] * 9)] * 20
+    model = langid.train(windows)
+    assert [p[0] for p in model.predict(["-" * 250 + "Pako", "pako" * 12 + "schreng" * 90, "-" * 250])] == ["aa", "bb", "und"]
+    long = "pako" * 12 + "schreng" * 90
+    whole = model.predict([long])[0][2]
+    monkeypatch.setattr(langid, "PIECE", 7)
+    model.memo, model.rows = {}, None
+    assert np.allclose(model.predict([long])[0][2], whole) and sorted(f for p in langid.pieces(long, model.lexicon) for f in p) == sorted(langid.features(long, model.lexicon))
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(0)
     t, size = rng.normal(size=(3, 3)), np.array([1, 70, 0, 33, 32])

@@ -29,23 +29,38 @@ SAMPLE_DOCS, SAMPLE_WORDS = 1_000, 48
 #: Size of the hashed feature space, of the lexicon, of a worker's memo of words, and of a segment.
 BUCKETS, LEXICON, MEMO, SEGMENT = 1 << 16, 4_000, 200_000, 32
 NO_LANGUAGE = "und"
-_EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+#: Symbols of a word whose n-grams are held at a time.
+PIECE = 20_000
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 def bare(word: str) -> str:
     """A word in lower case without digits and punctuation around it; empty if it has no letter."""
-    return _EDGES.sub("", word[:200]).lower()
+    first = _LETTER.search(word)
+    if not first:
+        return ""
+    if _LETTER.match(word, len(word) - 1):
+        return word[first.start() :].lower()
+    return word[first.start() : len(word) - _LETTER.search(word[::-1]).start()].lower()
 
 
-def features(word: str, lexicon: frozenset[str]) -> list[int]:
-    """Buckets of a bare word's affixes, n-grams and lexicon entry."""
+def pieces(word: str, lexicon: frozenset[str]) -> Iterator[list[int]]:
+    """Buckets of a bare word's affixes, n-grams and lexicon entry, at most about twice PIECE at a time."""
     framed = f"^{word}$"
-    found = [framed[k : k + 2] for k in range(min(len(framed) - 1, 40))]
-    found += [framed[k : k + 3] for k in range(min(len(framed) - 2, 40))]
-    found += ["p" + word[:k] for k in (3, 4)] + ["s" + word[-k:] for k in (2, 3, 4)]
-    if word in lexicon:
-        found.append("=" + word)
-    return [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS for f in found]
+    for at in range(0, len(framed) - 1, PIECE):
+        top = at + PIECE
+        found = [framed[k : k + 2] for k in range(at, min(len(framed) - 1, top))]
+        found += [framed[k : k + 3] for k in range(at, min(len(framed) - 2, top))]
+        if not at:
+            found += ["p" + word[:k] for k in (3, 4)] + ["s" + word[-k:] for k in (2, 3, 4)]
+            if word in lexicon:
+                found.append("=" + word)
+        yield [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS for f in found]
+
+
+def features(word: str, lexicon: frozenset[str]) -> list[int]:
+    """All buckets of a bare word."""
+    return [f for piece in pieces(word, lexicon) for f in piece]
 
 
 @dataclass
@@ -66,11 +81,14 @@ class Field:
         at = len(self.memo)
         while at + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        todo = [(k, features(c, self.lexicon)) for k, c in enumerate(cores) if c]
+        todo = [(k, features(c, self.lexicon)) for k, c in enumerate(cores) if 0 < len(c) <= PIECE]
         if todo:
             flat = np.concatenate([np.array(f, np.int64) for _, f in todo])
             start = np.cumsum([0, *(len(f) for _, f in todo[:-1])])
             self.rows[at + np.array([k for k, _ in todo])] = np.add.reduceat(self.weights[flat], start, axis=0)
+        for k, c in enumerate(cores):
+            if len(c) > PIECE:
+                self.rows[at + k] = sum(self.weights[piece].sum(axis=0, dtype=np.float64) for piece in pieces(c, self.lexicon))
         self.memo.update((w, at + k if c else -1) for k, (w, c) in enumerate(zip(new, cores, strict=True)))
         known = self.memo.__getitem__
         return self.rows, np.fromiter((known(w) for t in texts for w in t), np.int64, sum(map(len, texts)))
