@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame
 
 from wildtally.operators import charts
 
-#: Rows shown of each table.
-SHOWN = 200
-
 
 def cell(value: object) -> str:
     if value is None:
@@ -26,7 +23,8 @@ def cell(value: object) -> str:
 
 
 def html_table(df: DataFrame) -> str:
-    rows = df.limit(SHOWN).collect()
+    """All rows of the table."""
+    rows = df.collect()
     head = "".join(f"<th>{escape(c.replace('_', ' '))}</th>" for c in df.columns)
     body = "".join("<tr>" + "".join(f"<td{' class=n' if isinstance(v, (int, float)) else ''}>{cell(v)}</td>" for v in r) + "</tr>" for r in rows)
     return f"<table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table>" if rows else "<p>None.</p>"
@@ -34,7 +32,7 @@ def html_table(df: DataFrame) -> str:
 
 def heat_rows(grid: DataFrame) -> str:
     """The hour grid as coloured cells."""
-    rows = grid.orderBy("species").limit(SHOWN).collect()
+    rows = grid.orderBy("species").collect()
     most = max((v for r in rows for v in r[1:]), default=0)
     shade = lambda v: charts.ramp_colour(v, most)
     line = lambda r: f"<tr><th>{escape(r[0])}</th>" + "".join(f'<td style="background:{shade(v)};color:{charts.text_on(shade(v))}">{v}</td>' for v in r[1:]) + "</tr>"
