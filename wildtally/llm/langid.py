@@ -5,57 +5,97 @@ affixes, character n-grams and, if it is in the lexicon of frequent words, of it
 neighbouring words. Forward-backward gives each word's label probabilities, exactly and over the whole text: segments
 of a text are reduced to transfer matrices side by side, the matrices are chained, and segments are filled in.
 
-The field is trained on a bounded sample: up to SAMPLE_DOCS labelled documents of each language, one window of
-SAMPLE_WORDS words of each, at a place drawn by hash. Windows of different documents are joined in pairs, so switching
-is seen in training. Only text is ever read to predict.
+The field is trained on the whole texts of a bounded sample: about SAMPLE_DOCS labelled documents of each language.
+Texts of different documents are joined in pairs, so switching is seen in training. Only text is ever read to predict.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.llm.shared import over_batches, remainder, table
 
-SAMPLE_DOCS, SAMPLE_WORDS = 1_000, 48
-#: Size of the hashed feature space, of the lexicon, of a worker's memo of words, and of a segment.
-BUCKETS, LEXICON, MEMO, SEGMENT = 1 << 16, 4_000, 200_000, 32
+#: Labelled documents of each language that the field is trained on, about.
+SAMPLE_DOCS = 250
+#: Size of the hashed feature space, of the lexicon, and of a worker's memo of words.
+BUCKETS, LEXICON, MEMO = 1 << 16, 4_000, 200_000
+#: Least and most words of a segment; between them the root of the longest text, which keeps the steps few.
+SEGMENT = (8, 256)
 NO_LANGUAGE = "und"
 #: Symbols of a word whose n-grams are held at a time.
 PIECE = 20_000
-_LETTER = re.compile(r"[^\W\d_]")
+#: Multiplier of the hash that places features in buckets.
+FACTOR = np.uint32(0x9E3779B1)
+
+
+def cores_of(words: pa.Array) -> pa.Array:
+    """Words in lower case without what stands before their first letter and after the last; empty without a letter."""
+    return pc.replace_substring_regex(pc.utf8_lower(words), r"^\PL+|\PL+$", "")
 
 
 def bare(word: str) -> str:
-    """A word in lower case without digits and punctuation around it; empty if it has no letter."""
-    first = _LETTER.search(word)
-    if not first:
-        return ""
-    if _LETTER.match(word, len(word) - 1):
-        return word[first.start() :].lower()
-    return word[first.start() : len(word) - _LETTER.search(word[::-1]).start()].lower()
+    return cores_of(pa.array([word], pa.large_string()))[0].as_py()
+
+
+def _buckets(tag: int, columns: Iterable[np.ndarray]) -> np.ndarray:
+    """Buckets of runs of code points, given as a column for each place."""
+    h = np.uint32(tag)
+    for c in columns:
+        h = (h ^ c) * FACTOR
+        h ^= h >> np.uint32(15)
+    return h >> np.uint32(32 - BUCKETS.bit_length() + 1)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _affixes(codes: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """Buckets of the first three and four symbols and the last two, three and four of the words at these places."""
+    for tag, long, back in ((4, 3, False), (5, 4, False), (6, 2, True), (7, 3, True), (8, 4, True)):
+        begin, end = (np.maximum(first, first + size - long), first + size) if back else (first, np.minimum(first + size, first + long))
+        yield _buckets(tag, (np.where(begin + k < end, codes[np.minimum(begin + k, len(codes) - 1)], 0).astype(np.uint32) for k in range(long)))
+
+
+def _whole(word: str) -> int:
+    return zlib.crc32(f"={word}".encode("utf-8", "replace")) % BUCKETS
+
+
+def table_of(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' affixes, character bigrams and trigrams and lexicon entries, and whose each is (an index of `words`, none empty)."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    codes = _codes("^" + "$^".join(words) + "$")
+    of = np.repeat(np.arange(len(words)), size + 2)
+    two, three = of[1:] == of[:-1], of[2:] == of[:-2]
+    listed = [k for k, w in enumerate(words) if w in lexicon]
+    found = [
+        (_buckets(2, (codes[:-1], codes[1:]))[two], of[:-1][two]), (_buckets(3, (codes[:-2], codes[1:-1], codes[2:]))[three], of[:-2][three]),
+        *((b, np.arange(len(words))) for b in _affixes(codes, np.cumsum(size + 2) - size - 1, size)),
+        (np.array([_whole(words[k]) for k in listed], np.uint32), np.array(listed, np.int64)),
+    ]
+    return np.concatenate([f[0] for f in found]).astype(np.int64), np.concatenate([f[1] for f in found])
 
 
 def pieces(word: str, lexicon: frozenset[str]) -> Iterator[list[int]]:
-    """Buckets of a bare word's affixes, n-grams and lexicon entry, at most about twice PIECE at a time."""
+    """Buckets of a word's affixes, n-grams and lexicon entry, at most about twice PIECE at a time."""
     framed = f"^{word}$"
     for at in range(0, len(framed) - 1, PIECE):
-        top = at + PIECE
-        found = [framed[k : k + 2] for k in range(at, min(len(framed) - 1, top))]
-        found += [framed[k : k + 3] for k in range(at, min(len(framed) - 2, top))]
+        codes = _codes(framed[at : at + PIECE + 2])
+        found = [_buckets(2, (codes[:-1], codes[1:]))[:PIECE], _buckets(3, (codes[:-2], codes[1:-1], codes[2:]))[:PIECE]]
         if not at:
-            found += ["p" + word[:k] for k in (3, 4)] + ["s" + word[-k:] for k in (2, 3, 4)]
+            ends = word if len(word) <= 8 else word[:4] + word[-4:]
+            found += _affixes(_codes(ends), np.array([0]), np.array([len(ends)]))
             if word in lexicon:
-                found.append("=" + word)
-        yield [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS for f in found]
+                found.append(np.array([_whole(word)]))
+        yield np.concatenate(found).tolist()
 
 
 def features(word: str, lexicon: frozenset[str]) -> list[int]:
@@ -72,125 +112,169 @@ class Field:
     memo: dict[str, int] = field(default_factory=dict)
     rows: np.ndarray | None = None
 
-    def emissions(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Log potentials of known words, and for each word of the texts its row (-1: no letter)."""
+    def potentials(self, words: list[str]) -> np.ndarray:
+        """For each distinct bare word its row in `rows` (potentials of the labels, the largest one); 0 for the empty word."""
         if self.rows is None or len(self.memo) > MEMO:
-            self.memo, self.rows = {}, np.zeros((1024, len(self.languages)), np.float32)
-        new = list(set().union(*texts) - self.memo.keys())
-        cores = [bare(w) for w in new]
-        at = len(self.memo)
+            self.memo, self.rows = {"": 0}, np.ones((1024, len(self.languages)), np.float32)
+        at, new = len(self.memo), [w for w in words if w not in self.memo]
         while at + len(new) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        todo = [(k, features(c, self.lexicon)) for k, c in enumerate(cores) if 0 < len(c) <= PIECE]
-        if todo:
-            flat = np.concatenate([np.array(f, np.int64) for _, f in todo])
-            start = np.cumsum([0, *(len(f) for _, f in todo[:-1])])
-            self.rows[at + np.array([k for k, _ in todo])] = np.add.reduceat(self.weights[flat], start, axis=0)
-        for k, c in enumerate(cores):
-            if len(c) > PIECE:
-                self.rows[at + k] = sum(self.weights[piece].sum(axis=0, dtype=np.float64) for piece in pieces(c, self.lexicon))
-        self.memo.update((w, at + k if c else -1) for k, (w, c) in enumerate(zip(new, cores, strict=True)))
-        known = self.memo.__getitem__
-        return self.rows, np.fromiter((known(w) for t in texts for w in t), np.int64, sum(map(len, texts)))
-
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, list[float]]]:
+            self.rows = np.concatenate([self.rows, np.ones_like(self.rows)])
+        score = np.zeros((len(new), len(self.languages)))
+        short = [k for k, w in enumerate(new) if len(w) <= PIECE]
+        if short:
+            bucket, of = table_of([new[k] for k in short], self.lexicon)
+            for label in range(len(self.languages)):
+                score[short, label] = np.bincount(of, self.weights[:, label][bucket], len(short))
+        for k, w in enumerate(new):
+            if len(w) > PIECE:
+                score[k] = sum(self.weights[piece].sum(axis=0, dtype=np.float64) for piece in pieces(w, self.lexicon))
+        self.rows[at : at + len(new)] = np.exp(score - score.max(axis=1, initial=-np.inf, keepdims=True)) + FLOOR
+        self.memo.update(zip(new, range(at, at + len(new)), strict=True))
+        return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+
+    def predict(self, texts: pa.Array | list[str | None]) -> list[tuple[str, float, list[float]]]:
         """Language, its mean probability over words with letters, and that of all languages, of each text."""
-        words = [(t or "").split() for t in texts]
-        rows, at = self.emissions(words)
-        of = np.repeat(np.arange(len(words)), [len(w) for w in words])[at >= 0]
-        at = at[at >= 0]
-        size = np.bincount(of, minlength=len(words))
-        share = np.zeros((len(words), len(self.languages)))
-        if len(at):
-            p = marginals(rows[at].astype(np.float64), size, self.transitions)
-            for k in range(len(self.languages)):
-                share[:, k] = np.bincount(of, p[:, k], len(words)) / np.maximum(size, 1)
-        best = share.argmax(axis=1) if self.languages else np.zeros(len(words), int)
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        share = np.zeros((len(texts), len(self.languages)))
+        size = np.zeros(len(texts), np.int64)
+        if self.languages and len(texts):
+            words = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+            coded = words.flatten().dictionary_encode()
+            cores = cores_of(coded.dictionary).dictionary_encode()
+            at = self.potentials(cores.dictionary.to_pylist())[cores.indices.to_numpy()][coded.indices.to_numpy()]
+            of = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
+            of, at = of[at > 0], at[at > 0]
+            size = np.bincount(of, minlength=len(texts))
+            if len(at):
+                p, _ = chained(np.take(self.rows.T, at, axis=1), size, np.exp(self.transitions - self.transitions.max()))
+                share = np.stack([np.bincount(of, x, len(texts)) for x in p], axis=1) / np.maximum(size, 1)[:, None]
+        best = share.argmax(axis=1) if self.languages else size
         return [(self.languages[b], min(1.0, float(s[b])), s.tolist()) if n and self.languages else (NO_LANGUAGE, 0.0, s.tolist()) for b, s, n in zip(best, share, size, strict=True)]
 
 
+#: Least potential of a label beside the best one.
+FLOOR = 1e-12
+
+
+def segments(size: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Words in a whole segment; of each segment (in the order of the texts) its first word, number of words, and text."""
+    whole = int(np.clip(np.sqrt(size.max(initial=0)), *SEGMENT))
+    count = -(-size // whole)
+    owner = np.repeat(np.arange(len(size)), count)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    return whole, np.repeat(np.cumsum(size) - size, count) + place * whole, np.minimum(whole, size[owner] - place * whole), owner
+
+
+def chained(e: np.ndarray, size: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Label probabilities [label, word] of sequences that lie one after the other, `size` words each, and how often each label is expected to follow each other one [from, to].
+
+    `e` holds potentials [label, word], `a` those of transitions [from, to]; a first word is entered from every label
+    alike. Labels come before words in all arrays, so that each step is a few operations on long rows. Segments lie in
+    order of their length, so a step works on those that still have a word.
+    """
+    labels, kind = len(a), e.dtype
+    a = a.astype(kind)
+    size = size[size > 0]
+    whole, first, length, owner = segments(size)
+    order = np.argsort(-length, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    first, length = first[order], length[order]
+    live = [int(np.searchsorted(-length, -t, "left")) for t in range(whole)]
+    e = e / e.max(axis=0)
+    at = [np.take(e, first[: live[t]] + t, axis=1) for t in range(whole)]
+    begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])  # first segment of each text
+    count = np.diff(np.r_[begin, len(owner)])
+    enter, leave = np.full((labels, len(order)), 1 / labels, kind), np.full((labels, len(order)), 1 / labels, kind)
+    if count.max(initial=1) > 1:
+        moved = np.zeros((labels, labels, len(order)), kind)  # [to, from, segment]
+        moved[np.arange(labels), np.arange(labels)] = 1
+        for t in range(whole):
+            n = live[t]
+            step = (a.T @ moved[:, :, :n].reshape(labels, -1)).reshape(labels, labels, n) * at[t][:, None]
+            moved[:, :, :n] = step / step.sum(axis=(0, 1)) if t % 4 == 3 else step
+        moved /= moved.sum(axis=(0, 1))
+        by_count = np.argsort(-count, kind="stable")
+        begin, count = begin[by_count], count[by_count]
+        for k in range(1, int(count[0])):  # texts in step, those with few segments drop out
+            here = begin[: np.searchsorted(-count, -k, "left")] + k
+            x = (moved[:, :, rank[here - 1]] * enter[None, :, rank[here - 1]]).sum(axis=1)
+            enter[:, rank[here]] = x / x.sum(axis=0)
+        for k in range(int(count[0]) - 2, -1, -1):
+            here = begin[: np.searchsorted(-count, -(k + 1), "left")] + k
+            x = (moved[:, :, rank[here + 1]] * leave[:, None, rank[here + 1]]).sum(axis=0)
+            leave[:, rank[here]] = x / x.sum(axis=0)
+    before, now = [], enter
+    for t in range(whole):
+        before.append(now[:, : live[t]])
+        now = (a.T @ before[t]) * at[t]
+        now /= now.sum(axis=0)
+    p, follow, now = np.empty_like(e), np.zeros((labels, labels)), leave
+    opening = np.zeros(len(order), bool)
+    opening[rank[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])]] = True
+    for t in range(whole - 1, -1, -1):
+        behind = at[t] * now[:, : live[t]]
+        entered = a @ behind  # summed over the label here, for each label before
+        mass = (before[t] * entered).sum(axis=0)
+        p[:, first[: live[t]] + t] = (a.T @ before[t]) * behind / mass
+        given = before[t] / mass
+        if not t:
+            given[:, opening[: live[t]]] = 0  # nothing comes before a text's first word
+        follow += given @ behind.T
+        now[:, : live[t]] = entered / entered.sum(axis=0)
+    return p, follow * a
+
+
 def marginals(emission: np.ndarray, size: np.ndarray, transitions: np.ndarray) -> np.ndarray:
-    """Label probabilities of all words of sequences that lie one after the other, `size` words each."""
-    n, labels = emission.shape
-    e = np.exp(emission - emission.max(axis=1, keepdims=True)) + 1e-12
-    a = np.exp(transitions - transitions.max())
-    full = size[size > 0]
-    count = -(-full // SEGMENT)
-    first_word, first = np.cumsum(full) - full, np.cumsum(count) - count
-    owner = np.repeat(np.arange(len(full)), count)
-    index = (first_word[owner] + (np.arange(len(owner)) - first[owner]) * SEGMENT)[:, None] + np.arange(SEGMENT)
-    real = index < (first_word + full)[owner][:, None]
-    e = np.where(real[:, :, None], e[np.minimum(index, n - 1)], 1.0)
-
-    def normal(x: np.ndarray, axes: tuple[int, ...] = (-1,)) -> np.ndarray:
-        return x / x.sum(axis=axes, keepdims=True)
-
-    whole = np.tile(np.eye(labels), (len(owner), 1, 1))
-    for t in range(SEGMENT):
-        moved = normal((whole @ a) * e[:, t, None, :], (-2, -1))
-        whole = np.where(real[:, t, None, None], moved, whole)
-    enter, leave = np.ones((len(owner), labels)) / labels, np.ones((len(owner), labels)) / labels
-    by_count = np.argsort(-count, kind="stable")
-    start, many = first[by_count], count[by_count]
-    for k in range(1, int(many[0])):  # texts in step, those with few segments drop out
-        at = start[: np.searchsorted(-many, -k, "left")] + k
-        enter[at] = normal((enter[at - 1, None, :] @ whole[at - 1])[:, 0])
-    for k in range(int(many[0]) - 2, -1, -1):
-        at = start[: np.searchsorted(-many, -(k + 1), "left")] + k
-        leave[at] = normal((whole[at + 1] @ leave[at + 1, :, None])[:, :, 0])
-    ahead, now = np.empty_like(e), enter
-    for t in range(SEGMENT):
-        now = np.where(real[:, t, None], normal((now @ a) * e[:, t]), now)
-        ahead[:, t] = now
-    now = leave
-    for t in range(SEGMENT - 1, -1, -1):
-        ahead[:, t] *= now
-        now = np.where(real[:, t, None], normal((now * e[:, t]) @ a.T), now)
-    return normal(ahead[real])
-
-
-def train(windows: list[tuple[str, list[str]]], turns: int = 60, seed: int = 5) -> Field:
-    """The field from (language, words) windows."""
-    languages = sorted({lang for lang, _ in windows})
+    """Label probabilities [word, label] from log potentials [word, label]."""
+    e = np.exp(emission - emission.max(axis=1, keepdims=True)) + FLOOR
+    return chained(np.ascontiguousarray(e.T), size, np.exp(transitions - transitions.max()))[0].T
+
+
+def train(texts: list[tuple[str, list[str]]], turns: int = 40, seed: int = 5) -> Field:
+    """The field from (language, words) of whole texts.
+
+    Texts are joined in pairs, so switching is seen. Features and transitions follow the slope of the field's
+    likelihood: expected less observed counts, of labels by word and of labels that follow each other.
+    """
+    languages = sorted({lang for lang, _ in texts})
     labels = len(languages)
-    cores = [(languages.index(lang), [c for w in words if (c := bare(w))]) for lang, words in windows]
-    counts = Counter(w for _, words in cores for w in words)
-    lexicon = frozenset(w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if n > 1)
+    whole = cores_of(pa.array([w for _, words in texts for w in words], pa.large_string())).dictionary_encode()
+    ends = np.cumsum([0, *(len(words) for _, words in texts)])
+    core = whole.indices.to_numpy(zero_copy_only=False)
+    names = whole.dictionary.to_pylist()
+    empty = names.index("") if "" in names else -1
+    cores = [(languages.index(lang), (x := core[a:b])[x != empty]) for (lang, _), a, b in zip(texts, ends, ends[1:], strict=False)]
     weights, transitions = np.zeros((BUCKETS, labels)), np.zeros((labels, labels))
-    types = {w: k for k, w in enumerate(counts)}
-    order = np.random.default_rng(seed).permutation(len(cores))
-    joined = [(cores[i], cores[j]) for i, j in zip(order[::2], order[1::2], strict=False)] 
-    joined += [(cores[i],) for i in order[len(order) // 2 * 2 :]]
-    words = [np.array([types[w] for _, ws in pair for w in ws], np.int64) for pair in joined]
-    truth = [np.array([k for k, ws in pair for _ in ws], np.int64) for pair in joined]
-    size = np.array([len(w) for w in words])
-    if labels and size.sum():
-        feats = [features(w, lexicon) for w in counts]
-        flat, of = np.concatenate([np.array(f) for f in feats]), np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-        used, flat = np.unique(flat, return_inverse=True)
-        at, goal = np.concatenate(words), np.concatenate(truth)
+    at = np.concatenate([x for _, x in cores] or [np.empty(0, np.int64)])
+    seen = np.bincount(at, minlength=len(names))
+    lexicon = frozenset(names[k] for k in sorted(range(len(names)), key=lambda k: (-seen[k], names[k]))[:LEXICON] if seen[k] > 1 and k != empty)
+    if labels and len(at):
+        order = np.random.default_rng(seed).permutation(len(cores))
+        at = np.concatenate([cores[k][1] for k in order])
+        goal = np.repeat([cores[k][0] for k in order], [len(cores[k][1]) for k in order])
+        size = np.add.reduceat([len(cores[k][1]) for k in order], np.arange(0, len(order), 2))
         follows = np.ones(len(at), bool)
         follows[np.cumsum(size[size > 0]) - size[size > 0]] = False
         second = np.flatnonzero(follows)
-        w, speed, t_speed = np.zeros((len(used), labels)), np.full((len(used), labels), 1e-8), np.full((labels, labels), 1e-8)
+        real = np.bincount(goal[second - 1] * labels + goal[second], minlength=labels**2).reshape(labels, labels)
+        by_truth = np.stack([np.bincount(at[goal == k], minlength=len(names)) for k in range(labels)])
+        flat, of = table_of(names, lexicon)
+        used, flat = np.unique(flat, return_inverse=True)
+        w, speed, t_speed = np.zeros((labels, len(used))), np.full((labels, len(used)), 1e-8), np.full((labels, labels), 1e-8)
         for _ in range(turns):
-            score = np.stack([np.bincount(of, w[flat, k], len(feats)) for k in range(labels)], axis=1)[at]
-            p = marginals(score, size, transitions)
-            slope = p.copy()
-            slope[np.arange(len(at)), goal] -= 1
-            by_type = np.stack([np.bincount(at, slope[:, k], len(feats)) for k in range(labels)], axis=1)
-            g = np.stack([np.bincount(flat, by_type[of, k], len(used)) for k in range(labels)], axis=1) / len(at) + 1e-6 * w
-            # expected transitions, from the marginals of neighbours under the current transitions
-            pair = p[second - 1][:, :, None] * np.exp(transitions)[None] * p[second][:, None, :]
-            pair = (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            real = np.zeros((labels, labels))
-            np.add.at(real, (goal[second - 1], goal[second]), 1)
-            t_g = (pair - real) / len(at) + 1e-6 * transitions
+            score = np.stack([np.bincount(of, x[flat], len(names)) for x in w])
+            e = (np.exp(score - score.max(axis=0)) + FLOOR).astype(np.float32)
+            p, follow = chained(np.take(e, at, axis=1), size, np.exp(transitions - transitions.max()))
+            off = np.stack([np.bincount(at, x, len(names)) for x in p]) - by_truth
+            g = np.stack([np.bincount(flat, x[of], len(used)) for x in off]) / len(at) + 1e-6 * w
+            t_g = (follow - real) / len(at) + 1e-6 * transitions
             speed += g * g
             t_speed += t_g * t_g
             w -= 0.3 * g / np.sqrt(speed)
             transitions = transitions - 0.1 * t_g / np.sqrt(t_speed)
-        weights[used] = w
+        weights[used] = w.T
     return Field(languages, lexicon, weights.astype(np.float32), transitions)
 
 
@@ -203,11 +287,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, SAMPLE_DOCS / n))])
     draw = F.pmod(F.xxhash64(F.lit(11), F.col(id_col)), F.lit(1_000_000)) / 1_000_000
     drawn = known.filter(draw < F.element_at(share, F.col(lang_col)))
-    words = F.split(F.trim(F.col(text_col)), r"\s+")
-    place = F.pmod(F.xxhash64(F.lit(13), F.col(id_col)), F.greatest(F.lit(1), F.size("words") - SAMPLE_WORDS + 1)).cast("int") + 1
-    windows = drawn.select(lang_col, id_col, words.alias("words")).select(lang_col, id_col, F.slice("words", place, SAMPLE_WORDS).alias("w"))
-    rows = windows.collect()
-    return train(sorted((r[lang_col], list(r["w"])) for r in rows))
+    rows = drawn.select(lang_col, text_col).collect()
+    return train(sorted((r[lang_col], r[text_col].split()) for r in rows))
 
 
 def identify(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,7 +301,7 @@ def identify(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: st
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = model.predict(batch.column(1).to_pylist())
+            found = model.predict(batch.column(1))
             yield pa.record_batch(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[id_col, "lang_pred", "score"],
@@ -243,7 +324,7 @@ def keep_identified(docs: DataFrame, model: Field, least: float = 0.3, text_col:
 
         found: list[float] = []
         for at in range(0, len(text), 256):
-            found += [s if lang != NO_LANGUAGE else -1.0 for lang, s, _ in model.predict(text.iloc[at : at + 256].tolist())]
+            found += [s if lang != NO_LANGUAGE else -1.0 for lang, s, _ in model.predict(pa.array(text.iloc[at : at + 256], pa.string()))]
         return pd.Series(found, dtype="float64")
 
     return docs.filter(score(F.col(text_col)) >= least)
