@@ -31,6 +31,12 @@ def parse_timestamp(value: Column) -> Column:
     return F.when(F.startswith(text, F.lit("0000")), F.lit(None)).otherwise(F.coalesce(*known, *[wall(without_zone, f) for f in LONG_FORMATS]))
 
 
+def rounded(value: Column, places: int) -> Column:
+    """To `places` decimals: the scaled double to the nearest whole number, a half to the even one."""
+    scale = 10.0**places
+    return F.rint(value * scale) / scale
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with their fraction, between times without zone."""
     return micros_between(start, end) / 1e6

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wildtally.functions.scalars import hamming, micros_between
-from wildtally.settings import QualitySettings
+from wildtally.functions.scalars import hamming, micros_between, rounded
+from wildtally.settings import Settings
 from wildtally.storage import cut
 
 
@@ -46,22 +46,22 @@ def near_duplicate_groups(frame: DataFrame, max_bits: int = 6, window: int = 8,
     return frame.join(roots, "photo_id", "left").withColumn("dup_group", F.coalesce("root", "photo_id")).drop("root")
 
 
-def add_flags(frame: DataFrame, settings: QualitySettings | None = None) -> DataFrame:
+def add_flags(frame: DataFrame, settings: Settings | None = None) -> DataFrame:
     """`frame` with is_ir, is_dark, is_overexposed, sharpness_rel, is_blurry, dup_group, is_near_duplicate.
 
     Sharpness is judged against the exact median of the camera's decoded photos of the same kind (infrared or not),
     and rounded before it is compared.
     """
-    s = settings or QualitySettings()
+    s = settings or Settings()
     ok = F.col("decode_ok")
     flag = lambda test: F.coalesce(ok & test, F.lit(False))
     flagged = frame.withColumns({
-        "is_ir": flag(F.col("ir_score") < s.ir_max_channel_spread), "is_dark": flag(F.col("brightness") < s.dark_brightness),
-        "is_overexposed": flag(F.col("brightness") > s.overexposed_brightness),
+        "is_ir": flag(F.col("ir_score") < s.infrared_below), "is_dark": flag(F.col("brightness") < s.dark_below),
+        "is_overexposed": flag(F.col("brightness") > s.bright_above),
     })
     medians = flagged.filter(ok).groupBy("camera_id", "is_ir").agg(F.median("sharpness").alias("_median"))
-    rel = F.round(F.col("sharpness") / F.when(F.col("_median") > 0, F.col("_median")), 4)
+    rel = rounded(F.col("sharpness") / F.when(F.col("_median") > 0, F.col("_median")), 4)
     judged = flagged.join(medians, ["camera_id", "is_ir"], "left").withColumn("sharpness_rel", F.when(ok, rel)).drop("_median")
-    judged = judged.withColumn("is_blurry", flag(F.col("sharpness_rel") < s.blur_ratio))
-    grouped = near_duplicate_groups(judged, s.duplicate_max_bits, s.duplicate_window, s.duplicate_max_gap_s)
+    judged = judged.withColumn("is_blurry", flag(F.col("sharpness_rel") < s.blurred_below))
+    grouped = near_duplicate_groups(judged, s.alike_bits, s.look_back, s.look_back_s)
     return grouped.withColumn("is_near_duplicate", flag(F.col("dup_group") != F.col("photo_id")))

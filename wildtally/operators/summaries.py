@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wildtally.functions.scalars import micros_between
+from wildtally.functions.scalars import micros_between, rounded
 
 HOUR, DAY = 3600.0, 86400.0
 
@@ -36,12 +36,12 @@ def _silences(photos: DataFrame) -> DataFrame:
 def camera_gaps(photos: DataFrame, gap_hours: float) -> DataFrame:
     """Silences of more than `gap_hours`; hours are rounded after they are compared."""
     long = _silences(photos).filter(F.col("hours") > gap_hours)
-    return long.select("camera_id", F.col("before").alias("gap_start"), F.col("timestamp").alias("gap_end"), F.round("hours", 1).alias("gap_hours"))
+    return long.select("camera_id", F.col("before").alias("gap_start"), F.col("timestamp").alias("gap_end"), rounded(F.col("hours"), 1).alias("gap_hours"))
 
 
 def percent(flag: str, of: Column) -> Column:
     """Share of true flags in percent, 1 place; null if no row counts."""
-    return F.round(100.0 * F.avg(F.when(of, F.col(flag).cast("double"))), 1)
+    return rounded(100.0 * F.avg(F.when(of, F.col(flag).cast("double"))), 1)
 
 
 def camera_health(photos: DataFrame, events: DataFrame, gaps: DataFrame) -> DataFrame:
@@ -55,9 +55,9 @@ def camera_health(photos: DataFrame, events: DataFrame, gaps: DataFrame) -> Data
     own = photos.withColumn("_step", step).groupBy("camera_id").agg(
         F.count("*").alias("n_photos"), F.count_if(~ok).alias("n_unreadable"), F.count_if(~F.col("timestamp_valid")).alias("n_invalid_timestamp"),
         F.min(timed).alias("first_photo"), F.max(timed).alias("last_photo"), F.countDistinct(F.to_date(timed)).alias("active_days"),
-        F.round(F.max("_step"), 1).alias("longest_silence_hours"), percent("is_ir", ok).alias("pct_ir"), percent("is_dark", ok).alias("pct_dark"),
+        rounded(F.max("_step"), 1).alias("longest_silence_hours"), percent("is_ir", ok).alias("pct_ir"), percent("is_dark", ok).alias("pct_dark"),
         percent("is_blurry", ok).alias("pct_blurry"), percent("is_near_duplicate", ok).alias("pct_near_duplicate"),
-        F.round(100.0 * F.avg(F.when(looked, empty)), 1).alias("pct_empty"),
+        rounded(100.0 * F.avg(F.when(looked, empty)), 1).alias("pct_empty"),
     )
     silent = gaps.groupBy("camera_id").agg(F.count("*").alias("n_gaps"), F.sum("gap_hours").alias("_silent"))
     seen = events.groupBy("camera_id").agg(F.count("*").alias("n_events"), F.count_if(F.col("observation_type") == "animal").alias("n_animal_events"))
@@ -66,8 +66,8 @@ def camera_health(photos: DataFrame, events: DataFrame, gaps: DataFrame) -> Data
     joined = own.join(silent, "camera_id", "left").join(seen, "camera_id", "left")
     effort = F.greatest(span - F.coalesce(F.col("_silent"), F.lit(0.0)) / 24.0, F.lit(0.0))
     return joined.select(
-        "camera_id", "n_photos", "n_unreadable", "n_invalid_timestamp", "first_photo", "last_photo", F.round(span, 2).alias("span_days"), "active_days",
-        F.round(effort, 2).alias("effort_days"), zero("n_gaps"), "longest_silence_hours", zero("n_events"), zero("n_animal_events"),
+        "camera_id", "n_photos", "n_unreadable", "n_invalid_timestamp", "first_photo", "last_photo", rounded(span, 2).alias("span_days"), "active_days",
+        rounded(effort, 2).alias("effort_days"), zero("n_gaps"), "longest_silence_hours", zero("n_events"), zero("n_animal_events"),
         "pct_ir", "pct_dark", "pct_blurry", "pct_near_duplicate", "pct_empty",
     ).orderBy("camera_id")
 
@@ -78,7 +78,7 @@ def species_by_camera(labels: DataFrame, health: DataFrame) -> DataFrame:
         F.countDistinct("event_id").alias("n_events"), F.sum("max_count").alias("animals"), F.max("max_count").alias("max_group")
     )
     joined = table.join(health.select("camera_id", "effort_days"), "camera_id", "left")
-    rate = F.when(F.col("effort_days") > 0, F.round(100.0 * F.col("n_events") / F.col("effort_days"), 1))
+    rate = F.when(F.col("effort_days") > 0, rounded(100.0 * F.col("n_events") / F.col("effort_days"), 1))
     return joined.withColumn("events_per_100_days", rate).drop("effort_days").orderBy("camera_id", F.desc("n_events"), "species")
 
 
