@@ -37,9 +37,11 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, held in the shared folder: a lost executor costs no recomputation of what came before."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, held as a table in the shared folder: a lost executor costs no recomputation of what came before.
+
+    A table, because a checkpoint keeps the size its plan guessed, and guesses for joins multiply over rounds.
+    """
+    return stored(df, "cut")[0]
 
 
 def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
