@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wildtally.operators import events, photos, quality, summaries
 from wildtally.schemas import CLASSIFICATIONS, DETECTIONS, RUNS
-from wildtally.settings import QualitySettings
+from wildtally.settings import Settings
 
 T0 = datetime(2026, 4, 6, 6)
 PHOTO = "photo_id string, camera_id string, rel_path string, timestamp timestamp_ntz, timestamp_valid boolean, decode_ok boolean"
@@ -112,7 +112,7 @@ def test_near_duplicate_chain(spark):
 def test_flags(spark):
     rows = [(f"p{k}", "c", f"p{k}", T0 + timedelta(hours=k), s, b, 50.0, None, True) for k, (s, b) in enumerate([(100.0, 120.0), (110.0, 10.0), (90.0, 240.0), (20.0, 120.0)])]
     df = spark.createDataFrame(rows, "photo_id string, camera_id string, rel_path string, timestamp timestamp_ntz, sharpness double, brightness double, ir_score double, dhash string, decode_ok boolean")
-    found = {r.photo_id: r for r in quality.add_flags(df, QualitySettings()).collect()}
+    found = {r.photo_id: r for r in quality.add_flags(df, Settings()).collect()}
     assert [found[p].is_blurry for p in sorted(found)] == [False, False, False, True]
     assert [found[p].is_dark for p in sorted(found)] == [False, True, False, False]
     assert [found[p].is_overexposed for p in sorted(found)] == [False, False, True, False]

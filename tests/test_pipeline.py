@@ -5,11 +5,12 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wildtally.cli import build_parser, main
 from wildtally.errors import InputError
-from wildtally.functions import pixels
-from wildtally.operators.models import MockClassifier, MockDetector
+from wildtally.functions import pixels, scalars
+from wildtally.operators.rehearsal import TruthClassifier, TruthDetector
 from wildtally.plans import grading, synthetic
 from wildtally.plans.pipeline import Pipeline
 from wildtally.sources import images, tables
@@ -79,9 +80,9 @@ def survey(tmp_path):
 def test_pipeline_resumes_and_redoes(spark, survey, tmp_path):
     root, truth = survey
     out = tmp_path / "run"
-    models = (lambda: MockDetector(truth, 1), lambda: MockClassifier(truth, 1))
+    models = (lambda: TruthDetector(truth, 1), lambda: TruthClassifier(truth, 1))
     run = Pipeline(spark, str(root), str(out), None, *models)
-    assert all(state == "done" for _, state, _ in run.run().rows())
+    assert all(line.split()[1] == "done" for line in run.run())
     events = run.read("events").orderBy("start").collect()
     assert run.read("media").count() == 7 and run.read("media").filter("not readable").count() == 1
     assert [e.observation_type for e in events][0] == "animal" and events[0].species == "deer"
@@ -130,14 +131,15 @@ def test_json_sources(spark, tmp_path):
 
 
 def test_generated_visits(spark):
-    s = synthetic.SyntheticSettings(n_days=6)
+    s = synthetic.Survey(n_days=6)
     plans = synthetic.plan_cameras(spark, s)
     visits = synthetic.schedule_visits(plans, s)
     rows = visits.orderBy("camera_id", "start").collect()
     assert rows == synthetic.schedule_visits(plans.repartition(3), s).orderBy("camera_id", "start").collect()
     for a, b in zip(rows, rows[1:], strict=False):
         assert a.camera_id != b.camera_id or (b.start - a.start).total_seconds() >= s.min_visit_spacing_s
-    assert synthetic.photos_of(visits).count() == 3 * len(rows)
+    per = [r["count"] for r in synthetic.photos_of(visits).groupBy("camera_id", "n").count().collect()]
+    assert len(per) == len(rows) and set(per) <= {3, 6, 9}
 
 
 def test_grading_finds_tampering(spark):
@@ -168,3 +170,95 @@ def test_command_line(tmp_path, capsys):
     for bad in (["run", "x", "--out", "y", "--count-conf", "2"], ["run", "x", "--out", "y", "--valid-from", "soon"], ["synth", "x", "--days", "0"]):
         with pytest.raises(SystemExit):
             build_parser().parse_args(bad)
+
+
+def test_demo_breaks_off_goes_on_and_passes(spark, tmp_path):
+    from wildtally.plans import demo
+
+    told = demo.run_demo(spark, str(tmp_path / "out"), str(tmp_path / "work"), synthetic.Survey(n_days=4, seed=2))
+    assert told.passed, [c for c in told.checks if not c.passed]
+    assert 0 < told.kept_before < told.images
+    names = {p.relative_to(tmp_path / "out").as_posix() for p in told.published}
+    assert {"report.html", "plots/camera_uptime.svg", "summary/events.csv"} <= names
+    for path in told.published:
+        data = path.read_bytes()
+        assert b"\r\n" not in data and data.endswith(b"\n") and str(tmp_path).encode() not in data
+    foreign = tmp_path / "foreign"
+    foreign.mkdir()
+    (foreign / "keep.txt").write_text("mine")
+    with pytest.raises(InputError):
+        demo.emptied(foreign)
+    assert main(["grade", str(tmp_path / "work" / "photos"), "--out", str(tmp_path / "work" / "run")]) == 0
+    events = spark.read.parquet(str(tmp_path / "work" / "run" / "events.parquet"))
+    tables.write_table(events.withColumn("max_animals", F.col("max_animals") + 1), str(tmp_path / "work" / "run" / "events.parquet"))
+    assert main(["grade", str(tmp_path / "work" / "photos"), "--out", str(tmp_path / "work" / "run")]) == 1
+
+
+SURVEY = [
+    {"file_name": "a1.jpg", "location": "46", "datetime": "2013-10-04 13:31:53", "seq_id": "s1"}, {"file_name": "a2.jpg", "location": "46", "datetime": "2013-10-04 13:31:54", "seq_id": "s1"},
+    {"file_name": "../evil.jpg", "location": "46", "datetime": "2013-10-04 13:31:55"},
+    *({"file_name": f"b{k}.jpg", "location": "7", "date_captured": f"2012-01-01 01:00:0{k}", "seq_id": "t1"} for k in range(4)), {"file_name": "no_camera.jpg", "datetime": "2012"},
+]
+
+
+def test_sample_is_fetched_once_and_within_limits(spark, tmp_path):
+    import io
+
+    from wildtally.sources import sample
+
+    base = ("https://example.org/meta.json", "https://example.org/images/")
+    files, calls = {base[0]: json.dumps({"images": SURVEY}).encode()} | {base[1] + i["file_name"]: b"jpeg" for i in SURVEY if i["file_name"] != "b1.jpg"}, []
+
+    def opener(request, timeout):
+        calls.append(request.full_url)
+        if request.full_url not in files:
+            raise OSError("not there")
+        return io.BytesIO(files[request.full_url])
+
+    assert sample.fetch_sample(spark, str(tmp_path), 2, 4, 1, opener, base) == 5
+    lines = (tmp_path / "metadata.csv").read_text().splitlines()
+    assert lines[0] == "file,camera_id,timestamp" and "location_46/a1.jpg,46,2013-10-04 13:31:53" in lines and not any("evil" in x for x in lines)
+    assert (tmp_path / "location_7" / "b3.jpg").read_bytes() == b"jpeg" and "LILA" in (tmp_path / "ATTRIBUTION.txt").read_text()
+    before = len(calls)
+    sample.fetch_sample(spark, str(tmp_path), 2, 4, 1, opener, base)
+    assert calls[before:] == [base[1] + "b1.jpg"]
+    for bad in ("http://example.org/x", "file:///etc/passwd"):
+        with pytest.raises(InputError):
+            sample.https_only(bad)
+    with pytest.raises(InputError):
+        sample.fetched(base[0], tmp_path / "new", 3, opener)
+    chosen = sample.choose(tables.parse_metadata(spark, str(tmp_path / ".cache" / "meta.json")), 2, 2, 3).collect()
+    assert {r.camera_id for r in chosen} == {"46", "7"} and "b3.jpg" in {r.file_name for r in chosen}
+
+
+def test_rounding_is_half_even_on_the_scaled_value(spark):
+    values = [0.78125, 1.6937499999999999, 0.25, 2.5, -0.125, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(scalars.rounded(F.col("v"), 4)).collect()]
+    assert got == [None if v is None else float(np.round(v, 4)) for v in values] and got[:2] == [0.7812, 1.6938]
+
+
+def test_tables_survive_and_lines_are_mended(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(3), path)
+    assert tables.write_table(spark.read.parquet(path).filter("id > 0"), path).count() == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    torn = tmp_path / "r.jsonl"
+    torn.write_text('{"k":"a","v":1}\n[1]\n{"v":3}\n{"k":"b","v":2}\n{"k":"c"')
+    assert tables.mended_json_records(spark, str(torn), "k", "k string, v long") == 3
+    assert torn.read_text() == '{"k":"a","v":1}\n{"k":"b","v":2}\n' and tables.mended_json_records(spark, str(torn), "k", "k string, v long") == 0
+    told = spark.createDataFrame([("a,b", 'say "x"', None)], "x string, y string, z long")
+    tables.write_csv(told, tmp_path / "x.csv")
+    assert (tmp_path / "x.csv").read_text() == 'x,y,z\n"a,b","say ""x""",\n'
+
+
+def test_photos_are_turned_before_they_are_measured(spark, tmp_path):
+    ramp = np.repeat(np.arange(48, dtype=np.uint8)[None, :, None] * 5, 32, axis=0).repeat(3, axis=2)
+    files = {"plain": png(ramp), "turned": png(ramp[::-1, ::-1])}
+    (tmp_path / "c").mkdir()
+    for name, data in files.items():
+        (tmp_path / "c" / f"{name}.png").write_bytes(data)
+    image = images.decoded_images(spark, str(tmp_path))
+    told = image.select("rel_path", pixels.measured(F.col("image"), F.when(F.col("rel_path").contains("turned"), 3).otherwise(1)).alias("m")).collect()
+    assert len({r.m.dhash for r in told}) == 1
+    assert images.HEADS[0] < images.HEADS[1]

@@ -1,127 +1,118 @@
-"""Command line: run, status, new, synth. Exit codes: 0 good, 1 a check failed, 2 bad input, 3 a package is missing."""
+"""Command line: run, status, synth, demo, fetch-sample, grade. Exit codes: 0 good, 1 a check failed, 2 bad input, 3 a package is missing."""
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
-from collections.abc import Sequence
-from dataclasses import replace
-from datetime import date
+from collections.abc import Callable, Sequence
 from pathlib import Path
+from typing import Any
 
 from wildtally.errors import InputError, ModelDependencyError
-from wildtally.settings import PipelineSettings
+from wildtally.settings import OPTIONS, Settings, parsed
 
 
-def _number(text: str, kind: type, good, what: str):  # noqa: ANN001, ANN202
-    try:
-        value = kind(text)
-    except ValueError:
-        value = None
-    if value is None or not good(value):
-        raise argparse.ArgumentTypeError(f"{text!r} is not {what}")
-    return value
-
-
-def positive_int(text: str) -> int:
-    return _number(text, int, lambda v: v > 0, "a positive whole number")
-
+def of_kind(kind: str) -> Callable[[str], Any]:
+    def check(text: str) -> Any:
+        try:
+            return parsed(kind, text)
+        except ValueError as error:
+            raise argparse.ArgumentTypeError(str(error)) from error
 
-def non_negative_int(text: str) -> int:
-    return _number(text, int, lambda v: v >= 0, "a whole number from 0")
+    return check
 
 
-def positive_float(text: str) -> float:
-    return _number(text, float, lambda v: 0 < v < float("inf"), "a positive number")
-
-
-def fraction(text: str) -> float:
-    return _number(text, float, lambda v: 0 <= v <= 1, "a number from 0 to 1")
-
-
-def iso_date(text: str) -> str:
-    try:
-        return date.fromisoformat(text).isoformat()
-    except ValueError as error:
-        raise argparse.ArgumentTypeError(f"{text!r} is not a date like 2001-01-31") from error
+#: Commands: what they do, and their arguments (name, kind, default; no default: required). Names and defaults are fixed values.
+COMMANDS: dict[str, tuple[str, tuple[tuple[str, str, Any], ...]]] = {
+    "run": ("run all stages over a photo folder", (("input", "text", ...), ("--out", "text", ...), ("--truth", "text", None), ("--seed", "whole", 7))),
+    "status": ("show how far a run is", (("out", "text", ...),)),
+    "grade": ("hold a run against the truth of its survey", (("input", "text", ...), ("--out", "text", ...))),
+    "synth": ("write a generated survey", (("out", "text", ...), ("--cameras", "count", 3), ("--days", "count", 10), ("--seed", "whole", 7))),
+    "demo": ("generate a survey, break off, go on, grade and publish", (("out", "text", ...), ("--work", "text", ...), ("--cameras", "count", 3), ("--days", "count", 4), ("--seed", "whole", 7))),
+    "fetch-sample": ("download a few sequences of a public survey", (("out", "text", ...), ("--cameras", "count", 3), ("--photos", "count", 100), ("--seed", "whole", 7))),
+}
 
 
 def build_parser() -> argparse.ArgumentParser:
+    from wildtally.plans.pipeline import library_version
+
     parser = argparse.ArgumentParser(prog="wildtally")
+    parser.add_argument("--version", action="version", version=library_version())
     commands = parser.add_subparsers(dest="command", required=True)
-    run = commands.add_parser("run", help="run all stages over a photo folder")
-    run.add_argument("input")
-    run.add_argument("--out", required=True)
-    run.add_argument("--redo", action="append", default=[])
-    run.add_argument("--count-conf", type=fraction, default=0.2)
-    run.add_argument("--species-threshold", type=fraction, default=0.65)
-    run.add_argument("--event-gap", type=positive_float, default=60.0)
-    run.add_argument("--gap-hours", type=positive_float, default=48.0)
-    run.add_argument("--valid-from", type=iso_date, default="2001-01-01")
-    run.add_argument("--strip-top", type=fraction, default=0.0)
-    run.add_argument("--strip-bottom", type=fraction, default=0.0)
-    run.add_argument("--truth", help="ground truth for the mock models; without it no model runs")
-    run.add_argument("--seed", type=non_negative_int, default=7)
-    status = commands.add_parser("status", help="show how far a run is")
-    status.add_argument("out")
-    synth = commands.add_parser("synth", help="write the visits of a generated survey")
-    synth.add_argument("out")
-    synth.add_argument("--cameras", type=positive_int, default=3)
-    synth.add_argument("--days", type=positive_int, default=10)
-    synth.add_argument("--seed", type=non_negative_int, default=7)
+    for name, (says, arguments) in COMMANDS.items():
+        own = commands.add_parser(name, help=says)
+        for argument, kind, default in arguments:
+            given = {} if not argument.startswith("-") else {"required": True} if default is ... else {"default": default}
+            own.add_argument(argument, type=of_kind(kind), **given)
+        if name == "run":
+            own.add_argument("--redo", action="append", default=[])
+            for o in OPTIONS:
+                if o.flag:
+                    own.add_argument(o.flag, dest=o.name, type=of_kind(o.kind), default=o.default, help=o.says)
     return parser
 
 
-def settings_from(args: argparse.Namespace) -> PipelineSettings:
-    s = PipelineSettings()
-    return replace(
-        s, quality=replace(s.quality, strip_top=args.strip_top, strip_bottom=args.strip_bottom), detection=replace(s.detection, count_conf=args.count_conf),
-        classification=replace(s.classification, species_threshold=args.species_threshold), events=replace(s.events, gap_s=args.event_gap),
-        health=replace(s.health, gap_hours=args.gap_hours), valid_from=args.valid_from,
-    )
-
-
 def _run(args: argparse.Namespace) -> int:
-    import json
-
-    from wildtally.operators.models import MockClassifier, MockDetector
+    from wildtally.operators.rehearsal import TruthClassifier, TruthDetector
     from wildtally.plans.pipeline import Pipeline
     from wildtally.session import spark_session
 
-    truth = json.loads(Path(args.truth).read_text())["images"] if args.truth else None
-    seed = args.seed
-    models = (lambda: MockDetector(truth, seed), lambda: MockClassifier(truth, seed)) if truth else (None, None)
-    done = Pipeline(spark_session(), args.input, args.out, settings_from(args), *models).run(args.redo)
-    for stage, state, info in done.rows():
-        print(f"{stage:10} {state:10} {info or ''}")
+    truth, seed = json.loads(Path(args.truth).read_text())["images"] if args.truth else None, args.seed
+    models = (lambda: TruthDetector(truth, seed), lambda: TruthClassifier(truth, seed)) if truth else (None, None)
+    told = Settings(**{o.name: getattr(args, o.name) for o in OPTIONS if o.flag})
+    print(*Pipeline(spark_session(), args.input, args.out, told, *models).run(args.redo), sep="\n")
     return 0
 
 
 def _status(args: argparse.Namespace) -> int:
-    from wildtally.plans.pipeline import RunStatus
+    from wildtally.plans import ledger
 
     path = Path(args.out) / "status.json"
     if not path.exists():
         raise InputError(f"{args.out} holds no run")
-    for stage, state, info in RunStatus(path).rows():
-        print(f"{stage:10} {state:10} {info or ''}")
+    print(*ledger.lines(path), sep="\n")
     return 0
 
 
+def _grade(args: argparse.Namespace) -> int:
+    from wildtally.plans import demo
+    from wildtally.session import spark_session
+
+    checks = demo.graded(spark_session(), args.input, args.out)
+    print(*(f"{'ok  ' if c.passed else 'FAIL'} {c.name}: {c.good} of {c.total}" for c in checks), sep="\n")
+    return 0 if all(c.passed for c in checks) else 1
+
+
 def _synth(args: argparse.Namespace) -> int:
     from wildtally.plans import synthetic
     from wildtally.session import spark_session
 
-    spark = spark_session()
-    s = synthetic.SyntheticSettings(n_cameras=args.cameras, n_days=args.days, seed=args.seed)
-    synthetic.schedule_visits(synthetic.plan_cameras(spark, s), s).write.mode("overwrite").parquet(args.out)
+    print(synthetic.write_survey(spark_session(), args.out, synthetic.Survey(n_cameras=args.cameras, n_days=args.days, seed=args.seed)), "photos")
+    return 0
+
+
+def _demo(args: argparse.Namespace) -> int:
+    from wildtally.plans import demo, synthetic
+    from wildtally.session import spark_session
+
+    told = demo.run_demo(spark_session(), args.out, args.work, synthetic.Survey(n_cameras=args.cameras, n_days=args.days, seed=args.seed))
+    print(*(f"{'ok  ' if c.passed else 'FAIL'} {c.name}: {c.good} of {c.total}" for c in told.checks), sep="\n")
+    return 0 if told.passed else 1
+
+
+def _fetch_sample(args: argparse.Namespace) -> int:
+    from wildtally.session import spark_session
+    from wildtally.sources import sample
+
+    print(sample.fetch_sample(spark_session(), args.out, args.cameras, args.photos, args.seed), "photos")
     return 0
 
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     try:
-        return {"run": _run, "status": _status, "synth": _synth}[args.command](args)
+        return {"run": _run, "status": _status, "grade": _grade, "synth": _synth, "demo": _demo, "fetch-sample": _fetch_sample}[args.command](args)
     except InputError as error:
         print(f"error: {error}", file=sys.stderr)
         return 2

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql.types import StringType
 from pyspark.sql import functions as F
 
-from wildtally.settings import QualitySettings
+from wildtally.settings import Settings
 
 METRICS = "sharpness double, brightness double, contrast double, ir_score double, dhash string, error string"
 HASH_SIDE = 8
@@ -91,15 +91,15 @@ def dhash(grid: np.ndarray) -> str:
     return np.packbits(small[:, 1:] > small[:, :-1]).tobytes().hex()
 
 
-def measure(rgb: np.ndarray, settings: QualitySettings) -> tuple[float, float, float, float, str]:
-    small = shrink(crop_strips(rgb, settings.strip_top, settings.strip_bottom), settings.max_side)
+def measure(rgb: np.ndarray, settings: Settings) -> tuple[float, float, float, float, str]:
+    small = shrink(crop_strips(rgb, settings.strip_top, settings.strip_bottom), settings.measured_side)
     grid = grey(small)
     return round(laplacian_variance(grid), 3), round(float(grid.mean()), 3), round(float(grid.std()), 3), round(ir_score(small), 3), dhash(grid)
 
 
-def measured(image: Column, orientation: Column, settings: QualitySettings | None = None) -> Column:
+def measured(image: Column, orientation: Column, settings: Settings | None = None) -> Column:
     """struct METRICS of an image struct; an image that couldn't be decoded has an error and nothing else."""
-    s = settings or QualitySettings()
+    s = settings or Settings()
 
     @F.pandas_udf(METRICS)
     def work(images: pd.DataFrame, turned: pd.Series) -> pd.DataFrame:

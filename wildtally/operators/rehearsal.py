@@ -1,0 +1,99 @@
+"""Models for rehearsals, which answer from the truth of a generated survey: alike in whatever task a photo lands."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
+from hashlib import blake2b
+from typing import Any
+
+from wildtally.operators.models import Box, Detector
+
+#: Confidence by day and by night; of a small object (by area) and of a box where nothing is, both under what counts.
+SURE, SURE_AT_NIGHT, FAINT, SMALL = (0.75, 0.97), (0.5, 0.9), (0.1, 0.19), 0.0015
+#: Of ten frames with nothing in them so many get a faint box; a label needs this overlap with the truth.
+FALSE_OF_TEN, OVERLAP = 2, 0.3
+
+
+def chance(*key: object) -> float:
+    """A number from 0 to 1 that only the key decides."""
+    return int.from_bytes(blake2b("/".join(map(str, key)).encode(), digest_size=6).digest(), "big") / (1 << 48)
+
+
+def between(limits: tuple[float, float], *key: object) -> float:
+    return limits[0] + (limits[1] - limits[0]) * chance(*key)
+
+
+def overlap(a: Sequence[float], b: Sequence[float]) -> float:
+    """Shared area of two boxes as a share of what they cover."""
+    side = lambda k: max(0.0, min(a[k] + a[k + 2], b[k] + b[k + 2]) - max(a[k], b[k]))
+    shared = side(0) * side(1)
+    union = a[2] * a[3] + b[2] * b[3] - shared
+    return shared / union if union > 0 else 0.0
+
+
+def label_text(lineage: str, name: str) -> str:
+    """A label as classifiers write it: an id of its own, five taxa, the name."""
+    taxa = [*lineage.split(";"), "", "", "", "", ""][:5]
+    return ";".join([str(uuid.uuid5(uuid.NAMESPACE_OID, f"{lineage}/{name}")), *taxa, name])
+
+
+@dataclass(frozen=True)
+class TruthDetector:
+    """The truth's objects, shifted by up to a hundredth; small ones are faint, and some empty frames get a faint box."""
+
+    truth: Mapping[str, Mapping[str, Any]]
+    seed: int = 7
+    name: str = "truth-detector"
+
+    def detect(self, image: bytes, *, path: str) -> list[Box]:
+        told = self.truth.get(path) or {"objects": []}
+        found = [self._seen(o, told, path, k) for k, o in enumerate(told["objects"])]
+        if not found and chance(self.seed, path, "false") * 10 < FALSE_OF_TEN:
+            corner = [between((0.05, 0.8), self.seed, path, "corner", k) for k in (0, 1)]
+            found.append({"category": "animal", "conf": between(FAINT, self.seed, path, "faint"), "bbox": [*corner, 0.1, 0.1]})
+        return found
+
+    def _seen(self, thing: Mapping[str, Any], told: Mapping[str, Any], path: str, k: int) -> Box:
+        x, y, w, h = (v + between((-0.01, 0.01), self.seed, path, k, side) for side, v in enumerate(thing["bbox"]))
+        limits = FAINT if thing["bbox"][2] * thing["bbox"][3] < SMALL else SURE_AT_NIGHT if told.get("night") else SURE
+        return {"category": thing["category"], "conf": between(limits, self.seed, path, k, "conf"), "bbox": [x, y, w, h]}
+
+
+@dataclass(frozen=True)
+class TruthClassifier:
+    """The truth's species where a box fits one: by night the rest of the score goes to a relative of the same genus, by day to the bare genus."""
+
+    truth: Mapping[str, Mapping[str, Any]]
+    seed: int = 7
+    name: str = "truth-classifier"
+
+    def classify(self, image: bytes, boxes: Sequence[Sequence[float]], *, path: str) -> list[Mapping[str, Any]]:
+        told = self.truth.get(path) or {"objects": []}
+        return [self._label(box, told, (self.seed, path, k)) for k, box in enumerate(boxes)]
+
+    def _label(self, box: Sequence[float], told: Mapping[str, Any], key: tuple) -> Mapping[str, Any]:
+        fits = {overlap(box, o["bbox"]): o for o in told["objects"] if o["category"] == "animal"}
+        best = max(fits, default=0.0)
+        if best < OVERLAP:
+            return {"classes": [";".join(["blank"] + [""] * 5 + ["blank"])], "scores": [between((0.5, 0.9), *key)]}
+        thing, dark = fits[best], told.get("night")
+        top = between((0.5, 0.85) if dark else (0.8, 0.97), *key)
+        genus = ";".join(thing["lineage"].split(";")[:4])
+        other = label_text(f"{genus};other", f"other {thing['species']}") if dark else label_text(genus, genus.rpartition(";")[2])
+        return {"classes": [label_text(thing["lineage"], thing["species"]), other], "scores": [top, 1 - top]}
+
+
+@dataclass(frozen=True)
+class Interrupted:
+    """A detector that breaks off, as a crash does, at the photos named."""
+
+    inner: Detector
+    at: Collection[str]
+    name: str = "interrupted"
+
+    def detect(self, image: bytes, *, path: str) -> list[Box]:
+        if path in self.at:
+            raise RuntimeError(f"broken off at {path}")
+        return self.inner.detect(image, path=path)

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from wildtally.functions.taxonomy import UNRESOLVED, label_for_lineage
 from wildtally.operators import photos as P
 from wildtally.operators import quality as Q
-from wildtally.settings import QualitySettings
+from wildtally.settings import Settings
 
 GAP_S, GAP_HOURS, COUNT_CONF, PER_PHOTO = 90 * 86400.0, 24.0 * 400, 0.2, 3
-QUALITY = QualitySettings(duplicate_max_bits=6, duplicate_window=8, duplicate_max_gap_s=400 * 86400.0)
+QUALITY = Settings(look_back_s=400 * 86400.0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,7 +90,7 @@ SQL = {
   SELECT *, decode_ok AND coalesce(ir_score < 4, false) AS is_ir, decode_ok AND coalesce(brightness < 30, false) AS is_dark,
     decode_ok AND coalesce(brightness > 225, false) AS is_overexposed FROM measured), medians AS (
   SELECT camera_id, is_ir, median(sharpness) AS m FROM flags WHERE decode_ok GROUP BY ALL), judged AS (
-  SELECT f.*, CASE WHEN decode_ok AND m > 0 THEN round(sharpness / m, 4) END AS sharpness_rel FROM flags f LEFT JOIN medians USING (camera_id, is_ir))""",
+  SELECT f.*, CASE WHEN decode_ok AND m > 0 THEN round_even(sharpness / m, 4) END AS sharpness_rel FROM flags f LEFT JOIN medians USING (camera_id, is_ir))""",
     "duplicates": """ordered AS (
   SELECT photo_id, camera_id, timestamp, bits, row_number() OVER (PARTITION BY camera_id ORDER BY timestamp, rel_path) AS n FROM measured WHERE bits IS NOT NULL), parents AS (
   SELECT a.photo_id, arg_max(b.photo_id, b.n) AS parent FROM ordered a JOIN ordered b
@@ -169,7 +169,7 @@ SQL = {
     "silences": """silences AS (
   SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY camera_id ORDER BY timestamp))) / 1e6 / 3600 AS hours,
     lag(timestamp) OVER (PARTITION BY camera_id ORDER BY timestamp) AS before FROM photos WHERE timestamp_valid), gaps AS (
-  SELECT camera_id, before AS gap_start, timestamp AS gap_end, round(hours, 1) AS gap_hours FROM silences WHERE hours > 9600)""",
+  SELECT camera_id, before AS gap_start, timestamp AS gap_end, round_even(hours, 1) AS gap_hours FROM silences WHERE hours > 9600)""",
 }
 ORDER = list(SQL)
 

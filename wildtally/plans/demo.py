@@ -1,0 +1,83 @@
+"""A survey from beginning to end: generated, broken off, taken up again, graded and published."""
+
+from __future__ import annotations
+
+import json
+import shutil
+from dataclasses import dataclass
+from functools import reduce
+from pathlib import Path
+
+from pyspark.sql import Column, Row, SparkSession
+from pyspark.sql import functions as F
+
+from wildtally.errors import InputError
+from wildtally.functions.pixels import photo_id_for
+from wildtally.operators.rehearsal import Interrupted, TruthClassifier, TruthDetector
+from wildtally.plans import grading, ledger, synthetic
+from wildtally.plans.pipeline import Pipeline
+from wildtally.schemas import DETECTION_RECORDS
+from wildtally.settings import Settings
+from wildtally.sources.tables import load_ground_truth, publish
+
+#: A folder with this file was made here and may be emptied.
+MARK = ".wildtally-demo"
+
+
+@dataclass(frozen=True)
+class Told:
+    checks: list[Row]
+    published: list[Path]
+    images: int
+    kept_before: int  # records that the run broken off had kept
+
+    @property
+    def passed(self) -> bool:
+        return all(c.passed for c in self.checks)
+
+
+def emptied(folder: Path) -> Path:
+    """The folder without what an earlier demo left; one that holds anything else is an InputError."""
+    if folder.exists() and any(folder.iterdir()) and not (folder / MARK).exists():
+        raise InputError(f"{folder} holds files that no demo wrote")
+    shutil.rmtree(folder, ignore_errors=True)
+    folder.mkdir(parents=True)
+    (folder / MARK).touch()
+    return folder
+
+
+def graded(spark: SparkSession, photos: str, out: str) -> list[Row]:
+    """Rows name, good, total, passed of a finished run over a generated survey."""
+    read = lambda name: spark.read.parquet(f"{Path(out).resolve()}/{name}.parquet")
+    tables = {n: read(n) for n in ("photos", "events", "event_species")} | {"camera_gaps": read("summary/camera_gaps")}
+    lineages = spark.createDataFrame([(name, told[0]) for name, told in synthetic.SPECIES.items()], "species string, lineage string")
+    return grading.grade_run(tables, load_ground_truth(spark, f"file://{Path(photos).resolve()}/ground_truth.json"), lineages).collect()
+
+
+def later_photos(spark: SparkSession, paths: list[str]) -> frozenset[str]:
+    """The first path that isn't in the first of two to six rounds of detection."""
+    rows = spark.createDataFrame([(p,) for p in paths], "rel_path string").withColumn("h", F.xxhash64(photo_id_for("rel_path")))
+    later = [F.pmod("h", F.lit(n)) > 0 for n in range(2, 7)]
+    return frozenset(r.rel_path for r in rows.filter(reduce(Column.__and__, later)).orderBy("rel_path").limit(1).collect())
+
+
+def run_demo(spark: SparkSession, out: str, work: str, survey: synthetic.Survey, crash: bool = True) -> Told:
+    folder = emptied(Path(work))
+    photos, run = folder / "photos", folder / "run"
+    images = synthetic.write_survey(spark, str(photos), survey)
+    truth, seed = json.loads((photos / "ground_truth.json").read_text())["images"], survey.seed
+    models = (lambda: TruthDetector(truth, seed), lambda: TruthClassifier(truth, seed))
+    settings, kept = Settings(batch_photos=max(1, images // 4)), 0
+    if crash:
+        stopped = later_photos(spark, sorted(truth))
+        broken = Pipeline(spark, str(photos), str(run), settings, lambda: Interrupted(models[0](), stopped), models[1])
+        try:
+            broken.run()
+        except Exception:  # the one that was asked for
+            if ledger.standing(broken.status)["detect"][0] != ledger.BEGUN:
+                raise
+        kept = broken.records("detect", "photo_id", DETECTION_RECORDS).read().count()
+    whole = Pipeline(spark, str(photos), str(run), settings, *models)
+    whole.run()
+    return Told(graded(spark, str(photos), str(run)), publish(run, Path(out), whole.read("events")), images, kept)
+

@@ -207,14 +207,14 @@ _HEALTH = """steps_ AS (
   SELECT camera_id, count(*) AS n_photos, count(*) FILTER (NOT decode_ok) AS n_unreadable, count(*) FILTER (NOT timestamp_valid) AS n_invalid_timestamp,
     min(timestamp) FILTER (timestamp_valid) AS first_photo, max(timestamp) FILTER (timestamp_valid) AS last_photo,
     count(DISTINCT CAST(timestamp AS DATE)) FILTER (timestamp_valid) AS active_days,
-    round(100.0::DOUBLE * avg(is_ir::INT) FILTER (decode_ok), 1) AS pct_ir, round(100.0::DOUBLE * avg(is_dark::INT) FILTER (decode_ok), 1) AS pct_dark,
-    round(100.0::DOUBLE * avg(is_blurry::INT) FILTER (decode_ok), 1) AS pct_blurry, round(100.0::DOUBLE * avg(is_near_duplicate::INT) FILTER (decode_ok), 1) AS pct_near_duplicate,
-    round(100.0::DOUBLE * avg((n_animals + n_people + n_vehicles = 0)::INT) FILTER (decode_ok AND detected), 1) AS pct_empty FROM photos GROUP BY camera_id), quiet AS (
+    round_even(100.0::DOUBLE * avg(is_ir::INT) FILTER (decode_ok), 1) AS pct_ir, round_even(100.0::DOUBLE * avg(is_dark::INT) FILTER (decode_ok), 1) AS pct_dark,
+    round_even(100.0::DOUBLE * avg(is_blurry::INT) FILTER (decode_ok), 1) AS pct_blurry, round_even(100.0::DOUBLE * avg(is_near_duplicate::INT) FILTER (decode_ok), 1) AS pct_near_duplicate,
+    round_even(100.0::DOUBLE * avg((n_animals + n_people + n_vehicles = 0)::INT) FILTER (decode_ok AND detected), 1) AS pct_empty FROM photos GROUP BY camera_id), quiet AS (
   SELECT camera_id, count(*) AS n_gaps, sum(gap_hours) AS silent FROM gaps GROUP BY camera_id), seen AS (
   SELECT camera_id, count(*) AS n_events, count(*) FILTER (observation_type = 'animal') AS n_animal_events FROM events_ GROUP BY camera_id), spans AS (
   SELECT *, coalesce((epoch_us(last_photo) - epoch_us(first_photo)) / 1e6 / 86400, 0.0) AS span FROM own), health AS (
-  SELECT camera_id, n_photos, n_unreadable, n_invalid_timestamp, first_photo, last_photo, round(span, 2) AS span_days, active_days,
-    round(greatest(span - coalesce(silent, 0.0) / 24.0, 0.0), 2) AS effort_days, coalesce(n_gaps, 0) AS n_gaps, round(longest, 1) AS longest_silence_hours,
+  SELECT camera_id, n_photos, n_unreadable, n_invalid_timestamp, first_photo, last_photo, round_even(span, 2) AS span_days, active_days,
+    round_even(greatest(span - coalesce(silent, 0.0) / 24.0, 0.0), 2) AS effort_days, coalesce(n_gaps, 0) AS n_gaps, round_even(longest, 1) AS longest_silence_hours,
     coalesce(n_events, 0) AS n_events, coalesce(n_animal_events, 0) AS n_animal_events, pct_ir, pct_dark, pct_blurry, pct_near_duplicate, pct_empty
   FROM spans LEFT JOIN steps_ USING (camera_id) LEFT JOIN quiet USING (camera_id) LEFT JOIN seen USING (camera_id))"""
 
@@ -245,12 +245,12 @@ SELECT user_id, min(ts) AS start, count(*) AS n_photos FROM numbered GROUP BY us
     "camera_health": (health, sql("silences", "").rstrip() + ",\n" + _HEALTH + " SELECT * FROM health"),
     "species_by_camera": (by_camera, sql("silences", "").rstrip() + ",\n" + _HEALTH + """, pairs AS (
   SELECT camera_id, species, count(DISTINCT event_id) AS n_events, CAST(sum(max_count) AS BIGINT) AS animals, max(max_count) AS max_group FROM event_species GROUP BY ALL)
-SELECT p.*, CASE WHEN effort_days > 0 THEN round(100.0::DOUBLE * p.n_events / effort_days, 1) END AS events_per_100_days FROM pairs p LEFT JOIN health h USING (camera_id)"""),
+SELECT p.*, CASE WHEN effort_days > 0 THEN round_even(100.0::DOUBLE * p.n_events / effort_days, 1) END AS events_per_100_days FROM pairs p LEFT JOIN health h USING (camera_id)"""),
     "daily_photos": (lambda s, d: summaries.daily_photos(A.media(s, d)), sql("media", "SELECT camera_id, CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS date, count(*) AS n_photos FROM media WHERE timestamp_valid GROUP BY ALL")),
     "overview": (overview, sql("events", """SELECT p.*, e.*, l.* FROM (
   SELECT count(*) AS n_photos, count(DISTINCT camera_id) AS n_cameras, min(timestamp) FILTER (timestamp_valid) AS first_photo, max(timestamp) FILTER (timestamp_valid) AS last_photo,
     count(*) FILTER (NOT decode_ok) AS n_unreadable, count(*) FILTER (NOT timestamp_valid) AS n_invalid_timestamp,
-    round(100.0::DOUBLE * avg(is_near_duplicate::INT) FILTER (decode_ok), 1) AS pct_near_duplicate, round(100.0::DOUBLE * avg(is_ir::INT) FILTER (decode_ok), 1) AS pct_ir FROM photos) p, (
+    round_even(100.0::DOUBLE * avg(is_near_duplicate::INT) FILTER (decode_ok), 1) AS pct_near_duplicate, round_even(100.0::DOUBLE * avg(is_ir::INT) FILTER (decode_ok), 1) AS pct_ir FROM photos) p, (
   SELECT count(*) AS n_events, count(*) FILTER (observation_type = 'animal') AS n_animal_events, count(*) FILTER (observation_type = 'person') AS n_person_events,
     count(*) FILTER (observation_type = 'vehicle') AS n_vehicle_events, count(*) FILTER (observation_type = 'blank') AS n_blank_events FROM events_) e, (
   SELECT count(DISTINCT species) FILTER (len(string_split(lineage, ';')) = 5) AS n_species, count(DISTINCT species) AS n_labels FROM event_species) l""")),

@@ -12,7 +12,7 @@ from wildtally.functions import pixels, scalars, taxonomy
 from wildtally.operators import incremental, models, photos
 from wildtally.operators.quality import add_flags
 from wildtally.schemas import CLASSIFICATIONS, DETECTION_RECORDS, DETECTIONS, LABEL_RECORDS, MEDIA, METRICS, QUALITY, RUNS, conform
-from wildtally.settings import PipelineSettings
+from wildtally.settings import Settings
 from wildtally.sources import images
 from wildtally.sources.tables import SIDECAR, RecordStore, load_sidecar
 
@@ -49,21 +49,22 @@ def media_frame(rows: DataFrame, valid_from: str, now: datetime | None = None) -
     return conform(told, MEDIA).orderBy("camera_id", F.asc_nulls_last("timestamp"), "rel_path")
 
 
-def quality_table(media: DataFrame, metrics: DataFrame, settings: PipelineSettings) -> DataFrame:
+def quality_table(media: DataFrame, metrics: DataFrame, settings: Settings) -> DataFrame:
     """Media with measured metrics (one row a photo) into the quality table."""
     joined = media.select("photo_id", "camera_id", "timestamp", "rel_path", "readable").join(metrics, "photo_id", "left")
     ok = F.col("readable") & F.col("error").isNull() & F.col("dhash").isNotNull()
     error = F.when(F.col("readable"), F.col("error")).otherwise("unreadable")
-    return conform(add_flags(joined.withColumns({"decode_ok": F.coalesce(ok, F.lit(False)), "quality_error": error}), settings.quality), QUALITY)
+    return conform(add_flags(joined.withColumns({"decode_ok": F.coalesce(ok, F.lit(False)), "quality_error": error}), settings), QUALITY)
 
 
-def run_quality(spark: SparkSession, media: DataFrame, root: str, store: RecordStore, settings: PipelineSettings) -> DataFrame:
+def run_quality(spark: SparkSession, media: DataFrame, root: str, store: RecordStore, settings: Settings) -> DataFrame:
     """Measures readable photos without a good record, then flags all."""
     todo = incremental.still_to_do(media.filter("readable"), store.read(), "photo_id")
     if not todo.isEmpty():
         decoded = images.decoded_images(spark, root)
-        joined = todo.select("photo_id", "rel_path").join(decoded, "rel_path", "left")
-        told = joined.select("photo_id", pixels.measured(F.col("image"), F.lit(1), settings.quality).alias("m")).select("photo_id", "m.*")
+        turned = images.read_headers(todo.select("rel_path"), root).select("rel_path", "orientation")
+        joined = todo.select("photo_id", "rel_path").join(turned, "rel_path").join(decoded, "rel_path", "left")
+        told = joined.select("photo_id", pixels.measured(F.col("image"), F.col("orientation"), settings).alias("m")).select("photo_id", "m.*")
         store.append(conform(told.withColumn("error", F.when(F.col("dhash").isNull(), F.coalesce("error", F.lit("unreadable")))), METRICS))
     return quality_table(media, store.read(), settings)
 
@@ -78,12 +79,17 @@ def runs_table(records: DataFrame) -> DataFrame:
     return conform(records.withColumn("n_boxes", F.coalesce(F.size("boxes"), F.lit(0))), RUNS)
 
 
-def run_detect(media: DataFrame, quality: DataFrame, root: str, factory: Callable[[], models.Detector] | None, store: RecordStore) -> tuple[DataFrame, DataFrame]:
-    """Boxes and runs of all decoded photos; only those without a good record go through the detector."""
+def run_detect(media: DataFrame, quality: DataFrame, root: str, factory: Callable[[], models.Detector] | None, store: RecordStore, batch: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """Boxes and runs of all decoded photos; only those without a good record go through the detector.
+
+    Photos are dealt to rounds of about `batch` by a hash, each kept before the next begins, so a crash loses one round.
+    """
     decoded = media.join(quality.filter("decode_ok").select("photo_id"), "photo_id", "left_semi")
     todo = incremental.still_to_do(decoded, store.read(), "photo_id")
-    if factory and not todo.isEmpty():
-        store.append(conform(models.detect(todo, root, factory), DETECTION_RECORDS))
+    rounds = -(-todo.count() // batch) if factory else 0
+    place = F.pmod(F.xxhash64("photo_id"), F.lit(max(1, rounds)))
+    for k in range(rounds):
+        store.append(conform(models.detect(todo.filter(place == k), root, factory), DETECTION_RECORDS))
     records = store.read().join(decoded.select("photo_id"), "photo_id", "left_semi")
     return boxes_table(records), runs_table(records)
 
@@ -104,11 +110,11 @@ def classifications_table(selected: DataFrame, records: DataFrame, threshold: fl
     return conform(told, CLASSIFICATIONS)
 
 
-def run_classify(boxes: DataFrame, media: DataFrame, root: str, factory: Callable[[], models.Classifier] | None, store: RecordStore, settings: PipelineSettings) -> DataFrame:
+def run_classify(boxes: DataFrame, media: DataFrame, root: str, factory: Callable[[], models.Classifier] | None, store: RecordStore, settings: Settings) -> DataFrame:
     """Labels of selected boxes; keys hold the coordinates, so boxes that come out the same again keep their labels."""
-    selected = photos.select_boxes(boxes, settings.detection.count_conf, settings.classification.max_boxes_per_photo)
+    selected = photos.select_boxes(boxes, settings.count_conf, settings.boxes_per_photo)
     todo = incremental.still_to_do(selected, store.read(), "box_key")
     if factory and not todo.isEmpty():
         grouped = photos.photos_with_boxes(todo).join(media.select("photo_id", "rel_path"), "photo_id")
         store.append(conform(models.classify(grouped, root, factory), LABEL_RECORDS))
-    return classifications_table(selected, store.read(), settings.classification.species_threshold)
+    return classifications_table(selected, store.read(), settings.species_threshold)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +36,6 @@ def image_paths(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(p,) for p in find_images(root)], "rel_path string")
 
 
-def scan_images(spark: SparkSession, root: str) -> DataFrame:
-    """rel_path, file_bytes, content by Spark's own distributed listing; it never sees names with a leading _ or dot."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    rows = rows.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*EXTENSIONS))
-    base = root.rstrip("/").partition("://")[2] or root.rstrip("/")
-    return rows.select(F.regexp_replace("path", rf"^.*?\Q{base}\E/", "").alias("rel_path"), F.col("length").alias("file_bytes"), "content")
-
-
 @dataclass
 class Header:
     width: int | None = None
@@ -111,7 +104,23 @@ def read_header(data: bytes) -> Header:
     return header
 
 
-HEADERS = "rel_path string, width long, height long, file_bytes long, original string, date_time string, exif_make string, exif_model string, exif_serial string, readable boolean, error string"
+#: Bytes read of a file to begin with, and then, if its header reaches further; after that all of it.
+HEADS = (1 << 16, 1 << 20)
+
+
+def header_of(file: pa.NativeFile) -> Header:
+    """The header of an open file, of which no more is read than it needs."""
+    size = file.size()
+    for head in (*(h for h in HEADS if h < size), size):
+        try:
+            return read_header(file.read_at(head, 0))
+        except ValueError:
+            if head == size:
+                raise
+    raise ValueError("an empty file")
+
+
+HEADERS = "rel_path string, width long, height long, file_bytes long, original string, date_time string, exif_make string, exif_model string, exif_serial string, orientation int, readable boolean, error string"
 
 
 def read_headers(paths: DataFrame, root: str) -> DataFrame:
@@ -126,12 +135,12 @@ def read_headers(paths: DataFrame, root: str) -> DataFrame:
                 try:
                     with store.open_input_file(f"{base}/{path}") as file:
                         size = file.size()
-                        header = read_header(file.read())
+                        header = header_of(file)
                 except (OSError, ValueError) as problem:
                     error = type(problem).__name__
-                rows.append((path, header.width, header.height, size, header.original, header.date_time, header.make, header.model, header.serial, error is None, error))
+                rows.append((path, header.width, header.height, size, header.original, header.date_time, header.make, header.model, header.serial, header.orientation, error is None, error))
             frame = pd.DataFrame(rows, columns=[c.split()[0] for c in HEADERS.split(", ")], dtype=object)
-            yield frame.astype({c: "Int64" for c in ("width", "height", "file_bytes")})
+            yield frame.astype({c: "Int64" for c in ("width", "height", "file_bytes", "orientation")})
 
     return paths.select("rel_path").mapInPandas(work, HEADERS)
 
@@ -153,7 +162,7 @@ def decoded_images(spark: SparkSession, root: str) -> DataFrame:
     for path, name in names:
         pafs.copy_files(f"{base}/{path}", f"{copy}/{name}", source_filesystem=source, destination_filesystem=target)
     known = spark.createDataFrame(names, "path string, rel_path string")
-    copied = _read_images(spark, folder).join(F.broadcast(known), "rel_path").select(F.col("path").alias("rel_path"), "image")
+    copied = _read_images(spark, folder).join(known, "rel_path").select(F.col("path").alias("rel_path"), "image")
     return rows.unionByName(copied)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import itertools
 import json
 import os
 import shutil
@@ -10,12 +13,14 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.errors import InputError
 from wildtally.functions.scalars import cleaned
 from wildtally.operators.incremental import last_of_each
+from wildtally.storage import fresh_path
 
 SIDECAR = "metadata.csv"
 
@@ -43,8 +48,13 @@ def parse_metadata(spark: SparkSession, path: str) -> DataFrame:
             member = next((n for n in archive.namelist() if n.lower().endswith(".json")), None)
             if member is None:
                 raise InputError("the zip holds no JSON")
-            folder = tempfile.mkdtemp(prefix="wildtally-")
-            path = archive.extract(member, folder)
+            data = archive.read(member)
+        folder = fresh_path(spark, "metadata")
+        store, root = pafs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        path = f"{folder}/survey.json"
+        with store.open_output_stream(f"{root}/survey.json", compression=None) as out:
+            out.write(data)
     fields = ("file_name", *CAMERA_FIELDS, *TIME_FIELDS, "seq_id")
     schema = f"images array<struct<{','.join(f'{f}:string' for f in fields)}>>, _corrupt string"
     rows = spark.read.option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").schema(schema).json(path)
@@ -100,13 +110,37 @@ class RecordStore:
         records.write.mode("overwrite").parquet(f"{self.path}/attempt={number:06d}")
 
 
+def json_lines(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
+    """_row, x (the record, null if it is malformed, no object or without a key) of each line that isn't blank."""
+    rows = spark.read.text(path).withColumn("_row", F.monotonically_increasing_id()).filter(F.trim("value") != "")
+    told = rows.select("_row", F.from_json("value", schema).alias("x"))
+    return told.withColumn("x", F.when(F.col(f"x.{key}").isNotNull(), F.col("x")))
+
+
 def read_json_records(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
     """Records of a JSON-lines file: malformed and keyless lines are dropped, of a key the last line counts."""
-    rows = spark.read.text(path).withColumn("_row", F.monotonically_increasing_id())
-    told = rows.select(F.from_json("value", schema).alias("x"), "_row").filter("x IS NOT NULL").select("x.*", "_row")
+    told = json_lines(spark, path, key, schema).filter("x IS NOT NULL").select("x.*", "_row")
     return last_of_each(told, key, "_row").drop("_row")
 
 
+def mended_json_records(spark: SparkSession, path: str, key: str, schema: str) -> int:
+    """How many lines of the file are no record; if any, the file is written anew without them, as a crash may have torn the last."""
+    lines = json_lines(spark, path, key, schema)
+    torn = lines.filter("x IS NULL").count()
+    if torn:
+        kept = lines.filter("x IS NOT NULL").orderBy("_row").select(F.to_json("x").alias("value"))
+        staging = f"{path}.mended"
+        kept.coalesce(1).write.mode("overwrite").text(staging)
+        jvm = spark.sparkContext._jvm
+        target, folder = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
+        store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        part = next(s.getPath() for s in store.listStatus(folder) if s.getPath().getName().startswith("part-"))
+        store.delete(target, False)
+        store.rename(part, target)
+        store.delete(folder, True)
+    return torn
+
+
 def atomic_write_bytes(path: Path, data: bytes) -> None:
     """Written beside and moved into place, so a reader sees all or nothing."""
     path.parent.mkdir(parents=True, exist_ok=True)
@@ -131,27 +165,44 @@ def atomic_write_json(path: Path, value: object) -> None:
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Written as Parquet under another name and moved into place; returns the table as read back."""
-    staging = f"{path}.new"
-    df.write.mode("overwrite").parquet(staging)
-    jvm = df.sparkSession.sparkContext._jvm
-    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staging))
-    store = old.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    """Written as Parquet beside and moved into place; returns the table as read back.
+
+    The old table is moved aside before and deleted after, so a crash leaves the one or the other under a name of its own.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    target, new, old = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new", f"{path}.old"))
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     store.delete(old, True)
-    store.rename(new, old)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def csv_lines(df: DataFrame) -> Iterator[str]:
-    """Header and rows of a small ordered table."""
-    yield ",".join(df.columns)
-    quoted = lambda v: "" if v is None else f'"{v}"' if "," in str(v) else str(v)
-    for row in df.toLocalIterator():
-        yield ",".join(map(quoted, row))
-
-
-def publish(run_dir: Path, out_dir: Path) -> list[Path]:
-    """Copies the report and the summary CSVs of a run."""
-    out_dir.mkdir(parents=True, exist_ok=True)
-    found = [run_dir / "report.html", *sorted((run_dir / "summary").glob("*.csv"))]
-    return [Path(shutil.copy2(p, out_dir / p.name)) for p in found if p.exists()]
+    if store.exists(target):
+        store.rename(target, old)
+    store.rename(new, target)
+    store.delete(old, True)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def csv_text(df: DataFrame) -> Iterator[str]:
+    """Lines of a small ordered table; null is empty, whole seconds are written without a fraction."""
+    line = io.StringIO()
+    writer = csv.writer(line, lineterminator="\n")
+    for row in itertools.chain([df.columns], df.toLocalIterator()):
+        writer.writerow(["" if v is None else str(v) for v in row])
+        yield line.getvalue()
+        line.seek(0)
+        line.truncate()
+
+
+def write_csv(df: DataFrame, path: Path) -> None:
+    atomic_write_text(path, "".join(csv_text(df)))
+
+
+def publish(run_dir: Path, out_dir: Path, events: DataFrame) -> list[Path]:
+    """Copies the report, the charts and the summary CSVs of a run, and writes its events as one."""
+    wanted = [run_dir / "report.html", *sorted((run_dir / "plots").glob("*.svg")), *sorted((run_dir / "summary").glob("*.csv"))]
+    found = []
+    for source in wanted:
+        target = out_dir / source.relative_to(run_dir)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        found.append(Path(shutil.copy2(source, target)))
+    write_csv(events.orderBy("camera_id", "start", "event_id"), out_dir / "summary" / "events.csv")
+    return [*found, out_dir / "summary" / "events.csv"]
