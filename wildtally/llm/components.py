@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wildtally.llm.shared import cut
+from wildtally.llm.shared import remove, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,26 +14,32 @@ def components(edges: DataFrame) -> DataFrame:
     Each round, every node points to the neighbour (or itself) that comes first in a fresh random order, and edges are
     redrawn between what their ends point to. That leaves a constant share of the nodes at most, so the rounds grow with
     the logarithm of the largest component. A node with very many edges is reduced before it is shuffled, and joins on
-    it can be split, as nothing behind them needs its rows together. Loops and repeated edges change nothing; no
-    edges give no rows.
+    it can be split, as nothing behind them needs its rows together. Each round's rows are a written table, whose size
+    is known: the sizes that plans guess for joins multiply from round to round until planning takes minutes. A table
+    that a later one replaces is deleted. Loops and repeated edges change nothing; no edges give no rows.
     """
-    live = cut(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    pointers: list[DataFrame] = []
+    spark = edges.sparkSession
+    live, at = stored(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    pointers: list[tuple[DataFrame, str]] = []
     while not live.isEmpty():
         place = lambda c, turn=len(pointers): F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("to"))
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min(place("b")).alias("near"))
-        points = cut(near.select(F.col("a").alias("node"), F.least(F.col("near"), place("a"))["to"].alias("to")))
-        pointers.append(points)
+        pointers.append(stored(near.select(F.col("a").alias("node"), F.least(F.col("near"), place("a"))["to"].alias("to")), "pointers"))
+        points = pointers[-1][0]
         left = live.join(points.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").select("x", "b")
         moved = left.join(points.select(F.col("node").alias("b"), F.col("to").alias("y")), "b").filter("x <> y")
-        live = cut(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        old, (live, at) = at, stored(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        remove(spark, old)
+    remove(spark, at)
     if not pointers:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
-    roots = pointers.pop()
+    roots, at = pointers.pop()
     while pointers:
         on = roots.select(F.col("node").alias("to"), F.col("to").alias("root"))
-        roots = pointers.pop().join(on, "to", "left").select("node", F.coalesce("root", "to").alias("to"))
-    roots = cut(roots)
+        (points, older), old = pointers.pop(), at
+        roots, at = stored(points.join(on, "to", "left").select("node", F.coalesce("root", "to").alias("to")), "roots")
+        remove(spark, old)
+        remove(spark, older)
     smallest = roots.groupBy("to").agg(F.min("node").alias("component"))
     return roots.join(smallest, "to").select("node", "component")

@@ -6,8 +6,11 @@ that agree in ALIKE of all hashes are tied (at 0.8, fewer agree with a probabili
 share a passage don't grow into one. What ties connect is a candidate group.
 
 Texts of candidate groups are brought together, and two are linked only if their shingle sets, compared in full, have
-the similarity asked for. Groups are what such links connect. Cells over CELL_ROWS members and groups over
-GROUP_SHINGLES shingles are dealt out as pairs of parts, so no task holds more than two parts and no pair is left out.
+the similarity asked for. Groups are what such links connect.
+
+Cells over CELL_ROWS members and groups over GROUP_SHINGLES shingles are dealt out in parts, each with the same LEADERS
+members of the whole, so a crowd of near copies is connected through them and its rows are dealt once. Only members
+that this leaves apart from the most common component are compared with all parts, so no pair is left out.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from wildtally.llm.components import components
 from wildtally.llm.shared import SENT_KEYS, as_bytes, cut, over_batches
 
 HASHES, ROWS, ALIKE = 64, 4, 32
-CELL_ROWS, GROUP_SHINGLES = 4096, 2_000_000
+CELL_ROWS, GROUP_SHINGLES, LEADERS = 512, 200_000, 8
 FACTORS = np.random.default_rng(80).integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 SEED = 42
 
@@ -128,12 +131,44 @@ def in_groups(roots: Callable[[list[pa.RecordBatch]], np.ndarray]):
     return work
 
 
-def dealt(rows: DataFrame, group: str, columns: list[str]) -> DataFrame:
-    """Rows by group and task: part p (of `parts`) meets every part, in the tasks (p, q) and (q, p) with the smaller first."""
-    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.least(q, F.col("own")) * F.col("parts") + F.greatest(q, F.col("own")))
-    tasks = own.select(group, F.explode(meets).alias("task"), *columns)
-    return tasks.repartition(group, "task").sortWithinPartitions(group, "task")
+def parts_of(rows: DataFrame, group: str, weight: F.Column, limit: int) -> DataFrame:
+    """group, parts, leaders (nodes) of groups that weigh more than `limit`; `rows` has each member once: group, node.
+
+    Leaders are least by as many random orders, each a minimum, so no group is gathered.
+    """
+    least = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"] for k in range(LEADERS)]
+    totals = rows.groupBy(group).agg(F.ceil(F.sum(weight) / limit).cast("int").alias("parts"), F.array_distinct(F.array(*least)).alias("leaders"))
+    return cut(totals.filter("parts > 1"))
+
+
+def first_round(rows: DataFrame, large: DataFrame, group: str) -> DataFrame:
+    """`rows` with the column task: each in its own part, leaders in every part; groups not in `large` are one part."""
+    told = rows.join(large, group, "left")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    tasks = F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(F.array_contains("leaders", F.col("node")), every).otherwise(F.array(own))
+    return told.withColumn("task", F.explode(tasks)).drop("parts", "leaders")
+
+
+def second_round(rows: DataFrame, large: DataFrame, group: str, joined: DataFrame, weight: F.Column, limit: int) -> DataFrame | None:
+    """`rows` of large groups whose members `joined` (node, component) leaves in several components, with the column task: those apart from the group's most common component meet all. None if there are none."""
+    member = rows.join(large.select(group, "parts"), group).join(joined.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    common = member.groupBy(group, "label").count().groupBy(group).agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    member = cut(member.join(common, group))
+    apart = member.filter("label <> main")
+    rest = cut(apart.groupBy(group).agg(F.ceil(F.sum(weight) / limit).cast("int").alias("others")))
+    if rest.isEmpty():
+        return None
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    both = member.join(rest, group)
+    as_rest = both.filter("label <> main").withColumn("task", F.explode(F.transform(every("parts"), lambda p: p * F.col("others") + own("others"))))
+    as_any = both.withColumn("task", F.explode(F.transform(every("others"), lambda q: own("parts") * F.col("others") + q)))
+    return as_any.unionByName(as_rest).select(*rows.columns, "task").distinct()
+
+
+def in_tasks(rows: DataFrame, group: str) -> DataFrame:
+    return rows.repartition(group, "task").sortWithinPartitions(group, "task")
 
 
 def sketches(docs: DataFrame, words: int, key: str) -> DataFrame:
@@ -149,40 +184,51 @@ def sketches(docs: DataFrame, words: int, key: str) -> DataFrame:
     return docs.select(key, "text").mapInArrow(over_batches(work), f"`{key}` {kind}, node long, n long, sketch binary")
 
 
+def connected(rows: DataFrame, group: str, weight: F.Column, limit: int, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node, component of all nodes that links within a group connect; `rows` has each member of a group once, `links` gives the links (a, b) within tasks of rows."""
+    large = parts_of(rows, group, weight, limit)
+    found = cut(links(first_round(rows, large, group)))
+    joined = components(found)
+    if large.isEmpty():
+        return joined
+    more = second_round(rows, large, group, cut(joined), weight, limit)
+    return joined if more is None else components(found.unionByName(links(more)))
+
+
 def candidates(sets: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """a, b: links that connect the nodes of each candidate group; `sets` has a row for each: node, sketch."""
+    """node, component: each candidate group; `sets` has a row for each node: node, sketch."""
     width = 4 * ROWS
     cells = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * width + 1, width)) for k in range(HASHES // ROWS)])
     member = sets.select("node", F.explode(cells).alias("cell"))
-    full = member.groupBy("cell").count().filter("count > 1").select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts"))
-    met = cut(member.join(full, "cell")).join(sets.select("node", "sketch"), "node")
+    full = member.groupBy("cell").count().filter("count > 1").select("cell")
+    met = cut(member.join(full, "cell").select("cell", "node"))
 
     def roots(held: list[pa.RecordBatch]) -> np.ndarray:
         return tied(np.frombuffer(b"".join(x for b in held for x in b.column(3).to_pylist()), "<u4").reshape(-1, HASHES))
 
-    return dealt(met, "cell", ["node", "sketch"]).mapInArrow(in_groups(roots), "a long, b long")
+    def links(tasks: DataFrame) -> DataFrame:
+        rows = tasks.join(sets.select("node", "sketch"), "node").select("cell", "task", "node", "sketch")
+        return in_tasks(rows, "cell").mapInArrow(in_groups(roots), "a long, b long")
+
+    return connected(met, "cell", F.lit(1), cell_rows, links)
 
 
 def verified(docs: DataFrame, sets: DataFrame, proposed: DataFrame, least: float, words: int, key: str, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """node, root: what pairs of similarity `least` or more connect within a proposed group (node, component); roots may be left out.
+    """node, component: what pairs of similarity `least` or more connect within a proposed group (node, component).
 
     `sets` has a row for each node: node, n and first, the key of a row of `docs` with its text.
     """
-    chosen = cut(proposed.join(sets, "node").select("node", "component", "n", F.col("first").alias(key)))
-    large = chosen.groupBy("component").agg(F.ceil(F.sum("n") / group_shingles).cast("int").alias("parts")).filter("parts > 1")
-    large = cut(large)
-    whole = large.isEmpty()
-    wanted = chosen.withColumn("parts", F.lit(1)) if whole else cut(chosen.join(large, "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1))))
-    wanted = wanted.select(key, "node", "component", "parts")
-    texts = docs.select(key, "text").join(F.broadcast(wanted) if wanted.count() <= SENT_KEYS else wanted, key)
+    chosen = cut(proposed.withColumnRenamed("component", "group").join(sets, "node").select("group", "node", "n", F.col("first").alias(key)))
 
     def roots(held: list[pa.RecordBatch]) -> np.ndarray:
         return resembling([shingles(x, words) for b in held for x in as_bytes(b.column(3))], least)
 
-    links = dealt(texts, "component", ["node", "text"]).mapInArrow(in_groups(roots), "a long, b long")
-    if whole:  # each group was seen by one task, so its links are to roots already
-        return links.filter("a <> b").distinct().select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return components(links).withColumnRenamed("component", "root")
+    def links(tasks: DataFrame) -> DataFrame:
+        wanted = cut(tasks.select(key, "node", "group", "task"))
+        rows = docs.select(key, "text").join(F.broadcast(wanted) if wanted.count() <= SENT_KEYS else wanted, key)
+        return in_tasks(rows.select("group", "task", "node", "text"), "group").mapInArrow(in_groups(roots), "a long, b long")
+
+    return connected(chosen, "group", F.col("n"), group_shingles, links)
 
 
 def groups(docs: DataFrame, key: str = "key", least: float = 0.8, words: int = 5, cell_rows: int = CELL_ROWS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
@@ -193,9 +239,8 @@ def groups(docs: DataFrame, key: str = "key", least: float = 0.8, words: int = 5
     """
     own = cut(sketches(docs, words, key))
     sets = cut(own.groupBy("node").agg(F.min(F.struct(F.col(key), "n", "sketch")).alias("r")).select("node", F.col(f"r.{key}").alias("first"), "r.n", "r.sketch"))
-    proposed = components(candidates(sets, cell_rows))
-    joined = verified(docs, sets.drop("sketch"), proposed, least, words, key, group_shingles)
-    labelled = cut(sets.select("node", "first").join(joined, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")))
+    joined = verified(docs, sets.drop("sketch"), candidates(sets, cell_rows), least, words, key, group_shingles)
+    labelled = cut(sets.select("node", "first").join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root")))
     roots = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(roots, "root").select("node", "component_id")
     return own.select(key, "node").join(classes, "node").select(key, "component_id")
