@@ -33,32 +33,38 @@ def resolve_labels(rows: DataFrame, most_animals: DataFrame) -> DataFrame:
     """Rows event_id, photo_id, species, lineage, ... with the labels of each event reconciled.
 
     The labels of an event are few (distinct taxa), so they are gathered into one array each; a name with two lineages
-    keeps that of its last row by photo and lineage.
+    keeps that of its last row by photo and lineage. Everything is keyed by event alone, so rows move once.
     """
+    rows = rows.repartition("event_id")
     one = rows.groupBy("event_id", "species").agg(
         F.min(F.struct("photo_id", "lineage")).alias("first"), F.max_by("lineage", F.struct("photo_id", "lineage")).alias("lineage")
     )
     ranked = F.sort_array(F.collect_list(F.struct("first", "species", "lineage")))
     labels = F.transform(ranked, lambda x: F.struct(x["species"].alias("species"), x["lineage"].alias("lineage")))
-    mixed = one.groupBy("event_id").agg(labels.alias("labels")).filter(F.size("labels") > 1)
-    single = mixed.join(most_animals, "event_id").select("event_id", "labels", (F.col("most") <= 1).alias("single"))
-    fold = single.select("event_id", F.explode(reconciled(F.col("labels"), F.col("single"))).alias("m")).select("event_id", "m.*")
-    told = rows.join(fold, ["event_id", "species"], "left")
+    mixed = one.groupBy("event_id").agg(labels.alias("labels")).filter(F.size("labels") > 1).join(most_animals, "event_id")
+    fold = mixed.select("event_id", reconciled(F.col("labels"), F.col("most") <= 1).alias("_fold"))
+    told = rows.join(fold, "event_id", "left")
+    to = F.get(F.filter("_fold", lambda m: m["species"] == F.col("species")), F.lit(0))
+    told = told.withColumn("_to", to)
     return told.withColumns({
-        "species": F.coalesce("to_species", "species"), "lineage": F.when(F.col("to_species").isNull(), F.col("lineage")).otherwise(F.col("to_lineage")),
-    }).drop("to_species", "to_lineage")
+        "species": F.coalesce("_to.to_species", "species"), "lineage": F.when(F.col("_to.to_species").isNull(), F.col("lineage")).otherwise(F.col("_to.to_lineage")),
+    }).drop("_fold", "_to")
 
 
-def event_species(in_events: DataFrame, per_photo: DataFrame) -> DataFrame:
-    """One row for each event and label: the most seen in one frame, never summed over frames."""
+def event_species(in_events: DataFrame, per_photo: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """One row for each event and label: the most seen in one frame, never summed over frames.
+
+    `whole` has event_id, camera_id, start and max_animals of each event, if they are known already.
+    """
     rows = per_photo.join(in_events.select("photo_id", "event_id"), "photo_id")
-    whole = in_events.groupBy("event_id").agg(F.max("n_animals").alias("most"), F.min("camera_id").alias("camera_id"), F.min("timestamp").alias("start"))
-    told = resolve_labels(rows, whole.select("event_id", "most"))
+    if whole is None:
+        whole = in_events.groupBy("event_id").agg(F.max("n_animals").alias("max_animals"), F.min("camera_id").alias("camera_id"), F.min("timestamp").alias("start"))
+    told = resolve_labels(rows, whole.select("event_id", F.col("max_animals").alias("most")))
     frames = told.groupBy("event_id", "photo_id", "species", "lineage").agg(F.sum("count").alias("count"), F.max("max_score").alias("max_score"))
     labels = frames.groupBy("event_id", "species", "lineage").agg(
         F.max("count").alias("max_count"), F.count("*").alias("n_photos"), F.max("max_score").alias("max_score")
     )
-    return conform(labels.join(whole.drop("most"), "event_id"), EVENT_SPECIES)
+    return conform(labels.join(whole.select("event_id", "camera_id", "start"), "event_id"), EVENT_SPECIES)
 
 
 def observation_type() -> F.Column:
@@ -77,7 +83,7 @@ def build_events(photos: DataFrame, per_photo: DataFrame, gap_s: float) -> tuple
         (F.max("n_people") > 0).alias("has_person"), (F.max("n_vehicles") > 0).alias("has_vehicle"), F.min_by("photo_id", best).alias("best_photo_id"),
     )
     events = events.withColumns({"duration_s": seconds_between(F.col("start"), F.col("end")), "observation_type": observation_type()})
-    labels = event_species(in_events, per_photo)
+    labels = event_species(in_events, per_photo, events)
     rank = F.struct((-F.col("max_count")).alias("a"), (-F.col("n_photos")).alias("b"), F.col("max_score").isNull().alias("c"), (-F.col("max_score")).alias("d"), "species")
     primary = labels.groupBy("event_id").agg(F.min_by(F.struct("species", "max_count"), rank).alias("p"))
     primary = primary.select("event_id", F.col("p.species").alias("species"), F.col("p.max_count").alias("species_count"))

@@ -11,21 +11,24 @@ from wildtally.settings import Settings
 from wildtally.storage import cut
 
 
-def near_duplicate_parents(frame: DataFrame, max_bits: int, window: int, max_gap_s: float) -> DataFrame:
-    """photo_id, parent: the closest earlier photo of the camera, at most `window` back and `max_gap_s` before, whose
-    hash differs by at most `max_bits`; null if there is none. Photos without a hash or a time are left out."""
-    order = W.partitionBy("camera_id").orderBy("timestamp", "rel_path")
-    hashed = frame.filter(F.col("dhash").isNotNull() & F.col("timestamp").isNotNull())
-    hashed = hashed.select("photo_id", "camera_id", "timestamp", "rel_path", "dhash")
-    earlier = {f"_{k}": F.lag(F.struct("photo_id", "timestamp", "dhash"), k).over(order) for k in range(1, window + 1)}
-    seen = hashed.withColumns(earlier)
+def with_parents(frame: DataFrame, max_bits: int, window: int, max_gap_s: float) -> DataFrame:
+    """`frame` with parent: the closest earlier photo of the camera, at most `window` back and `max_gap_s` before, whose
+    hash differs by at most `max_bits`; null if there is none. Photos without a hash or a time have none and are none."""
+    order = W.partitionBy("camera_id", F.col("dhash").isNotNull() & F.col("timestamp").isNotNull()).orderBy("timestamp", "rel_path")
+    seen = frame.withColumns({f"_{k}": F.lag(F.struct("photo_id", "timestamp", "dhash"), k).over(order) for k in range(1, window + 1)})
 
     def match(k: int) -> F.Column:
         e = F.col(f"_{k}")
         near = micros_between(e["timestamp"], F.col("timestamp")) <= max_gap_s * 1e6
         return F.when(near & (hamming(F.col("dhash"), e["dhash"]) <= max_bits), e["photo_id"])
 
-    return seen.select("photo_id", F.coalesce(*map(match, range(1, window + 1))).alias("parent"))
+    return seen.withColumn("parent", F.coalesce(*map(match, range(1, window + 1)))).drop(*[f"_{k}" for k in range(1, window + 1)])
+
+
+def near_duplicate_parents(frame: DataFrame, max_bits: int, window: int, max_gap_s: float) -> DataFrame:
+    """photo_id, parent of the photos with a hash and a time."""
+    hashed = frame.filter(F.col("dhash").isNotNull() & F.col("timestamp").isNotNull())
+    return with_parents(hashed.select("photo_id", "camera_id", "timestamp", "rel_path", "dhash"), max_bits, window, max_gap_s).select("photo_id", "parent")
 
 
 def roots_of(parents: DataFrame) -> DataFrame:
@@ -46,11 +49,11 @@ def near_duplicate_groups(frame: DataFrame, max_bits: int = 6, window: int = 8,
     return frame.join(roots, "photo_id", "left").withColumn("dup_group", F.coalesce("root", "photo_id")).drop("root")
 
 
-def add_flags(frame: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """`frame` with is_ir, is_dark, is_overexposed, sharpness_rel, is_blurry, dup_group, is_near_duplicate.
+def photo_flags(frame: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """`frame` with is_ir, is_dark, is_overexposed, sharpness_rel, is_blurry, parent, is_near_duplicate.
 
     Sharpness is judged against the exact median of the camera's decoded photos of the same kind (infrared or not),
-    and rounded before it is compared.
+    and rounded before it is compared. A photo with a parent is a near-duplicate; that takes no chain to be followed.
     """
     s = settings or Settings()
     ok = F.col("decode_ok")
@@ -63,5 +66,12 @@ def add_flags(frame: DataFrame, settings: Settings | None = None) -> DataFrame:
     rel = rounded(F.col("sharpness") / F.when(F.col("_median") > 0, F.col("_median")), 4)
     judged = flagged.join(medians, ["camera_id", "is_ir"], "left").withColumn("sharpness_rel", F.when(ok, rel)).drop("_median")
     judged = judged.withColumn("is_blurry", flag(F.col("sharpness_rel") < s.blurred_below))
-    grouped = near_duplicate_groups(judged, s.alike_bits, s.look_back, s.look_back_s)
-    return grouped.withColumn("is_near_duplicate", flag(F.col("dup_group") != F.col("photo_id")))
+    tied = with_parents(judged, s.alike_bits, s.look_back, s.look_back_s)
+    return tied.withColumn("is_near_duplicate", flag(F.col("parent").isNotNull()))
+
+
+def add_flags(frame: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """photo_flags() with dup_group, the photo that a chain of near-duplicates begins with, in place of parent."""
+    flagged = photo_flags(frame, settings)
+    roots = roots_of(flagged.select("photo_id", "parent"))
+    return flagged.join(roots, "photo_id", "left").withColumn("dup_group", F.coalesce("root", "photo_id")).drop("root", "parent")

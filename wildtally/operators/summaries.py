@@ -46,8 +46,8 @@ def percent(flag: str, of: Column) -> Column:
 
 def camera_health(photos: DataFrame, events: DataFrame, gaps: DataFrame) -> DataFrame:
     """18 figures for each camera."""
-    # one pass: the lag shares the sort by camera with nothing else, photos without a valid clock have none
-    order = W.partitionBy("camera_id", "timestamp_valid").orderBy("timestamp")
+    # photos with a valid clock come first, so the lag needs no key but the camera's, as the sums behind it
+    order = W.partitionBy("camera_id").orderBy(F.desc("timestamp_valid"), "timestamp")
     step = F.when(F.col("timestamp_valid"), micros_between(F.lag("timestamp").over(order), F.col("timestamp")) / 1e6 / HOUR)
     ok, timed = F.col("decode_ok"), F.when(F.col("timestamp_valid"), F.col("timestamp"))
     looked = ok & F.col("detected")
@@ -72,8 +72,17 @@ def camera_health(photos: DataFrame, events: DataFrame, gaps: DataFrame) -> Data
     ).orderBy("camera_id")
 
 
+def camera_effort(photos: DataFrame, gaps: DataFrame) -> DataFrame:
+    """camera_id, effort_days alone, as camera_health() has them."""
+    timed = F.when(F.col("timestamp_valid"), F.col("timestamp"))
+    span = F.coalesce(micros_between(F.min(timed), F.max(timed)) / 1e6 / DAY, F.lit(0.0))
+    silent = gaps.groupBy("camera_id").agg(F.sum("gap_hours").alias("_silent"))
+    own = photos.groupBy("camera_id").agg(span.alias("_span")).join(silent, "camera_id", "left")
+    return own.select("camera_id", rounded(F.greatest(F.col("_span") - F.coalesce(F.col("_silent"), F.lit(0.0)) / 24.0, F.lit(0.0)), 2).alias("effort_days"))
+
+
 def species_by_camera(labels: DataFrame, health: DataFrame) -> DataFrame:
-    """Events, animals and events per 100 effort days (null without effort) of each camera and label."""
+    """Events, animals and events per 100 effort days (null without effort) of each camera and label; `health` has camera_id, effort_days."""
     table = labels.groupBy("camera_id", "species").agg(
         F.countDistinct("event_id").alias("n_events"), F.sum("max_count").alias("animals"), F.max("max_count").alias("max_group")
     )

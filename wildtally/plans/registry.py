@@ -11,6 +11,7 @@ from wildtally.functions import scalars, taxonomy
 from wildtally.operators import charts, events, incremental, photos, quality, summaries
 from wildtally.plans import analog as A
 from wildtally.plans import grading
+from wildtally.storage import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 PHOTO_COLUMNS = (
@@ -21,7 +22,7 @@ PHOTO_COLUMNS = (
 
 def photo_table(spark: SparkSession, d: str) -> DataFrame:
     media = A.media(spark, d)
-    whole = photos.build_photo_table(media, A.quality(spark, d), A.detections(spark, d), A.runs(spark, d), A.classifications(spark, d), A.COUNT_CONF)
+    whole = photos.build_photo_table(media, A.flags(spark, d), A.detections(spark, d), A.runs(spark, d), A.classifications(spark, d), A.COUNT_CONF)
     return whole.select(*PHOTO_COLUMNS)
 
 
@@ -29,8 +30,15 @@ def per_photo(spark: SparkSession, d: str) -> DataFrame:
     return photos.photo_species(A.detections(spark, d), A.classifications(spark, d), A.COUNT_CONF)
 
 
+def counted_photos(spark: SparkSession, d: str) -> DataFrame:
+    """What events need of the photos: clock, decoding and box counts, no flags or labels."""
+    counts = photos.box_counts(A.detections(spark, d), A.COUNT_CONF)
+    whole = A.measured(spark, d).select("photo_id", "camera_id", "rel_path", "timestamp", "timestamp_valid", "decode_ok").join(counts, "photo_id", "left")
+    return whole.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_animals", "n_people", "n_vehicles")})
+
+
 def built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return events.build_events(photo_table(spark, d), per_photo(spark, d), A.GAP_S)
+    return events.build_events(counted_photos(spark, d), per_photo(spark, d), A.GAP_S)
 
 
 def sessions(spark: SparkSession, d: str) -> DataFrame:
@@ -78,20 +86,22 @@ def event_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gaps(spark: SparkSession, d: str) -> DataFrame:
-    return summaries.camera_gaps(photo_table(spark, d), A.GAP_HOURS)
+    return summaries.camera_gaps(A.media(spark, d), A.GAP_HOURS)
 
 
 def health(spark: SparkSession, d: str) -> DataFrame:
-    whole, found, _ = built(spark, d)
-    return summaries.camera_health(whole, found, summaries.camera_gaps(whole, A.GAP_HOURS))
+    whole, (_, found, _) = photo_table(spark, d), built(spark, d)
+    return summaries.camera_health(whole, found, gaps(spark, d))
 
 
 def by_camera(spark: SparkSession, d: str) -> DataFrame:
-    return summaries.species_by_camera(event_labels(spark, d), health(spark, d))
+    return summaries.species_by_camera(event_labels(spark, d), summaries.camera_effort(A.media(spark, d), gaps(spark, d)))
 
 
 def overview(spark: SparkSession, d: str) -> DataFrame:
-    return summaries.overview(*built(spark, d))
+    """Events and labels are figures of one row each, so they are written once and read by both."""
+    _, found, labels = built(spark, d)
+    return summaries.overview(photo_table(spark, d), found, cut(labels))
 
 
 def rolled_up(spark: SparkSession, d: str) -> DataFrame:
