@@ -5,16 +5,20 @@ ip, card, phone or none. Neighbouring tokens are joined in a chain, and skip edg
 or alike (same letters and digits, same last digits, same local part of an address), each to the next one alike and
 to the first one alike that a base span has of each kind, so edges grow with the tokens and a base span is one edge from
 every mention in the document. Base tokens are observed; loopy message passing carries labels along the edges until no
-message changes, and a token whose label then is sure gives a further span. Weights are trained piecewise on a bounded sample of documents,
-with the base spans as labels: shapes by logistic regression, chain and skip potentials from how often labels meet.
+message changes, and a token whose label then is sure gives a further span.
+
+Weights of shapes, chain and skip edges are trained together by the slope of the field's likelihood, on the tokens of a
+bounded sample of documents: the labels expected when a share of the base spans is hidden, less those expected when all
+are seen, both by message passing. Of the hidden tokens half lose their shape too, so that edges must recover them.
+Tokens that only a skip edge ties to a base span are left open in both, as they may well belong to it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +29,8 @@ from wildtally.llm.shared import bounded_sample, over_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Documents that the field is trained on, and distinct token patterns of them.
-SAMPLE_DOCS, SAMPLE_PATTERNS = 6_000, 20_000
+#: Documents with tokens that the field is trained on, about; of their base spans the share that is hidden.
+SAMPLE_DOCS, HIDDEN = 3_000, 0.5
 #: Rounds of messages for each token at most, and the change of a message (log scale) that counts as none.
 TURNS, SETTLED = 8, 1e-4
 
@@ -107,28 +111,35 @@ def tokens(text: str) -> list[tuple[int, int]]:
 
 
 def shape(token: str) -> str:
-    """Digits as 9 with the length of their run up to 5, letters as a, others as they are; 24 symbols at most."""
-    out = re.sub(r"[0-9]+", lambda m: "9" * min(5, len(m.group())), token[:64])
-    return re.sub(r"[^\W\d_]+", "a", out)[:24]
+    """Digits as 9 with the length of their run up to 5, letters as a, others as they are; behind it the number of digits up to 20, and whether they pass Luhn if there are 14 to 19."""
+    digits = "".join(c for c in token if "0" <= c <= "9")
+    out = re.sub(r"[0-9]+", lambda m: "9" * min(5, len(m.group())), token)
+    return f"{re.sub(r'[^\W\d_]+', 'a', out)}|{min(20, len(digits))}{'v' if 14 <= len(digits) <= 19 and luhn(digits) else ''}"
+
+
+def _named(kind: str, value: str) -> str:
+    """A key of bounded length that only equal values share."""
+    return kind + (value if len(value) <= 40 else blake2b(value.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest())
 
 
 def alike_keys(token: str) -> list[str]:
     """Tokens that share a key are joined by skip edges."""
     plain = re.sub(r"[\W_]+", "", token).lower()
-    keys = ["w" + plain[:80]] if plain else []
+    keys = [_named("w", plain)] if plain else []
     digits = re.sub(r"[^0-9]", "", token)
     if len(digits) >= 7:
         keys.append("d" + digits[-7:])
     local, mark, _ = token.lower().partition("@")
     if mark and len(local) >= 3:
-        keys.append("l" + local[-80:].strip("<(\"'"))
+        keys.append(_named("l", local.strip("<(\"'")))
     return keys
 
 
 def features(pattern: str) -> list[str]:
-    ends = f"^{pattern}$"
+    body, _, digits = pattern.rpartition("|")
+    ends = f"^{body}$"
     counts = [f"n{c}{min(4, ends.count(c))}" for c in "9a.@-()+"]
-    return [f"={pattern}", *counts, *(f"~{ends[k : k + 3]}" for k in range(len(ends) - 2))]
+    return [_named("=", pattern), f"d{digits}", *counts, *sorted({f"~{ends[k : k + 3]}" for k in range(len(ends) - 2)})]
 
 
 @dataclass
@@ -182,9 +193,55 @@ def told(g: Graph) -> np.ndarray:
     return ~tied | (g.observed >= 0)
 
 
+def passed(own: np.ndarray, a: np.ndarray, b: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log beliefs of all nodes, and messages (along the edges, then against them), after loopy message passing, damped and until no message changes.
+
+    All messages are passed at once at first; then those whose sender has heard something new, so what a base span
+    says reaches the far end of a long chain at the cost of the few messages under way. TURNS for each node bound the
+    rounds: damped by one half, news takes about two an edge.
+    """
+    into, out = np.concatenate([b, a]), np.concatenate([a, b])  # message k goes from out[k] to into[k]
+    both = np.concatenate([pair, pair.transpose(0, 2, 1)])
+    back = np.r_[len(a) : 2 * len(a), 0 : len(a)]
+    message, belief = np.zeros((2 * len(a), own.shape[1])), own.copy()
+    live = every = np.arange(2 * len(a))
+    for _ in range(100 + TURNS * len(own) if len(a) else 0):
+        given = belief[out[live]] - message[back[live]]
+        new = np.logaddexp.reduce(given[:, :, None] + both[live], axis=1)
+        step = 0.5 * (new - np.logaddexp.reduce(new, axis=1, keepdims=True) - message[live])
+        message[live] += step
+        np.add.at(belief, into[live], step)
+        changed = live[np.abs(step).max(axis=1) > SETTLED]
+        if len(changed):
+            heard = np.zeros(len(own), bool)
+            heard[into[changed]] = True
+            again = heard[out]
+            again[changed] = True
+            live = np.flatnonzero(again)
+        elif len(live) < len(every):
+            live = every  # all once more, in case small changes have added up
+        else:
+            break
+    return belief, message
+
+
+def clamped(own: np.ndarray, observed: np.ndarray) -> np.ndarray:
+    """Potentials with what is observed (-1: nothing)."""
+    own, seen = own.copy(), observed >= 0
+    own[seen] = -30.0
+    own[seen, observed[seen]] = 0.0
+    return own
+
+
+def shares(log: np.ndarray) -> np.ndarray:
+    """Probabilities from log potentials of each row (over all its other axes)."""
+    flat = log.reshape(len(log), -1)
+    return np.exp(flat - np.logaddexp.reduce(flat, axis=1, keepdims=True)).reshape(log.shape)
+
+
 @dataclass(frozen=True)
 class Field:
-    """Log potentials: of features (rows of `weights`), of labels met in a chain, of labels joined by a skip edge."""
+    """Log potentials: of features (rows of `weights`, the last one of any token), of labels met in a chain, of labels joined by a skip edge."""
 
     index: dict[str, int]
     weights: np.ndarray
@@ -199,103 +256,78 @@ class Field:
         return np.array([memo[s] for s in shapes]).reshape(len(shapes), len(LABELS))
 
     def marginals(self, g: Graph) -> np.ndarray:
-        """Label probabilities of all tokens after loopy message passing, damped and until no message changes.
-
-        All messages are passed at once at first; then those whose sender has heard something new, so what a base span
-        says reaches the far end of a long chain at the cost of the few messages under way. TURNS for each token bound
-        the rounds: damped by one half, news takes about two an edge.
-        """
-        own = self.unary(g.shapes)
-        seen = g.observed >= 0
-        own[seen] = -30.0
-        own[seen, g.observed[seen]] = 0.0
+        """Label probabilities of all tokens."""
         alike = g.skip + g.far
-        a = np.array([e[0] for e in g.chain + alike], np.int64)
-        b = np.array([e[1] for e in g.chain + alike], np.int64)
-        if len(a):
-            pair = np.concatenate([np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(alike), 0)])
-            into, out = np.concatenate([b, a]), np.concatenate([a, b])  # message k goes from out[k] to into[k]
-            both = np.concatenate([pair, pair.transpose(0, 2, 1)])
-            back = np.r_[len(a) : 2 * len(a), 0 : len(a)]
-            message, belief = np.zeros((2 * len(a), len(LABELS))), own.copy()
-            live = every = np.arange(2 * len(a))
-            for _ in range(100 + TURNS * len(own)):
-                given = belief[out[live]] - message[back[live]]
-                new = np.logaddexp.reduce(given[:, :, None] + both[live], axis=1)
-                step = 0.5 * (new - np.logaddexp.reduce(new, axis=1, keepdims=True) - message[live])
-                message[live] += step
-                np.add.at(belief, into[live], step)
-                changed = live[np.abs(step).max(axis=1) > SETTLED]
-                if len(changed):
-                    heard = np.zeros(len(own), bool)
-                    heard[into[changed]] = True
-                    again = heard[out]
-                    again[changed] = True
-                    live = np.flatnonzero(again)
-                elif len(live) < len(every):
-                    live = every  # all once more, in case small changes have added up
-                else:
-                    break
-            own = belief
-        return np.exp(own - np.logaddexp.reduce(own, axis=1, keepdims=True))
-
-
-def train(counts: dict[str, int], turns: int = 300) -> Field:
-    """The field from counts of `u<label> <shape>`, `c<label><label>` and `s<label><label>`."""
+        a, b = (np.array([e[k] for e in g.chain + alike], np.int64) for k in (0, 1))
+        pair = np.concatenate([np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip[None], len(alike), 0)])
+        return shares(passed(clamped(self.unary(g.shapes), g.observed), a, b, pair)[0])
+
+
+def train(graphs: list[Graph], turns: int = 200, seed: int = 3) -> Field:
+    """The field of all graphs at once; each turn follows the slope once (AdaGrad)."""
     size = len(LABELS)
-    units = sorted((k[2:], int(k[1]), n) for k, n in counts.items() if k[0] == "u" and k[1] != " ")
+    start = np.cumsum([0, *(len(g.shapes) for g in graphs)])
+    shapes = [s for g in graphs for s in g.shapes]
+    full = np.concatenate([np.where(told(g), np.maximum(g.observed, 0), -1) for g in graphs] or [np.empty(0, np.int64)])
+    luck = np.random.default_rng(seed)
+    hidden = luck.random(len(full)) < HIDDEN
+    chains, skips = ([(i + o, j + o) for g, o in zip(graphs, start, strict=False) for i, j in edges(g)] for edges in (lambda g: g.chain, lambda g: g.skip))
+    for _ in range(8):  # neighbours of one kind are one span, hidden as one
+        for i, j in chains:
+            if full[i] == full[j] > 0:
+                hidden[j] = hidden[i]
+    seen = np.where(hidden | (full == 0), -1, full)
+    bare = hidden & (full > 0) & (luck.random(len(full)) < 0.5)
+    patterns = {s: k for k, s in enumerate(dict.fromkeys(shapes))}
     index: dict[str, int] = {}
-    rows = [[index.setdefault(f, len(index)) for f in features(s)] for s, _, _ in units]
-    weights = np.zeros((len(index) + 1, size))
-    if units:
-        flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        label, n = np.array([u[1] for u in units]), np.array([u[2] for u in units], float)
-        n = np.minimum(n, 50.0)  # a frequent pattern isn't all there is to learn
-        goal = np.eye(size)[label]
-        speed = np.full_like(weights, 1e-6)
-        for _ in range(turns):
-            score = np.tile(weights[-1], (len(rows), 1))
-            np.add.at(score, of, weights[flat])
-            p = np.exp(score - np.logaddexp.reduce(score, axis=1, keepdims=True))
-            slope = (p - goal) * (n / n.sum())[:, None]
-            step = weights * 1e-4
-            np.add.at(step, flat, slope[of])
-            step[-1] += slope.sum(axis=0)
-            speed += step**2
-            weights -= 0.5 * step / np.sqrt(speed)
-
-    def met(kind: str, prior: np.ndarray) -> np.ndarray:
-        """Log of how much more often two labels meet than they would apart."""
-        m = prior.copy()
-        for x, y in np.ndindex(size, size):
-            m[x, y] += counts.get(f"{kind}{x}{y}", 0)
-        m = (m + m.T) / 2 if kind == "s" else m
-        p = m / m.sum()
-        return np.log(p / (p.sum(axis=1, keepdims=True) * p.sum(axis=0, keepdims=True)))
-
-    return Field(index, weights, met("c", np.full((size, size), 0.5) + np.eye(size)), met("s", np.full((size, size), 0.1) + np.eye(size) * 2))
+    rows = [[index.setdefault(f, len(index)) for f in features(s)] for s in patterns]
+    flat, of = np.array([f for r in rows for f in r], np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    which = np.where(bare, len(patterns), np.array([patterns[s] for s in shapes], np.int64)) if shapes else np.empty(0, np.int64)
+    a, b = (np.array([e[k] for e in chains + skips], np.int64) for k in (0, 1))
+    weights, chain, skip = np.zeros((len(index) + 1, size)), np.eye(size) * 0.5, np.eye(size) * 0.5
+    speed = [np.full_like(x, 1e-6) for x in (weights, chain, skip)]
+    for _ in range(turns if len(full) else 0):
+        score = np.stack([np.bincount(of, weights[flat, y], len(patterns) + 1) for y in range(size)], axis=1) + weights[-1]
+        pair = np.concatenate([np.repeat(chain[None], len(chains), 0), np.repeat(skip[None], len(skips), 0)])
+        slopes = [np.zeros_like(x) for x in (weights, chain, skip)]
+        for sign, observed in ((1, seen), (-1, full)):
+            belief, message = passed(clamped(score[which], observed), a, b, pair)
+            p = shares(belief)
+            by = np.stack([np.bincount(which, p[:, y], len(patterns) + 1) for y in range(size)], axis=1)
+            slopes[0][:-1] += sign * np.stack([np.bincount(flat, by[of, y], len(index)) for y in range(size)], axis=1)
+            slopes[0][-1] += sign * by.sum(axis=0)
+            n = len(a)
+            met = shares((belief[a] - message[n:])[:, :, None] + (belief[b] - message[:n])[:, None, :] + pair)
+            slopes[1] += sign * met[: len(chains)].sum(axis=0)
+            slopes[2] += sign * met[len(chains) :].sum(axis=0)
+        slopes[2] = slopes[2] + slopes[2].T
+        for x, slope, fast in zip((weights, chain, skip), slopes, speed, strict=True):
+            slope = slope / len(full) + 1e-6 * x
+            fast += slope**2
+            x -= 0.3 * slope / np.sqrt(fast)
+    return Field(index, weights, chain, skip)
 
 
 def learn(docs: DataFrame, text_col: str = "text") -> Field:
-    """The field of a bounded sample of the documents; no documents give a field that adds nothing but what edges say."""
+    """The field of a bounded sample of the documents that have tokens; none give a field that adds nothing but what edges say."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
-                g = graph(text or "", base_spans(text or ""))
-                label, use = np.maximum(g.observed, 0).tolist(), told(g)
-                seen.update(f"u{y} {s}" for s, y, u in zip(g.shapes, label, use, strict=True) if u)
-                seen.update(f"c{label[i]}{label[j]}" for i, j in g.chain if use[i] and use[j])
-                seen.update(f"s{label[i]}{label[j]}" for i, j in g.skip if use[i] and use[j])
-            yield pa.record_batch([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["k", "n"])
+            found = [graph(t, base_spans(t)) for t in batch.column(0).to_pylist()]
+            edges = lambda es: [n for e in es for n in e]
+            columns = [[g.shapes for g in found], [g.observed.tolist() for g in found], [edges(g.chain) for g in found], [edges(g.skip) for g in found]]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.record_batch([pa.array(c, pa.list_(k)) for c, k in zip(columns, kinds, strict=True)], names=["shapes", "observed", "chain", "skip"])
 
-    rows = bounded_sample(docs, SAMPLE_DOCS).select(text_col).mapInArrow(over_batches(work), "k string, n long")
-    totals = rows.groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").limit(SAMPLE_PATTERNS)
-    return train({f"u{r.k[1]}{r.k[3:]}" if r.k[0] == "u" else r.k: r.n for r in totals.collect()})
+    marked = docs.select(text_col).filter(F.col(text_col).rlike("[0-9@]"))
+    chosen = bounded_sample(marked, SAMPLE_DOCS, text_col)
+    rows = chosen.mapInArrow(over_batches(work), "shapes array<string>, observed array<bigint>, chain array<bigint>, skip array<bigint>")
+    pairs = lambda x: list(zip(x[::2], x[1::2], strict=True))
+    graphs = [Graph([], list(r.shapes), np.array(r.observed, np.int64), pairs(r.chain), pairs(r.skip)) for r in rows.collect()]
+    return train(sorted(graphs, key=lambda g: (g.shapes, g.observed.tolist())))
 
 
-def all_spans(text: str, field: Field, sure: float = 0.95) -> tuple[list[Span], list[Span]]:
+def all_spans(text: str, field: Field, sure: float = 0.8) -> tuple[list[Span], list[Span]]:
     """Base spans, and these with the field's: sure tokens that no base span touches, side by side ones as one."""
     base = base_spans(text)
     g = graph(text, base) if _MARK.search(text) else None
@@ -313,7 +345,8 @@ def all_spans(text: str, field: Field, sure: float = 0.95) -> tuple[list[Span],
             continue
         a = text.index(core, a)
         kind = LABELS[best[n]]
-        if added and joined >= 0 and beside.get(n) == joined and added[-1][0] == kind and kind in ("phone", "card"):
+        piece = kind == "phone" or kind == "card" and sum(c.isdigit() for c in core) < 14  # a whole card is a span of its own
+        if added and joined >= 0 and beside.get(n) == joined and added[-1][0] == kind and piece:
             added[-1] = (kind, added[-1][1], a + len(core))
         else:
             added.append((kind, a, a + len(core)))
@@ -361,6 +394,11 @@ def mask_personal_data(docs: DataFrame, field: Field, text_col: str = "text") ->
 
 
 def op3_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans.
+
+    A null or empty text has none. Spans that begin together come in the order of their kinds. Repeated rows and rows
+    without an id stay. An empty table gives no rows. Other columns are not looked at.
+    """
     docs = table(spark, sf_dir, "documents")
     found = find_personal_data(docs, learn(docs))
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
