@@ -1,11 +1,13 @@
 """Quality metrics of decoded images, as one Arrow function over Spark's image structs.
 
-Resampling averages over areas; other libraries' filters give slightly different hashes, alike for alike images.
+Images are shrunk by a triangle filter and hashes taken through a Lanczos filter, both widened by the factor of
+reduction; other libraries round in between, so single bits of a hash may differ.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -15,6 +17,11 @@ from pyspark.sql import functions as F
 
 from wildtally.settings import Settings
 
+try:
+    import cv2
+except ImportError:  # not needed
+    cv2 = None
+
 METRICS = "sharpness double, brightness double, contrast double, ir_score double, dhash string, error string"
 HASH_SIDE = 8
 
@@ -46,16 +53,24 @@ def crop_strips(rgb: np.ndarray, top: float, bottom: float) -> np.ndarray:
     return rgb[a:b] if b - a >= 8 else rgb
 
 
-def _averaging(size: int, to: int) -> np.ndarray:
-    """[to, size] weights that average equal spans of a line."""
-    edges = np.linspace(0, size, to + 1)
-    cells = np.arange(size)
-    cover = np.minimum(cells + 1, edges[1:, None]) - np.maximum(cells, edges[:-1, None])
-    return np.maximum(cover, 0) * to / size
+def triangle(x: np.ndarray) -> np.ndarray:
+    return np.maximum(0, 1 - np.abs(x))
+
+
+def lanczos(x: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0)
+
 
+def _weights(size: int, to: int, kernel: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """[to, size] weights of the cells of a line in each of `to` cells."""
+    scale = size / to
+    centre = (np.arange(to) + 0.5) * scale
+    w = kernel((np.arange(size) + 0.5 - centre[:, None]) / max(scale, 1.0))
+    return w / w.sum(axis=1, keepdims=True)
 
-def resized(grid: np.ndarray, rows: int, columns: int) -> np.ndarray:
-    return _averaging(grid.shape[0], rows) @ grid @ _averaging(grid.shape[1], columns).T
+
+def resized(grid: np.ndarray, rows: int, columns: int, kernel: Callable[[np.ndarray], np.ndarray] = triangle) -> np.ndarray:
+    return np.clip(np.rint(_weights(grid.shape[0], rows, kernel) @ grid @ _weights(grid.shape[1], columns, kernel).T), 0, 255)
 
 
 def shrink(rgb: np.ndarray, max_side: int) -> np.ndarray:
@@ -64,7 +79,7 @@ def shrink(rgb: np.ndarray, max_side: int) -> np.ndarray:
     if scale >= 1:
         return rgb
     rows, columns = max(1, round(h * scale)), max(1, round(w * scale))
-    return np.stack([np.rint(resized(rgb[:, :, c].astype(np.float64), rows, columns)) for c in range(3)], axis=2).astype(np.uint8)
+    return np.stack([resized(rgb[:, :, c].astype(np.float64), rows, columns) for c in range(3)], axis=2).astype(np.uint8)
 
 
 def grey(rgb: np.ndarray) -> np.ndarray:
@@ -79,6 +94,13 @@ def laplacian_variance(grid: np.ndarray) -> float:
     return float(np.var(around - 4 * grid))
 
 
+def sharpness(grid: np.ndarray) -> float:
+    """laplacian_variance(), by OpenCV where it is installed: its kernel and its border are the same."""
+    if cv2 is None or min(grid.shape) < 2:
+        return laplacian_variance(grid)
+    return float(cv2.Laplacian(grid.astype(np.float64), cv2.CV_64F).var())
+
+
 def ir_score(rgb: np.ndarray) -> float:
     """Mean distance of red from green and green from blue; near zero in infrared."""
     c = rgb.astype(np.int16)
@@ -87,14 +109,14 @@ def ir_score(rgb: np.ndarray) -> float:
 
 def dhash(grid: np.ndarray) -> str:
     """64 bits in hex: whether each of 8 x 8 cells is brighter than the one to its left."""
-    small = np.rint(resized(grid, HASH_SIDE, HASH_SIDE + 1))
+    small = resized(grid, HASH_SIDE, HASH_SIDE + 1, lanczos)
     return np.packbits(small[:, 1:] > small[:, :-1]).tobytes().hex()
 
 
 def measure(rgb: np.ndarray, settings: Settings) -> tuple[float, float, float, float, str]:
     small = shrink(crop_strips(rgb, settings.strip_top, settings.strip_bottom), settings.measured_side)
     grid = grey(small)
-    return round(laplacian_variance(grid), 3), round(float(grid.mean()), 3), round(float(grid.std()), 3), round(ir_score(small), 3), dhash(grid)
+    return round(sharpness(grid), 3), round(float(grid.mean()), 3), round(float(grid.std()), 3), round(ir_score(small), 3), dhash(grid)
 
 
 def measured(image: Column, orientation: Column, settings: Settings | None = None) -> Column:

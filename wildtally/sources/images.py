@@ -19,21 +19,44 @@ EXTENSIONS = ("jpg", "jpeg", "png", "tif", "tiff")
 MAKE, MODEL, ORIENTATION, DATE_TIME, EXIF_IFD, ORIGINAL, SERIAL, WIDTH, HEIGHT = 0x010F, 0x0110, 0x0112, 0x0132, 0x8769, 0x9003, 0xA431, 0x0100, 0x0101
 
 
-def find_images(root: str) -> list[str]:
-    """Sorted relative paths of image files; no part of a path begins with a dot. Names with a leading _ count."""
-    store, base = pafs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-    found = []
-    for info in store.get_file_info(pafs.FileSelector(base, recursive=True)):
+def _opened(root: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+
+
+def listed(root: str, folder: str = "", recursive: bool = True) -> tuple[list[str], list[str]]:
+    """Paths of image files under a folder of `root`, and of its folders; no part of a path begins with a dot. Names with a leading _ count."""
+    store, base = _opened(root)
+    files, folders = [], []
+    for info in store.get_file_info(pafs.FileSelector(f"{base}/{folder}".rstrip("/"), recursive=recursive)):
         path = info.path[len(base) :].lstrip("/")
-        plain = not any(p.startswith(".") for p in path.split("/"))
-        if info.type == pafs.FileType.File and plain and path.rpartition(".")[2].lower() in EXTENSIONS:
-            found.append(path)
-    return sorted(found)
+        if any(p.startswith(".") for p in path.split("/")):
+            continue
+        if info.type == pafs.FileType.Directory:
+            folders.append(path)
+        elif info.type == pafs.FileType.File and path.rpartition(".")[2].lower() in EXTENSIONS:
+            files.append(path)
+    return files, folders
+
+
+def find_images(root: str) -> list[str]:
+    """Sorted relative paths of image files."""
+    return sorted(listed(root)[0])
 
 
 def image_paths(spark: SparkSession, root: str) -> DataFrame:
-    """rel_path of each image."""
-    return spark.createDataFrame([(p,) for p in find_images(root)], "rel_path string")
+    """rel_path of each image. The driver lists the uppermost folder; each folder in it, a camera's as a rule, is listed by a task."""
+    files, folders = listed(root, recursive=False)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder in batch["folder"]:
+                yield pd.DataFrame({"rel_path": listed(root, folder)[0]}, dtype=object)
+
+    top = spark.createDataFrame([(p,) for p in files], "rel_path string")
+    if not folders:
+        return top
+    deeper = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), 1000), "folder")
+    return top.unionByName(deeper.mapInPandas(work, "rel_path string"))
 
 
 @dataclass
@@ -127,7 +150,7 @@ def read_headers(paths: DataFrame, root: str) -> DataFrame:
     """A row of HEADERS for each rel_path; files are opened by the tasks, and a failure is an error of its row."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = pafs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        store, base = _opened(root)
         for batch in batches:
             rows = []
             for path in batch["rel_path"]:
@@ -155,7 +178,7 @@ def decoded_images(spark: SparkSession, root: str) -> DataFrame:
     if not hidden:
         return rows
     folder = fresh_path(spark, "images")
-    source, base = pafs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+    source, base = _opened(root)
     target, copy = pafs.FileSystem.from_uri(folder)
     target.create_dir(copy, recursive=True)
     names = [(p, f"copy{k}.{p.rpartition('.')[2]}") for k, p in enumerate(hidden)]
