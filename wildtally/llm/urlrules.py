@@ -154,6 +154,11 @@ def judge(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES, globs: Seque
 
 
 def op6_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url.
+
+    A null, empty or malformed url has an empty host and path and is allowed. Of equally long rules the first listed
+    counts. Repeated rows and rows without an id stay; an empty table gives no rows; other columns are not looked at.
+    """
     return judge(table(spark, sf_dir, "pages"))
 
 
