@@ -33,6 +33,8 @@ LABELS = ("none", *KINDS)
 SAMPLE_DOCS, HIDDEN = 3_000, 0.5
 #: Rounds of messages for each token at most, and the change of a message (log scale) that counts as none.
 TURNS, SETTLED = 8, 1e-4
+#: Rounds of messages in training, where a slope may be rough.
+TRAIN_ROUNDS = 200
 
 Span = tuple[str, int, int]
 
@@ -193,19 +195,19 @@ def told(g: Graph) -> np.ndarray:
     return ~tied | (g.observed >= 0)
 
 
-def passed(own: np.ndarray, a: np.ndarray, b: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def passed(own: np.ndarray, a: np.ndarray, b: np.ndarray, pair: np.ndarray, rounds: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Log beliefs of all nodes, and messages (along the edges, then against them), after loopy message passing, damped and until no message changes.
 
     All messages are passed at once at first; then those whose sender has heard something new, so what a base span
     says reaches the far end of a long chain at the cost of the few messages under way. TURNS for each node bound the
-    rounds: damped by one half, news takes about two an edge.
+    rounds, unless a number is given: damped by one half, news takes about two an edge.
     """
     into, out = np.concatenate([b, a]), np.concatenate([a, b])  # message k goes from out[k] to into[k]
     both = np.concatenate([pair, pair.transpose(0, 2, 1)])
     back = np.r_[len(a) : 2 * len(a), 0 : len(a)]
     message, belief = np.zeros((2 * len(a), own.shape[1])), own.copy()
     live = every = np.arange(2 * len(a))
-    for _ in range(100 + TURNS * len(own) if len(a) else 0):
+    for _ in range((rounds or 100 + TURNS * len(own)) if len(a) else 0):
         given = belief[out[live]] - message[back[live]]
         new = np.logaddexp.reduce(given[:, :, None] + both[live], axis=1)
         step = 0.5 * (new - np.logaddexp.reduce(new, axis=1, keepdims=True) - message[live])
@@ -291,7 +293,7 @@ def train(graphs: list[Graph], turns: int = 200, seed: int = 3) -> Field:
         pair = np.concatenate([np.repeat(chain[None], len(chains), 0), np.repeat(skip[None], len(skips), 0)])
         slopes = [np.zeros_like(x) for x in (weights, chain, skip)]
         for sign, observed in ((1, seen), (-1, full)):
-            belief, message = passed(clamped(score[which], observed), a, b, pair)
+            belief, message = passed(clamped(score[which], observed), a, b, pair, TRAIN_ROUNDS)
             p = shares(belief)
             by = np.stack([np.bincount(which, p[:, y], len(patterns) + 1) for y in range(size)], axis=1)
             slopes[0][:-1] += sign * np.stack([np.bincount(flat, by[of, y], len(index)) for y in range(size)], axis=1)
