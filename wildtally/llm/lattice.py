@@ -5,34 +5,38 @@ the product of its pieces' probabilities. A log-space forward recursion sums all
 the vocabulary's scores and are fitted once to the training words (expected counts of a forward-backward pass). Whole
 words seen in training have an edge of their own, with a discounted count; what the discount frees is shared out by
 the lattice, so that all words and the end of a text have probability one together, and a text's score is the log10 of
-its marginal probability.
+its marginal probability. A word seen often is scored mainly by its own count, a rare one in part and an unseen one
+wholly by the lattice, which is the back-off of this model.
 
-Words are counted over all documents. Each word's lattice is summed once, not once for each place it stands. Counts
-and scores of the HEAD most frequent words go to all tasks; other words are joined to their document by a shuffle, so
-no frequent word is ever a join key.
+Words are counted over all documents. Each word's lattice is summed once, not once for each place it stands, and words
+of one length side by side. Counts and scores of the HEAD most frequent words (of all documents, not only the training
+ones) go to all tasks; other words are joined to their document by a shuffle, so no frequent word is ever a join key.
+Long words go by a digest, so what is sent is bounded in bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wildtally.llm.shared import as_bytes, over_batches, remainder, stored, table
+from wildtally.llm.shared import as_bytes, in_blocks, over_batches, remainder, remove, stored, table
 
 SPACE = "▁"
-#: Words whose counts and scores are sent to every task: about 8 MB.
-HEAD = 65_536
+#: Words whose counts and scores are sent to every task: about 8 MB; words over KEY_BYTES go by a digest of half as many.
+HEAD, KEY_BYTES = 65_536, 64
 #: Words a task counts before it passes them on.
 HELD_WORDS = 400_000
-
-
+#: Symbols of words whose lattices are summed side by side, and such words at most; longer ones are summed alone.
+SIDE_BY_SIDE, ABREAST = 64, 8192
 
 class Lattice:
     """Pieces with log probabilities; characters without a piece are spelt in byte pieces."""
@@ -92,6 +96,102 @@ class Lattice:
                     counts[piece] = counts.get(piece, 0.0) + times * math.exp(alpha[a] + t - alpha[-1])
 
 
+#: Multiplier of the hash that finds a run of symbols among the pieces.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+class SideBySide:
+    """The same lattice for many words of one length at a time: pieces are found by hash, columns are word positions."""
+
+    def __init__(self, plain: Lattice) -> None:
+        self.plain = plain
+        self.names = [p for p in plain.log_p if not (len(p) == 6 and p.startswith("<0x"))]
+        self.log_p = np.array([*(plain.log_p[p] for p in self.names), -np.inf])
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in sorted({len(p) for p in self.names}):
+            own = np.array([k for k, p in enumerate(self.names) if len(p) == length])
+            codes = np.array([[ord(c) for c in self.names[k]] for k in own], np.uint64)
+            hashes = self._hashes(codes)[:, length]
+            order = np.argsort(hashes)
+            self.by_length[length] = (hashes[order], own[order])
+
+    @staticmethod
+    def _hashes(codes: np.ndarray) -> np.ndarray:
+        """[word, position]: hash of the symbols before each position."""
+        h = np.zeros((len(codes), codes.shape[1] + 1), np.uint64)
+        for k in range(codes.shape[1]):
+            h[:, k + 1] = h[:, k] * FACTOR + (codes[:, k] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        return h
+
+    def edges(self, words: list[str]) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+        """By length of a piece: which piece leaves each position (the last index: none), and its log probability."""
+        n = len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n)
+        h = self._hashes(codes.astype(np.uint64))
+        which, log_p, power = {}, {}, 1
+        for length in range(1, min(n, max(self.by_length, default=1)) + 1):
+            power = power * int(FACTOR) & (1 << 64) - 1
+            found = np.full((len(words), n - length + 1), len(self.names))
+            if length in self.by_length:
+                hashes, own = self.by_length[length]
+                part = h[:, length:] - h[:, : n - length + 1] * np.uint64(power)
+                at = np.minimum(np.searchsorted(hashes, part), len(hashes) - 1)
+                found = np.where(hashes[at] == part, own[at], found)
+            if length > 1 and (found == len(self.names)).all():
+                continue
+            which[length], log_p[length] = found, self.log_p[found]
+            if length == 1:
+                spelt = found == len(self.names)
+                values, index = np.unique(codes[spelt], return_inverse=True)
+                cost = np.array([sum(self.plain.byte[x] for x in chr(v).encode("utf-8", "surrogatepass")) for v in values.tolist()])
+                if len(values):
+                    log_p[1][spelt] = cost[index]
+        return which, log_p
+
+    @staticmethod
+    def _summed(terms: list[np.ndarray]) -> np.ndarray:
+        most = np.maximum.reduce(terms)
+        return most + np.log(sum(np.exp(t - most) for t in terms))
+
+    def forward(self, log_p: dict[int, np.ndarray], n: int) -> list[np.ndarray]:
+        total = [np.zeros(len(log_p[1]))]
+        for b in range(1, n + 1):
+            total.append(self._summed([total[b - k] + p[:, b - k] for k, p in log_p.items() if k <= b]))
+        return total
+
+    def log_marginals(self, words: list[str]) -> np.ndarray:
+        return self.forward(self.edges(words)[1], len(words[0]))[-1]
+
+    def expect(self, words: list[str], times: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece (the last one: of none) in `times` copies of the words."""
+        which, log_p = self.edges(words)
+        n = len(words[0])
+        alpha, beta = self.forward(log_p, n), [np.zeros(len(words))]
+        for a in range(n - 1, -1, -1):  # beta[0] is that of position a + 1
+            beta.insert(0, self._summed([p[:, a] + beta[k - 1] for k, p in log_p.items() if a + k <= n]))
+        ahead, behind = np.stack(alpha, axis=1), np.stack(beta, axis=1)
+        uses = np.zeros(len(self.names) + 1)
+        for k, p in log_p.items():
+            share = np.exp(ahead[:, : n - k + 1] + p + behind[:, k:] - ahead[:, n:]) * times[:, None]
+            uses += np.bincount(which[k].ravel(), share.ravel(), len(uses))
+        return uses
+
+
+def of_one_length(words: list[str]) -> Iterator[list[int]]:
+    """Which words have the same length, ABREAST of them at most; those over SIDE_BY_SIDE one by one."""
+    by_length: dict[int, list[int]] = {}
+    for k, word in enumerate(words):
+        by_length.setdefault(len(word), []).append(k)
+    for length, own in by_length.items():
+        step = ABREAST if length <= SIDE_BY_SIDE else 1
+        yield from (own[at : at + step] for at in range(0, len(own), step))
+
+
+def key_of(word: bytes) -> bytes:
+    """A word, or the digest of a long one (which no word is, as it holds a blank in front)."""
+    return word if len(word) <= KEY_BYTES else b" " + hashlib.blake2b(word, digest_size=KEY_BYTES // 2).digest()
+
+
 def vocabulary_prior(path: str) -> dict[str, float]:
     """Piece probabilities from a sentencepiece file's scores.
 
@@ -113,28 +213,29 @@ def vocabulary_prior(path: str) -> dict[str, float]:
 
 
 def count_words(docs: DataFrame, trained: str, text_col: str = "text") -> DataFrame:
-    """word (bytes), c: how often each word of all documents stands in those where column `trained` is true."""
+    """word (its key), long (the word itself if that differs), n, c: how often each word stands in all documents and in those where column `trained` is true."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-        others: set[bytes] = set()
+        seen: tuple[Counter[bytes], Counter[bytes]] = Counter(), Counter()
 
         def rows() -> pa.RecordBatch:
-            others.difference_update(seen)
-            words, n = [*seen, *others], [*seen.values(), *[0] * len(others)]
-            seen.clear()
-            others.clear()
-            return pa.record_batch([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["word", "c"])
+            words = [*(seen[1].keys() | seen[0].keys())]
+            c = [seen[1][w] for w in words]
+            columns = [words, [w if len(w) > KEY_BYTES else None for w in words], [seen[0][w] + x for w, x in zip(words, c, strict=True)], c]
+            columns[0] = [key_of(w) for w in words]
+            for x in seen:
+                x.clear()
+            return pa.record_batch([pa.array(x, t) for x, t in zip(columns, (pa.binary(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["word", "long", "n", "c"])
 
         for batch in batches:
             for text, use in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                (seen if use else others).update(text.lower().split())
-            if len(seen) + len(others) > HELD_WORDS:
+                seen[bool(use)].update(text.lower().split())
+            if len(seen[0]) + len(seen[1]) > HELD_WORDS:
                 yield rows()
         yield rows()
 
-    found = docs.select(text_col, trained).mapInArrow(over_batches(work), "word binary, c long")
-    return found.groupBy("word").agg(F.sum("c").alias("c"))
+    found = docs.select(text_col, trained).mapInArrow(over_batches(work), "word binary, long binary, n long, c long")
+    return found.groupBy("word").agg(F.first("long").alias("long"), F.sum("n").alias("n"), F.sum("c").alias("c"))
 
 
 @dataclass(frozen=True)
@@ -165,30 +266,51 @@ def fit_pieces(words: DataFrame, prior: dict[str, float]) -> dict[str, float]:
     """Log probabilities after one pass of expected counts over all training words; the prior counts as one use a piece."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, counts = Lattice({p: math.log(x) for p, x in prior.items()}), {}
+        plain = Lattice({p: math.log(x) for p, x in prior.items()})
+        lattice, counts, uses = SideBySide(plain), {}, 0.0
         for batch in batches:
-            for word, c in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                lattice.expect(word.decode("utf-8", "replace"), c, counts)
+            words, times = spelt(batch), batch.column(2).to_numpy().astype(float)
+            for own in of_one_length(words):
+                if len(words[own[0]]) <= SIDE_BY_SIDE:
+                    uses = uses + lattice.expect([words[k] for k in own], times[own])
+                else:
+                    plain.expect(words[own[0]][1:], times[own[0]], counts)
+        if not isinstance(uses, float):
+            for piece, n in zip(lattice.names, uses.tolist(), strict=False):
+                counts[piece] = counts.get(piece, 0.0) + n
         yield pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.float64())], names=["piece", "n"])
 
-    found = words.filter("c > 0").select("word", "c").mapInArrow(over_batches(work, 4096), "piece string, n double")
-    seen = {r.piece: r.n for r in found.groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+    found = words.filter("c > 0").select("word", "long", "c").mapInArrow(in_blocks(work, ROWS_ABREAST), "piece string, n double")
+    seen = {r.piece: r.n for r in found.groupBy("piece").agg(F.sum("n").alias("n")).collect()}  # a row for each piece
     total = sum(seen.values()) + len(prior)
     return {p: math.log((seen.get(p, 0.0) + x * len(prior)) / total) for p, x in prior.items()}
 
 
+#: Rows of words that a task works on at a time.
+ROWS_ABREAST = 32_768
+
+
+def spelt(batch: pa.RecordBatch) -> list[str]:
+    """The words of rows word, long, as the lattice reads them."""
+    return [SPACE + (long or word).decode("utf-8", "replace") for word, long in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True)]
+
+
 def score_words(words: DataFrame, totals: Totals, log_p: dict[str, float]) -> DataFrame:
-    """word, c, base, model (log10 probabilities) of each word."""
+    """word, n, c, base, model (log10 probabilities) of each word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(log_p)
+        plain = Lattice(log_p)
+        lattice = SideBySide(plain)
         for batch in batches:
-            c = batch.column(1).to_pylist()
-            log_lattice = [lattice.log_marginal(w.decode("utf-8", "replace")) for w in as_bytes(batch.column(0))]
-            columns = [[totals.base(n) for n in c], [totals.model(n, x) for n, x in zip(c, log_lattice, strict=True)]]
-            yield pa.record_batch([batch.column(0), batch.column(1), *(pa.array(x, pa.float64()) for x in columns)], names=["word", "c", "base", "model"])
+            own_words, c = spelt(batch), batch.column(3).to_pylist()
+            marginal = np.zeros(len(own_words))
+            for own in of_one_length(own_words):
+                long = len(own_words[own[0]]) > SIDE_BY_SIDE
+                marginal[own] = plain.log_marginal(own_words[own[0]][1:]) if long else lattice.log_marginals([own_words[k] for k in own])
+            columns = [[totals.base(x) for x in c], [totals.model(x, m) for x, m in zip(c, marginal.tolist(), strict=True)]]
+            yield pa.record_batch([batch.column(0), batch.column(2), batch.column(3), *(pa.array(x, pa.float64()) for x in columns)], names=["word", "n", "c", "base", "model"])
 
-    return words.select("word", "c").mapInArrow(over_batches(work, 4096), "word binary, c long, base double, model double")
+    return words.select("word", "long", "n", "c").mapInArrow(in_blocks(work, ROWS_ABREAST), "word binary, n long, c long, base double, model double")
 
 
 def score_documents(docs: DataFrame, vocabulary_path: str, trained: F.Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,7 +321,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, trained: F.Column, id
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col), F.col(text_col), trained.alias("trained"))
-    words, _ = stored(count_words(given, "trained", text_col), "words")
+    words, counted = stored(count_words(given, "trained", text_col), "words")
     n, known, once, twice = words.agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
     ).first()
@@ -207,7 +329,8 @@ def score_documents(docs: DataFrame, vocabulary_path: str, trained: F.Column, id
     totals = Totals(n + ends, known, ends, once / (once + 2 * twice) if once and twice else 0.5)
     log_p = fit_pieces(words, vocabulary_prior(vocabulary_path))
     scored, _ = stored(score_words(words, totals, log_p), "word-scores")
-    head = scored.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    remove(spark, counted)
+    head = scored.orderBy(F.desc("n"), "word").limit(HEAD).collect()
     sent = spark.sparkContext.broadcast({bytes(r.word): (r.c > 0, r.base, r.model) for r in head})
     end_base, end_model = totals.base(ends), totals.end()
     kind = docs.schema[id_col].dataType.simpleString()
@@ -221,6 +344,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, trained: F.Column, id
                 size = 1 + seen.total()
                 known, base, model, tail = int(ends > 0), end_base, end_model, []
                 for word, times in seen.items():
+                    word = key_of(word)
                     if word in of:
                         k, b, m = of[word]
                         known += k * times
@@ -251,6 +375,11 @@ def score_documents(docs: DataFrame, vocabulary_path: str, trained: F.Column, id
 
 
 def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document.
+
+    A null, empty or blank text is one end token. Equal texts score alike; repeated rows and rows without an id stay, a
+    null id counting as an empty text in the hold-out. An empty table gives no rows. Other columns are not looked at.
+    """
     import public_tokenizers
 
     scored = score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), remainder() != 1)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wildtally.storage import cut, fresh_path, remove, shared_folder, stored
 
-__all__ = ["as_bytes", "bounded_sample", "cut", "fresh_path", "matching", "over_batches", "remainder", "remove", "row_key", "shared_folder", "stored", "table"]
+__all__ = ["as_bytes", "bounded_sample", "cut", "free_name", "fresh_path", "in_blocks", "matching", "over_batches", "remainder", "remove", "row_key", "shared_folder", "stored", "table"]
 
 #: Rows that a Python function sees at a time; texts can be long, so batches are cut to this.
 ROWS_AT_A_TIME = 256
@@ -36,6 +36,26 @@ def over_batches(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     return run
 
 
+def in_blocks(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int):
+    """A mapInArrow function that hands `work` blocks of `rows` rows or a batch more, for short rows that gain from company."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def blocks() -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                if batch.num_rows:
+                    held.append(batch)
+                if sum(b.num_rows for b in held) >= rows:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held = []
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+        yield from work(blocks())
+
+    return run
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -53,6 +73,14 @@ def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 #: Keys that without() sends to every task; more are joined by a shuffle. At most about 100 MB in each executor.
 SENT_KEYS = 1_000_000
 
