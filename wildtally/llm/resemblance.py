@@ -131,18 +131,22 @@ def in_groups(roots: Callable[[list[pa.RecordBatch]], np.ndarray]):
     return work
 
 
-def parts_of(rows: DataFrame, group: str, weight: F.Column, limit: int) -> DataFrame:
-    """group, parts, leaders (nodes) of groups that weigh more than `limit`; `rows` has each member once: group, node.
+def parts_of(rows: DataFrame, group: str, weight: F.Column, limit: int) -> DataFrame | None:
+    """group, parts, leaders (nodes) of groups that weigh more than `limit`, None if none does; `rows` has each member once: group, node.
 
     Leaders are least by as many random orders, each a minimum, so no group is gathered.
     """
+    totals = cut(rows.groupBy(group).agg(F.ceil(F.sum(weight) / limit).cast("int").alias("parts")).filter("parts > 1"))
+    if totals.isEmpty():
+        return None
     least = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"] for k in range(LEADERS)]
-    totals = rows.groupBy(group).agg(F.ceil(F.sum(weight) / limit).cast("int").alias("parts"), F.array_distinct(F.array(*least)).alias("leaders"))
-    return cut(totals.filter("parts > 1"))
+    return cut(rows.join(totals, group).groupBy(group, "parts").agg(F.array_distinct(F.array(*least)).alias("leaders")))
 
 
-def first_round(rows: DataFrame, large: DataFrame, group: str) -> DataFrame:
+def first_round(rows: DataFrame, large: DataFrame | None, group: str) -> DataFrame:
     """`rows` with the column task: each in its own part, leaders in every part; groups not in `large` are one part."""
+    if large is None:
+        return rows.withColumn("task", F.lit(0))
     told = rows.join(large, group, "left")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     every = F.sequence(F.lit(0), F.col("parts") - 1)
@@ -189,7 +193,7 @@ def connected(rows: DataFrame, group: str, weight: F.Column, limit: int, links:
     large = parts_of(rows, group, weight, limit)
     found = cut(links(first_round(rows, large, group)))
     joined = components(found)
-    if large.isEmpty():
+    if large is None:
         return joined
     more = second_round(rows, large, group, cut(joined), weight, limit)
     return joined if more is None else components(found.unionByName(links(more)))

@@ -7,9 +7,10 @@ the limit is discarded unseen; survivors are verified by counting differing bits
 Distances to references alone can't deal out work: on 64 random bits a coordinate spreads by 4, so two of three pairs
 agree in it within 4. Tasks therefore get their fingerprints by an exact partition first: two fingerprints that differ
 in at most 4 of 64 bits agree in at least 2 of 6 blocks (in at most 7 bits, in 3 of 10), so each goes to one cell for
-each two (three) blocks, and linked ones meet in a cell. A cell of more than `cell_rows` members is dealt out again as
-pairs of parts, so no task holds more than two parts and none is left out. A cell returns a forest of its links, never
-all pairs.
+each two (three) blocks, and linked ones meet in a cell. With more fingerprints the blocks are more and the keys longer,
+so cells don't fill with strangers. A cell of more than `cell_rows` members is dealt out in parts that are connected
+through common leaders, and only what they leave apart meets all parts. A cell returns a forest of its links, never all
+pairs.
 
 one_of_each() needs a similarity of 0.8 or more on five-word shingles, which is about 10 of 64 bits and too wide for an
 exact partition, so it takes its groups from wildtally.llm.resemblance, which verifies that similarity itself.
@@ -26,13 +27,33 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wildtally.llm.components import components
-from wildtally.llm.resemblance import groups
-from wildtally.llm.shared import as_bytes, cut, matching, over_batches, row_key, table
+from wildtally.llm.resemblance import connected, groups, in_tasks
+from wildtally.llm.shared import as_bytes, cut, free_name, matching, over_batches, row_key, table
 
 PIVOTS = np.random.default_rng(64).integers(0, 1 << 64, 16, np.uint64)
-#: Most differing bits: widths of the blocks from the lowest bit, and how many of them two linked fingerprints share.
-PARTITIONS = {4: ((11, 11, 11, 11, 10, 10), 2), 7: ((7, 7, 7, 7, 6, 6, 6, 6, 6, 6), 3)}
+#: Strangers that a cell may hold on average before the partition takes longer keys.
+STRANGERS = 64
+
+
+def partition(bits: int, shared: int) -> tuple[tuple[int, ...], int]:
+    """Widths of the blocks from the lowest bit, and how many of them two fingerprints within `bits` share at least."""
+    short, wider = divmod(64, bits + shared)
+    return tuple([short + 1] * wider + [short] * (bits + shared - wider)), shared
+
+
+#: By most differing bits; more fingerprints than these are meant for share more blocks, see key_blocks().
+PARTITIONS = {4: partition(4, 2), 7: partition(7, 3)}
+
+
+def key_blocks(bits: int, count: int) -> tuple[tuple[int, ...], int]:
+    """The partition for so many fingerprints: longer keys, and more of them, where strangers would crowd the cells. All are exact."""
+    widest = min(b for b in PARTITIONS if b >= bits)
+    shared = PARTITIONS[widest][1]
+    while shared < 5 and count > STRANGERS << (64 * shared // (widest + shared)):
+        shared += 1
+    return partition(widest, shared)
+
+
 SEED = 42
 
 
@@ -69,9 +90,9 @@ def fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_c
     return docs.select(id_col, text_col).mapInArrow(over_batches(work), f"`{id_col}` {kind}, fingerprint long, second long")
 
 
-def cells(column: str, bits: int = 4) -> F.Column:
-    """The cells of a fingerprint: which blocks, and their bits. Two within `bits` of each other share a cell."""
-    widths, shared = PARTITIONS[min(b for b in PARTITIONS if b >= bits)]
+def cells(column: str, bits: int = 4, count: int = 0) -> F.Column:
+    """The cells of one of `count` fingerprints: which blocks, and their bits. Two within `bits` of each other share a cell."""
+    widths, shared = key_blocks(bits, count)
     shift = np.cumsum((0, *widths)).tolist()
     block = [F.shiftrightunsigned(column, shift[i]).bitwiseAND(F.lit((1 << w) - 1)) for i, w in enumerate(widths)]
     found = []
@@ -144,24 +165,17 @@ def cell_links(group: np.ndarray, prints: np.ndarray, bits: int, small: int = 32
     return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in zip(*found, strict=True)) or (np.empty(0, np.int64),) * 2
 
 
-def links(prints: DataFrame, bits: int = 4, second_bits: int = 64, cell_rows: int = 1024) -> DataFrame:
-    """a, b: links that connect all nodes whose fingerprints lie within `bits` (up to 7), and second ones too.
+def linked(prints: DataFrame, bits: int = 4, second_bits: int = 64, cell_rows: int = 1024) -> DataFrame:
+    """node, component of the nodes that have others with fingerprints within `bits` (up to 7), and second ones too.
 
-    `prints` has a row for each node (long, distinct): node, fingerprint, second.
+    `prints` has a row for each node (long, distinct): node, fingerprint, second. A cell of more than `cell_rows` is
+    dealt out in parts that are connected through common leaders; see wildtally.llm.resemblance.
     """
     if not 0 <= bits <= max(PARTITIONS):
         raise ValueError(f"the partitions are exact for up to {max(PARTITIONS)} bits")
-    of = cells("fingerprint", bits)
-    member = prints.select("node", "fingerprint", "second", F.explode(of).alias("cell"))
-    full = prints.select(F.explode(of).alias("cell")).groupBy("cell").count().filter("count > 1")
-    parts = F.ceil(F.col("count") / cell_rows).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    # part p meets every part: it goes to the tasks (p, q) and (q, p) with the smaller first
-    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.least(q, F.col("own")) * F.col("parts") + F.greatest(q, F.col("own")))
-    dealt = (
-        member.join(full, "cell").withColumn("parts", parts).withColumn("own", own)
-        .select("cell", "node", "fingerprint", "second", F.explode(meets).alias("task"))
-    )
+    of = cells("fingerprint", bits, prints.count())
+    full = prints.select(F.explode(of).alias("cell")).groupBy("cell").count().filter("count > 1").select("cell")
+    met = cut(prints.select("node", "fingerprint", "second", F.explode(of).alias("cell")).join(full, "cell"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the rows of a group not known to be complete
@@ -187,8 +201,10 @@ def links(prints: DataFrame, bits: int = 4, second_bits: int = 64, cell_rows: in
         if held:
             yield emit(np.concatenate(held))
 
-    sorted_ = dealt.select("cell", "task", "node", "fingerprint", "second").repartition("cell", "task").sortWithinPartitions("cell", "task")
-    return sorted_.mapInArrow(work, "a long, b long")
+    def links(tasks: DataFrame) -> DataFrame:
+        return in_tasks(tasks.select("cell", "task", "node", "fingerprint", "second"), "cell").mapInArrow(work, "a long, b long")
+
+    return connected(met, "cell", F.lit(1), cell_rows, links)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, id_col: str = "doc_id", text_col: str = "text", second_words: int = 0, second_bits: int = 64) -> DataFrame:
@@ -202,7 +218,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, id_col: str
     node = F.xxhash64("fingerprint", "second") if second_words else F.col("fingerprint")
     own = own.withColumn("node", node)
     least = cut(own.groupBy("node", "fingerprint", "second").agg(F.min(id_col).alias("first")))
-    joined = components(links(least.select("node", "fingerprint", "second"), bits, second_bits))
+    joined = linked(least.select("node", "fingerprint", "second"), bits, second_bits)
     labelled = cut(least.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root")))
     roots = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(roots, "root").select("node", "component_id")
@@ -215,11 +231,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     All columns stay. Rows without an id come last, so they stay where no row of their group has one; of equal rows
     one stays. Texts aren't shuffled, but for rows that are there more than once.
     """
-    key = ["_k1", "_k2"]
-    named = docs.withColumn("_key", row_key()).withColumn("_k1", F.col("_key.k1")).withColumn("_k2", F.col("_key.k2")).drop("_key")
-    order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), "_k1", "_k2").alias("key")
+    key = [free_name(docs, "_k1"), free_name(docs, "_k2")]
+    whole = free_name(docs, "_key")
+    named = docs.withColumn(whole, row_key()).withColumns({k: F.col(f"`{whole}`.k{n}") for n, k in enumerate(key, 1)}).drop(whole)
+    order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), *key).alias("key")
     found = cut(groups(named.select(order, "text")))
-    of = lambda df: df.select("key._k1", "key._k2")
+    of = lambda df: df.select(*[f"key.{k}" for k in key])
     rest = matching(named, of(found.filter("key <> component_id")), "left_anti")
     repeated = cut(of(found.filter("key = component_id")).groupBy(*key).count().filter("count > 1").select(*key))
     if repeated.isEmpty():
@@ -229,4 +246,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document.
+
+    Null, empty and blank texts have fingerprint zero and link like any other. A bit set in half the shingles is 0.
+    Repeated rows and rows without an id stay. An empty table gives no rows. Other columns are not looked at.
+    """
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
