@@ -7,7 +7,7 @@ share a cell are compared by cosine in double precision. A pair is counted in th
 list of pairs is ever made: a cell returns counts for its members and a forest of links.
 
 Equal vectors are one class, compared once and counted with their number. A cell of more than `cell_rows` classes is
-dealt out as pairs of parts.
+dealt out as pairs of parts: n_links counts every pair, so every pair of a cell has to meet.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,9 +140,7 @@ def compare_cell(cell: int, task: int, parts: int, rep: np.ndarray, own: np.ndar
     count = np.zeros(n, np.int64)
     if not len(i):
         return count, np.empty((0, 2), np.int64)
-    # cells come in the order of their table, then of their number; a pair that shares an earlier one was counted there
-    order = lambda c: ((c & 31).astype(np.uint64) << np.uint64(59)) | (c.astype(np.uint64) >> np.uint64(5))
-    values, index = np.unique(np.where(order(cells) < order(np.array([cell]))[0], cells, 0), return_inverse=True)
+    values, index = np.unique(np.where(_order(cells) < _order(np.array([cell]))[0], cells, 0), return_inverse=True)
     index = index.reshape(cells.shape)
     holds = np.zeros((n, len(values)), np.float32)
     holds[np.arange(n)[:, None], index] = 1
@@ -164,6 +163,35 @@ def compare_cell(cell: int, task: int, parts: int, rep: np.ndarray, own: np.ndar
     return count, np.stack([rep[at], rep[label[at]]], axis=1)
 
 
+#: Members of a group that are compared with those of all other such groups at once.
+FEW = 32
+
+
+def _order(cells: np.ndarray) -> np.ndarray:
+    """Cells come in the order of their table, then of their number; a pair is counted in the first cell it shares."""
+    return ((cells & 31).astype(np.uint64) << np.uint64(59)) | (cells.astype(np.uint64) >> np.uint64(5))
+
+
+def few_links(cell: np.ndarray, group: np.ndarray, rep: np.ndarray, unit: np.ndarray, weight: np.ndarray, cells: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of groups of FEW at most that lie one behind the other: how many vectors each row links with here first, and these links (rows)."""
+    n, found = len(rep), []
+    count = np.zeros(n, np.int64)
+    for step in range(1, FEW):
+        i = np.flatnonzero((group[:-step] == group[step:]) & (rep[:-step] != rep[step:])) if step < n else np.empty(0, np.int64)
+        if step >= n or not len(i) and not (group[:-step] == group[step:]).any():
+            break
+        near = i[np.einsum("ij,ij->i", unit[i], unit[i + step]) >= least]
+        for at in range(0, len(near), 2048):
+            x, y = near[at : at + 2048], near[at : at + 2048] + step
+            early = _order(cells[x]) < _order(cell[x])[:, None]
+            shared = ((cells[x][:, :, None] == cells[y][:, None, :]).any(axis=2) & early).any(axis=1)
+            x, y = x[~shared], y[~shared]
+            np.add.at(count, x, weight[y])
+            np.add.at(count, y, weight[x])
+            found.append(np.stack([x, y], axis=1))
+    return count, np.concatenate(found) if found else np.empty((0, 2), np.int64)
+
+
 def linked_classes(classes: DataFrame, least: float, cell_rows: int = 4096) -> DataFrame:
     """a, b, n: rows with b are links between classes; rows without say that class a links with n further vectors."""
     held = cut(_in_cells(classes))
@@ -174,34 +202,55 @@ def linked_classes(classes: DataFrame, least: float, cell_rows: int = 4096) -> D
     dealt = member.join(full, "cell").withColumn("own", own).select("rep", "cell", "parts", "own", F.explode(meets).alias("task"))
     rows = dealt.join(held, "rep").select("cell", "task", "parts", "own", "rep", "weight", "vector", "cells")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            by_length: dict[int, list[tuple]] = {}
-            for g in group:
-                by_length.setdefault(len(g[6]), []).append(g)
-            for same in by_length.values():
-                if len(same) < 2:
-                    continue
-                rep, own, weight = (np.array([g[k] for g in same], np.int64) for k in (4, 3, 5))
-                unit = np.stack([np.frombuffer(g[6], np.float64) for g in same])
-                cells = np.array([g[7] for g in same], np.int64)
-                n, links = compare_cell(same[0][0], same[0][1], same[0][2], rep, own, unit, weight, cells, least)
-                a, b = [*rep[n > 0].tolist(), *links[:, 0].tolist()], [None] * int((n > 0).sum()) + links[:, 1].tolist()
-                counts = [*n[n > 0].tolist(), *[0] * len(links)]
-                if a:
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in (a, b, counts)], names=["a", "b", "n"])
+    def told(rep: np.ndarray, count: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+        some = np.flatnonzero(count)
+        a, n = np.concatenate([rep[some], links[:, 0]]), np.concatenate([count[some], np.zeros(len(links), np.int64)])
+        b = pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(links[:, 1], pa.int64())])
+        return pa.record_batch([pa.array(a, pa.int64()), b, pa.array(n, pa.int64())], names=["a", "b", "n"])
+
+    def compared(block: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Of rows that hold whole groups; vectors of one length at a time."""
+        size = pc.binary_length(block.column(6)).to_numpy()
+        for length in np.unique(size).tolist():
+            same = block if (size == length).all() else block.filter(pa.array(size == length))
+            cell, task, parts, own, rep, weight = (same.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(6))
+            unit = np.frombuffer(b"".join(same.column(6).to_pylist()), np.float64).reshape(len(rep), -1)
+            cells = same.column(7).flatten().to_numpy().reshape(len(rep), -1)
+            begins = np.r_[True, (cell[1:] != cell[:-1]) | (task[1:] != task[:-1])]
+            start = np.flatnonzero(begins)
+            group, members = np.cumsum(begins), np.diff(np.r_[start, len(rep)])
+            few = np.repeat((members <= FEW) & (parts[start] == 1), members)
+            count, links = few_links(cell[few], group[few], rep[few], unit[few], weight[few], cells[few], least)
+            yield told(rep[few], count, rep[few][links])
+            for k in np.flatnonzero(~few[start] & (members > 1)):
+                at = slice(start[k], start[k] + members[k])
+                yield told(rep[at], *compare_cell(cell[start[k]], int(task[start[k]]), int(parts[start[k]]), rep[at], own[at], unit[at], weight[at], cells[at], least))
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []  # rows of a group that may go on
+        name = None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
-                if group and group[-1][:2] != row[:2]:
-                    yield from emit()
-                    group = []
-                group.append(row)
-        yield from emit()
+            if not batch.num_rows:
+                continue
+            cell, task = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            change = np.flatnonzero((cell[1:] != cell[:-1]) | (task[1:] != task[:-1])) + 1
+            if kept and name != (cell[0], task[0]):
+                yield from compared(joined(kept))
+                kept = []
+            if len(change):
+                yield from compared(joined([*kept, batch.slice(0, int(change[-1]))]))
+                kept, batch = [], batch.slice(int(change[-1]))
+            kept.append(batch)
+            name = (cell[-1], task[-1])
+        if kept:
+            yield from compared(joined(kept))
+
+    return rows.repartition("cell", "task").sortWithinPartitions("cell", "task").mapInArrow(work, "a long, b long, n long")
 
-    return rows.repartition("cell", "task").sortWithinPartitions("cell", "task").mapInArrow(over_batches(work, 4096), "a long, b long, n long")
+
+def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Batches as one."""
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -227,4 +276,9 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
 
 
 def op8_lattice_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector.
+
+    Null, zero and non-finite vectors and rows without an id stand alone. Equal vectors link; the smallest id of a
+    component is kept, all rows of it if it is repeated. An empty table gives no rows; other columns are not looked at.
+    """
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), 0.95)
