@@ -8,7 +8,8 @@ verified by counting the item's distinct shingles in the document.
 
 A document's shingles leave its row only where they occur in some item, so what is shuffled follows the overlap with
 the benchmark and not the corpus. The items' shingles are broadcast up to BROADCAST_ROWS, counted first; beyond that
-the same joins are shuffled. Shingles are compared as 64-bit hashes of their words.
+the same joins are shuffled. Shingles are found and counted as 64-bit hashes of their words; what survives, few rows, is
+counted again on the words themselves, so containment is exact.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from wildtally.llm.shared import cut, matching, table
+from wildtally.llm.shared import cut, free_name, matching, table
 
 SKETCH = 8
 #: 16 bytes a row: at most 32 MB in each executor.
@@ -36,6 +37,12 @@ def shingle_hashes(words: F.Column, size: int) -> F.Column:
     return F.when(F.size(words) >= size, each).otherwise(F.array().cast("array<long>"))
 
 
+def shingle_texts(words: F.Column, size: int) -> F.Column:
+    """The distinct runs of `size` words; an empty array if there are fewer words."""
+    each = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.array_join(F.slice(words, i + 1, size), " "))
+    return F.when(F.size(words) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+
 def item_shingles(items: DataFrame, size: int = 5, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """item_id, hash, rank (1: least hash in a random order), n (distinct shingles), size_class (floor of log2 n)."""
     words = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), word_array(F.col(text_col)).alias("words"))
@@ -68,18 +75,30 @@ def contained(docs: DataFrame, items: DataFrame, size: int = 5, least: float = 0
     candidates = found.join(hint(sketch), "hash").filter(large_enough).select("doc_id", "doc_key", "item_id").distinct()
     wanted = candidates.join(hint(known.select("item_id", "hash", "n")), "item_id")
     shared = wanted.join(found.select("doc_key", "hash"), ["doc_key", "hash"], "left_semi")
-    counted = shared.groupBy("doc_id", "doc_key", "item_id").agg(F.count("*").alias("n_shared"), F.first("n").alias("n_shingles"))
-    return counted.withColumn("containment", F.col("n_shared") / F.col("n_shingles")).filter(F.col("n_shared") >= least * F.col("n_shingles"))
+    counted = shared.groupBy("doc_key", "item_id").agg(F.count("*").alias("n"), F.first("n").alias("of")).filter(F.col("n") >= least * F.col("of"))
+    survivors = cut(counted.select("doc_key", "item_id"))
+    sent = F.broadcast if survivors.count() <= BROADCAST_ROWS else lambda x: x
+    own = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text").join(sent(survivors), "doc_key")
+    asked = items.select(F.col("item_id"), shingle_texts(word_array(F.col("text")), size).alias("asked")).filter("size(asked) > 0").join(survivors.select("item_id").distinct(), "item_id")
+    both = own.select("doc_id", "doc_key", "item_id", shingle_texts(word_array(F.col("text")), size).alias("held")).join(asked, "item_id")
+    exact = both.select("doc_id", "doc_key", "item_id", F.size(F.array_intersect("asked", "held")).cast("long").alias("n_shared"), F.size("asked").cast("long").alias("n_shingles"))
+    told = exact.groupBy("doc_id", "doc_key", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
+    return told.withColumn("containment", F.col("n_shared") / F.col("n_shingles")).filter(F.col("n_shared") >= least * F.col("n_shingles"))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of `docs` that hold no item; all columns, repeated rows and rows without an id stay as they are."""
-    key = "_doc_key"
+    key = free_name(docs, "_doc_key")
     bad = contained(docs, items, size, least).select(F.col("doc_key").alias(key))
     return matching(docs.withColumn(key, F.xxhash64("doc_id", "text")), bad, "left_anti").select(docs.columns)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold.
+
+    Null, empty and short texts hold and are nothing; a document with several items has a row for each; equal rows
+    count once. An empty table on either side gives no rows. Other columns are not looked at.
+    """
     found = contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shared", "n_shingles", "containment")
 
