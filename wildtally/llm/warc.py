@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wildtally.llm.shared import as_bytes, fresh_path, over_batches, stored, table
+from wildtally.llm.shared import SENT_KEYS, as_bytes, cut, fresh_path, over_batches, stored, table
 
 INDEX = (
     "page_id long, url string, file string, offset long, length long, payload_bytes long, payload_digest string, "
@@ -74,21 +74,28 @@ def with_originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html and refers_to: the largest page_id with an equal payload, null for that page itself.
 
     A null html counts as an empty payload. Rows that share the largest page_id are all responses, and so are rows
-    without a page_id and payloads under `least_bytes`. Only digests travel to find repeats, one row for each and task.
+    without a page_id and payloads under `least_bytes`. Only digests travel to find repeats; those that repeat are sent
+    to all tasks if there are SENT_KEYS at most, else the pages are joined to them by a shuffle.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
-    keyed = pages.select("page_id", "url", "html", F.unhex(F.sha1(F.encode(html, "utf-8"))).alias("sha1"))
-    long_enough = F.octet_length(html) >= least_bytes
-    repeated = (
-        pages.filter(long_enough).groupBy(F.unhex(F.sha1(F.encode(html, "utf-8"))).alias("sha1"))
+    sha1, long_enough = F.unhex(F.sha1(F.encode(html, "utf-8"))), F.octet_length(html) >= least_bytes
+    repeated = cut(
+        pages.filter(long_enough).select("page_id", sha1.alias("sha1")).groupBy("sha1")
         .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1").select("sha1", "last")
     )
+    if repeated.count() <= SENT_KEYS:  # the pages stay where they are
+        repeated = F.broadcast(repeated)
     is_repeat = long_enough & (F.col("page_id") != F.col("last"))
+    keyed = pages.select("page_id", "url", "html", sha1.alias("sha1"))
     return keyed.join(repeated, "sha1", "left").select("page_id", "url", "html", F.when(is_repeat, F.col("last")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, max_bytes: int = 256 << 20, level: int = 6) -> DataFrame:
-    """Writes a record for each row of with_originals() into archives in `folder`; returns the index, not yet stored."""
+    """Writes a record for each row of with_originals() into archives in `folder`; returns the index, not yet stored.
+
+    Rows without a url have no target header, rows without a page_id a record id of their own; an empty payload is a
+    record too, repeated rows are records each, and no rows write no archive. Other columns are left out.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder)
@@ -124,7 +131,8 @@ def read_records(index: DataFrame, folder: str, gap: int = 64 << 10, most: int =
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to, html of the index rows given, from the archives.
 
     Rows are dealt out by file and stripe and sorted by offset; ranges at most `gap` bytes apart share a read of at
-    most `most` bytes (a larger record is read alone). The payload's digest is checked against the index.
+    most `most` bytes (a larger record is read alone). The payload's digest is checked against the index; one that
+    differs is a ValueError. Each index row gives a row, repeated ones too; html is null for revisits; no rows give none.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +181,12 @@ def _read(member: bytes, digest: str) -> tuple:
 
 
 def op4_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives.
+
+    A null html is an empty payload. Of equal payloads the largest page_id is the response; rows that share it, and
+    rows without a page_id, are responses each. Repeated rows stay, an empty table gives no rows, other columns are not
+    looked at. The archives stay in the shared folder, as rows are read from them when the result is.
+    """
     folder = fresh_path(spark, "warc")
     pages = with_originals(table(spark, sf_dir, "pages"))
     index, _ = stored(write_archives(pages, folder), "warc-index")
