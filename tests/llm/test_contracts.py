@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -436,3 +437,159 @@ def test_registered_names():
     assert sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in queries.queries()) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
     assert json.dumps(queries.oracle_sql())
+
+
+def test_pii_marginals_are_exact_on_trees():
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    field = pii.Field({}, rng.normal(size=(1, 5)), rng.normal(size=(5, 5)), (lambda x: x + x.T)(rng.normal(size=(5, 5))))
+    chain, skip = [(0, 1), (1, 2)], [(1, 3), (0, 4)]
+    observed = np.array([-1, -1, 2, -1, -1])
+    want = np.zeros((5, 5))
+    for labels in product(range(5), repeat=5):
+        if labels[2] != 2:
+            continue
+        weight = np.exp(sum(field.weights[0, y] for y in labels) + sum(field.chain[labels[i], labels[j]] for i, j in chain) + sum(field.skip[labels[i], labels[j]] for i, j in skip))
+        for node, y in enumerate(labels):
+            want[node, y] += weight
+    found = field.marginals(pii.Graph([], ["a"] * 5, observed, chain, skip))
+    assert np.allclose(found, want / want.sum(axis=1, keepdims=True), atol=1e-3)
+
+
+def test_pii_recovers_hidden_spans():
+    rnd = random.Random(11)
+    number = lambda n: "".join(rnd.choices("0123456789", k=n))
+    say = {"email": lambda: f"w{number(3)}@mail{number(1)}.example.com", "phone": lambda: f"+1 ({number(3)}) 555-{number(4)}", "ip": lambda: f"{rnd.randrange(256)}.{rnd.randrange(256)}.1.{rnd.randrange(99)}"}
+    texts = [" ".join(x for _ in range(3) for x in ("words and", say[rnd.choice(list(say))](), f"version {number(1)}.0 of {number(16)} too")) for _ in range(300)]
+    graphs = [pii.graph(t, pii.base_spans(t)) for t in texts]
+    field = pii.train(graphs[:200])
+    hits = misses = wrong = 0
+    for t in texts[200:]:
+        base = pii.base_spans(t)
+        kind, a, b = rnd.choice(base)
+        g = pii.graph(t, [s for s in base if s != (kind, a, b)])
+        p = field.marginals(g)
+        for n, (x, y) in enumerate(g.spans):
+            if g.observed[n] < 0:
+                called = pii.LABELS[p[n].argmax()] if p[n].max() >= 0.8 else "none"
+                if x < b and a < y:
+                    hits, misses = hits + (called == kind), misses + (called != kind)
+                else:
+                    wrong += called != "none"
+    assert hits >= 0.95 * (hits + misses) and wrong <= 0.02 * hits
+
+
+def test_pii_compares_whole_tokens():
+    long = "a" * 100 + "1"
+    assert not set(pii.alike_keys(long + "2")) & set(pii.alike_keys(long + "3")) and pii.alike_keys(long) == pii.alike_keys(long.upper())
+    assert pii.shape("9" * 30) != pii.shape("9" * 30 + "-" * 40 + "b")
+
+
+def test_joins_are_repaired_where_tokens_reach_over_them():
+    path = tokenizers_files.path("byte_bpe_50k.json")
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choices(["the", "Cat", "sat,", "on", "mats.", "again"], k=400)) for _ in range(3)]
+    coder = bpe.ChunkEncoder(path)
+    want = [packed(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in texts]
+    assert coder.encode([t.encode() for t in texts]) == want
+    assert coder.repaired > 10 and coder.whole == 0
+    own = bpe.ChunkEncoder(BPE)
+    shared = " ".join(rnd.choices("abcdefghij", k=500))
+    assert own.encode([f"first {shared}".encode(), f"and the second {shared}".encode()]) == [packed(library_ids(f"first {shared}")), packed(library_ids(f"and the second {shared}"))]
+    assert own.reused >= 0.4 * (own.reused + own.encoded)
+
+
+def test_lattices_side_by_side_are_the_plain_one():
+    prior = lattice.vocabulary_prior(tokenizers_files.path("piece_bpe_32k.model"))
+    plain = lattice.Lattice({p: math.log(x) for p, x in prior.items()})
+    own, rnd = lattice.SideBySide(plain), random.Random(5)
+    words = ["".join(rnd.choices("theanroéüß漢x9-", k=rnd.randint(0, 14))) for _ in range(400)] + ["the", "and", "𝄞𝄞"]
+    marginal, counts, uses = {}, {}, 0.0
+    for at in lattice.of_one_length([lattice.SPACE + w for w in words]):
+        marginal.update(zip(at, own.log_marginals([lattice.SPACE + words[k] for k in at]).tolist(), strict=True))
+        uses = uses + own.expect([lattice.SPACE + words[k] for k in at], np.arange(len(words))[at] + 1.0)
+    for k, w in enumerate(words):
+        assert marginal[k] == pytest.approx(plain.log_marginal(w))
+        plain.expect(w, k + 1.0, counts)
+    found = {p: n for p, n in zip(own.names, uses.tolist(), strict=False) if n > 1e-9}
+    assert found == pytest.approx({p: n for p, n in counts.items() if n > 1e-9})
+
+
+def test_long_words_go_by_a_digest(spark):
+    long = ["x" * 5000, "x" * 5000 + "y"]
+    docs = documents(spark, [f"{long[0]} a", f"a {long[0]}", long[1]])
+    found = {r.doc_id: r for r in lattice.score_documents(docs, tokenizers_files.path("piece_bpe_32k.model"), F.col("doc_id") == 0).collect()}
+    assert [found[k].n_known for k in range(3)] == [3, 3, 1] and found[2].score < found[1].score
+
+
+def test_empty_tables(spark, tmp_path):
+    none = documents(spark, [])
+    assert tokenfile.read_token_files(stored(tokenfile.write_token_files(none, BPE, fresh_path(spark, "t"), 1), "m")[0], fresh_path(spark, "t")).count() == 0
+    assert pii.find_personal_data(none, pii.learn(none)).count() == 0
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    folder = fresh_path(spark, "w")
+    assert warc.read_records(stored(warc.write_archives(warc.with_originals(pages), folder), "i")[0], folder).count() == 0
+    assert urlrules.judge(pages).count() == 0
+    assert embeddings.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    none.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_rows_stay(spark):
+    texts = ["call +1 (386) 555-0123 now", "words and words", "call +1 (386) 555-0123 now"]
+    docs = documents(spark, texts, [1, 2, 1])
+    assert sorted(r.doc_id for r in pii.find_personal_data(docs, pii.learn(docs)).collect()) == [1, 1, 2]
+    assert sorted(r.doc_id for r in bpe.token_digests(docs, BPE).collect()) == [1, 1, 2]
+    pages = spark.createDataFrame([(5, "u", "same"), (5, "v", "same"), (3, "w", "same")], "page_id long, url string, html string")
+    folder = fresh_path(spark, "w")
+    found = warc.read_records(stored(warc.write_archives(warc.with_originals(pages), folder), "i")[0], folder).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in found if r.page_id == 5) == [(5, "response", None)] * 2 and [r.refers_to for r in found if r.page_id == 3] == [5]
+    assert sorted(r.page_id for r in urlrules.judge(pages).collect()) == [3, 5, 5]
+
+
+def test_clashing_columns(spark):
+    docs = documents(spark, ["one two three four five six", "one two three four five six", "other"]).withColumns({c: F.lit("own") for c in ("_key", "_k1", "_k2", "_doc_key", "key", "node", "cell", "task")})
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r._k1) for r in kept.collect()) == [(0, "own"), (2, "own")]
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    clean = decontam.without_contaminated(docs, items)
+    assert clean.columns == docs.columns and [(r.doc_id, r._doc_key) for r in clean.collect()] == [(2, "own")]
+
+
+def test_partitions_for_many_fingerprints_are_exact():
+    assert simhash.key_blocks(4, 1000) == simhash.PARTITIONS[4] and simhash.key_blocks(4, 1 << 34)[1] > 2
+    for count in (0, 1 << 28, 1 << 34, 1 << 45):
+        widths, shared = simhash.key_blocks(4, count)
+        assert sum(widths) == 64 and len(widths) - 4 >= shared
+
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(FOLDER), reason="the driver's tables aren't here")
+@pytest.mark.parametrize("name", queries.queries())
+def test_queries_over_a_folder(spark, name):
+    import duckdb
+
+    table = {"op4": "pages", "op6": "pages", "op8": "embeddings"}.get(name.split("_")[0], "documents")
+    df = queries.queries()[name](spark, FOLDER)
+    rows = df.collect()
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    if name in queries.oracle_sql():
+        found = con.execute(queries.oracle_sql()[name])
+        at = [[c[0] for c in found.description].index(c) for c in df.columns]
+        key = lambda r: tuple((v is None, str(v)) for v in r)
+        assert sorted(map(tuple, rows), key=key) == sorted((tuple(r[k] for k in at) for r in found.fetchall()), key=key)
+    else:
+        assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    if name.startswith("op1_"):
+        own = Tokenizer.from_file(BPE)
+        start = 0
+        for r, (doc, text) in zip(sorted(rows, key=lambda r: r.doc_id), con.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall(), strict=True):
+            ids = [*own.encode(text or "", add_special_tokens=False).ids, 1]
+            assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc, start, len(ids), zlib.crc32(packed(ids)))
+            start += len(ids)
