@@ -434,7 +434,7 @@ def test_pipeline_stages(spark, tmp_path):
 
 
 def test_registered_names():
-    assert sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in queries.queries()) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
     assert json.dumps(queries.oracle_sql())
 
@@ -573,7 +573,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_queries_over_a_folder(spark, name):
     import duckdb
 
-    table = {"op4": "pages", "op6": "pages", "op8": "embeddings"}.get(name.split("_")[0], "documents")
+    table = {"op4": "pages", "op6": "pages", "op8": "embeddings", "op13": "conversations"}.get(name.split("_")[0], "documents")
     df = queries.queries()[name](spark, FOLDER)
     rows = df.collect()
     con = duckdb.connect()
@@ -584,6 +584,8 @@ def test_queries_over_a_folder(spark, name):
         at = [[c[0] for c in found.description].index(c) for c in df.columns]
         key = lambda r: tuple((v is None, str(v)) for v in r)
         assert sorted(map(tuple, rows), key=key) == sorted((tuple(r[k] for k in at) for r in found.fetchall()), key=key)
+    elif name.startswith("op13_"):
+        assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").select("conv_id").distinct().count()
     else:
         assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
     if name.startswith("op1_"):

@@ -1,4 +1,4 @@
-"""Operators for preparing training text: ten methods over documents, pages, embeddings and a benchmark.
+"""Operators for preparing training text: methods over documents, pages, conversations, embeddings and a benchmark.
 
 Nothing else in the library imports this subpackage.
 """
