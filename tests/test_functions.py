@@ -106,4 +106,3 @@ def test_scalars(spark):
         assert one(spark, scalars.safe_file_name(F.lit(bad))) is None
     assert one(spark, scalars.category_name(F.lit("2"))) == "person"
     assert one(spark, scalars.category_name(F.lit("9"))) == "unknown"
-    assert sum(scalars.diel_weights([(6.8, 1.5)])) == pytest.approx(1)

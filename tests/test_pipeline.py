@@ -1,19 +1,23 @@
 import json
 import struct
+import sys
 import zlib
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from wildtally.cli import build_parser, main
 from wildtally.errors import InputError
 from wildtally.functions import pixels, scalars
-from wildtally.operators.rehearsal import TruthClassifier, TruthDetector
-from wildtally.plans import grading, synthetic
+from wildtally.plans import grading, stages
 from wildtally.plans.pipeline import Pipeline
+from wildtally.schemas import DETECTION_RECORDS, METRICS
+from wildtally.settings import Settings
 from wildtally.sources import images, tables
+from wildtally.storage import Files
 from wildtally.streaming import stream_near_duplicates, stream_sessions
 
 
@@ -59,6 +63,27 @@ def test_pixel_metrics():
     assert pixels.laplacian_variance(grid) == pytest.approx(float(around.var()))
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import tests
+
+
+class FromTruth:
+    """A detector and classifier that knows what is in each photo, and breaks off at some."""
+
+    name = "from-truth"
+
+    def __init__(self, truth, stop=()):
+        self.truth, self.stop = truth, stop
+
+    def detect(self, image, *, path):
+        if path in self.stop:
+            raise RuntimeError(f"broken off at {path}")
+        return [{"category": o["category"], "conf": 0.9, "bbox": o["bbox"]} for o in self.truth[path]["objects"]]
+
+    def classify(self, image, boxes, *, path):
+        o = self.truth[path]["objects"][0]
+        return [{"classes": [f"id;{o['lineage']};{o['species']}"], "scores": [0.9]} for _ in boxes]
+
+
 @pytest.fixture()
 def survey(tmp_path):
     rng, start, truth = np.random.default_rng(3), datetime(2026, 4, 6, 8), {}
@@ -80,7 +105,7 @@ def survey(tmp_path):
 def test_pipeline_resumes_and_redoes(spark, survey, tmp_path):
     root, truth = survey
     out = tmp_path / "run"
-    models = (lambda: TruthDetector(truth, 1), lambda: TruthClassifier(truth, 1))
+    models = (lambda: FromTruth(truth), lambda: FromTruth(truth))
     run = Pipeline(spark, str(root), str(out), None, *models)
     assert all(line.split()[1] == "done" for line in run.run())
     events = run.read("events").orderBy("start").collect()
@@ -130,18 +155,6 @@ def test_json_sources(spark, tmp_path):
         tables.load_sidecar(spark, str(side))
 
 
-def test_generated_visits(spark):
-    s = synthetic.Survey(n_days=6)
-    plans = synthetic.plan_cameras(spark, s)
-    visits = synthetic.schedule_visits(plans, s)
-    rows = visits.orderBy("camera_id", "start").collect()
-    assert rows == synthetic.schedule_visits(plans.repartition(3), s).orderBy("camera_id", "start").collect()
-    for a, b in zip(rows, rows[1:], strict=False):
-        assert a.camera_id != b.camera_id or (b.start - a.start).total_seconds() >= s.min_visit_spacing_s
-    per = [r["count"] for r in synthetic.photos_of(visits).groupBy("camera_id", "n").count().collect()]
-    assert len(per) == len(rows) and set(per) <= {3, 6, 9}
-
-
 def test_grading_finds_tampering(spark):
     schema = "photo_id string, event_id string, truth_visit_id long"
     good = spark.createDataFrame([("a", "e1", 1), ("b", "e1", 1), ("c", "e2", 2)], schema)
@@ -167,31 +180,93 @@ def test_streams(spark, tmp_path):
 def test_command_line(tmp_path, capsys):
     assert main(["status", str(tmp_path)]) == 2
     assert "no run" in capsys.readouterr().err
-    for bad in (["run", "x", "--out", "y", "--count-conf", "2"], ["run", "x", "--out", "y", "--valid-from", "soon"], ["synth", "x", "--days", "0"]):
+    for bad in (["run", "x", "--out", "y", "--count-conf", "2"], ["run", "x", "--out", "y", "--valid-from", "soon"], ["fetch-sample", "x", "--cameras", "0"]):
         with pytest.raises(SystemExit):
             build_parser().parse_args(bad)
 
 
-def test_demo_breaks_off_goes_on_and_passes(spark, tmp_path):
-    from wildtally.plans import demo
-
-    told = demo.run_demo(spark, str(tmp_path / "out"), str(tmp_path / "work"), synthetic.Survey(n_days=4, seed=2))
-    assert told.passed, [c for c in told.checks if not c.passed]
-    assert 0 < told.kept_before < told.images
-    names = {p.relative_to(tmp_path / "out").as_posix() for p in told.published}
-    assert {"report.html", "plots/camera_uptime.svg", "summary/events.csv"} <= names
-    for path in told.published:
-        data = path.read_bytes()
+def test_a_run_is_graded_and_published(spark, survey, tmp_path, capsys):
+    root, truth = survey
+    images = {p: {"camera_id": "cam_01", "camera_clock": "2026-04-06 08:00:00", "visit_id": int(p.rpartition("v")[2][0]), "kind": "animal" if t["objects"] else "empty", "blurred": False, "truncated": False} | t for p, t in truth.items()}
+    visits = [{"visit_id": k, "camera_id": "cam_01", "kind": "empty" if k else "animal", "species": None if k else "deer", "count": int(k == 0), "valid_clock": True} for k in range(3)]
+    (root / "ground_truth.json").write_text(json.dumps({"images": images, "visits": visits, "cameras": [{"camera_id": "cam_01", "outage_days": []}]}))
+    (root / "cam_01" / "bad.png").unlink()
+    run = str(tmp_path / "run")
+    Pipeline(spark, str(root), run, None, lambda: FromTruth(truth), lambda: FromTruth(truth)).run()
+    assert main(["grade", str(root), "--out", run]) == 0, capsys.readouterr().out
+    assert main(["publish", run, "--to", str(tmp_path / "out")]) == 0
+    names = {p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.startswith(".")}
+    assert {"report.html", "plots/camera_uptime.svg", "summary/events.csv", "summary/species_totals.csv"} <= names
+    for name in names:
+        data = (tmp_path / "out" / name).read_bytes()
         assert b"\r\n" not in data and data.endswith(b"\n") and str(tmp_path).encode() not in data
-    foreign = tmp_path / "foreign"
-    foreign.mkdir()
-    (foreign / "keep.txt").write_text("mine")
-    with pytest.raises(InputError):
-        demo.emptied(foreign)
-    assert main(["grade", str(tmp_path / "work" / "photos"), "--out", str(tmp_path / "work" / "run")]) == 0
-    events = spark.read.parquet(str(tmp_path / "work" / "run" / "events.parquet"))
-    tables.write_table(events.withColumn("max_animals", F.col("max_animals") + 1), str(tmp_path / "work" / "run" / "events.parquet"))
-    assert main(["grade", str(tmp_path / "work" / "photos"), "--out", str(tmp_path / "work" / "run")]) == 1
+    events = spark.read.parquet(f"{run}/events.parquet")
+    tables.write_table(events.withColumn("max_animals", F.col("max_animals") + 1), f"{run}/events.parquet")
+    assert main(["grade", str(root), "--out", run]) == 1
+
+
+def test_a_crash_in_detection_keeps_what_came_before(spark, survey, tmp_path):
+    root, truth = survey
+    whole = Pipeline(spark, str(root), str(tmp_path / "run"), Settings(batch_photos=2), lambda: FromTruth(truth), lambda: FromTruth(truth))
+    decoded = [(p,) for p in truth]
+    rounds = {r.rel_path: r.k for r in spark.createDataFrame(decoded, "rel_path string").select("rel_path", F.pmod(F.xxhash64(pixels.photo_id_for("rel_path")), F.lit(3)).alias("k")).collect()}
+    last = max(rounds.values())
+    assert last > min(rounds.values())
+    stop = {p for p, k in rounds.items() if k == last}
+    broken = Pipeline(spark, str(root), str(tmp_path / "run"), Settings(batch_photos=2), lambda: FromTruth(truth, stop), lambda: FromTruth(truth))
+    with pytest.raises(Exception, match="broken off"):
+        broken.run()
+    kept = broken.records("detect", "photo_id", DETECTION_RECORDS).read().count()
+    assert kept == sum(k < last for k in rounds.values()) > 0
+    assert all(line.split()[1] == "done" for line in whole.run())
+
+
+def test_a_run_and_a_redo_on_another_file_system(spark, survey, tmp_path):
+    root, truth = survey
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    (tmp_path / "far").mkdir()
+    conf.set("fs.viewfs.mounttable.store.link./far", f"file://{tmp_path}/far")
+    out = "viewfs://store/far/run"
+    run = Pipeline(spark, str(root), out, None, lambda: FromTruth(truth), lambda: FromTruth(truth))
+    assert all(line.split()[1] == "done" for line in run.run())
+    before = run.read("detections").count()
+    assert before == 2 and (tmp_path / "far" / "run" / "summary" / "camera_health.csv").exists()
+    none = {p: {"night": False, "objects": []} for p in truth}
+    again = Pipeline(spark, str(root), out, None, lambda: FromTruth(none), lambda: FromTruth(none))
+    again.run(redo=["detect"])
+    assert again.read("detections").count() == 0  # the kept records were deleted there, too
+
+
+def test_what_a_crash_leaves_between_two_moves(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/t"
+    tables.write_table(spark.range(3), path)
+    move = Files.move
+
+    def fails(self, a, b):
+        if a.endswith(".new"):
+            raise OSError("broken off")
+        move(self, a, b)
+
+    monkeypatch.setattr(Files, "move", fails)
+    with pytest.raises(OSError, match="broken off"):
+        tables.write_table(spark.range(5), path)
+    monkeypatch.undo()
+    assert not (tmp_path / "t").exists()
+    assert tables.read_table(spark, path).count() == 3
+    monkeypatch.setattr(Files, "move", fails)
+    with pytest.raises(OSError, match="broken off"):
+        tables.write_table(spark.range(5), path)
+    monkeypatch.undo()
+    assert tables.write_table(spark.range(7), path).count() == 7  # the old one isn't deleted before
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
+    torn = tmp_path / "r.jsonl"
+    torn.write_text('{"k":"a","v":1}\n{"k":"c"')
+    monkeypatch.setattr(Files, "put", lambda self, new, to: (move(self, to, f"{to}.old"), (_ for _ in ()).throw(OSError("broken off"))))
+    with pytest.raises(OSError, match="broken off"):
+        tables.mended_json_records(spark, f"file://{torn}", "k", "k string, v long")
+    monkeypatch.undo()
+    assert tables.mended_json_records(spark, f"file://{torn}", "k", "k string, v long") == 1
+    assert torn.read_text() == '{"k":"a","v":1}\n'
 
 
 SURVEY = [
@@ -242,23 +317,93 @@ def test_tables_survive_and_lines_are_mended(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(3), path)
     assert tables.write_table(spark.read.parquet(path).filter("id > 0"), path).count() == 2
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
     torn = tmp_path / "r.jsonl"
     torn.write_text('{"k":"a","v":1}\n[1]\n{"v":3}\n{"k":"b","v":2}\n{"k":"c"')
     assert tables.mended_json_records(spark, str(torn), "k", "k string, v long") == 3
     assert torn.read_text() == '{"k":"a","v":1}\n{"k":"b","v":2}\n' and tables.mended_json_records(spark, str(torn), "k", "k string, v long") == 0
     told = spark.createDataFrame([("a,b", 'say "x"', None)], "x string, y string, z long")
-    tables.write_csv(told, tmp_path / "x.csv")
+    tables.write_csv(told, f"file://{tmp_path}/x.csv")
     assert (tmp_path / "x.csv").read_text() == 'x,y,z\n"a,b","say ""x""",\n'
 
 
+def with_exif(orientation: int, order: str = "<", big: bool = False) -> bytes:
+    """A TIFF header with a make, a time and an orientation."""
+    make, time = b"Maker of cameras\0", b"2026:04:06 06:30:00\0"
+    head, entry, room = (16, 20, 8) if big else (8, 12, 4)
+    data = head + (8 if big else 2) + 3 * entry + (8 if big else 4)
+    n, wide = ("Q", "Q") if big else ("H", "I")
+    out = (b"II" if order == "<" else b"MM") + (struct.pack(order + "HHHQ", 43, 8, 0, 16) if big else struct.pack(order + "HI", 42, 8))
+    out += struct.pack(order + n, 3)
+    out += struct.pack(order + "HH" + wide + wide, 0x010F, 2, len(make), data)
+    out += struct.pack(order + "HH" + wide, 0x0112, 3, 1) + struct.pack(order + "H", orientation).ljust(room, b"\0")
+    out += struct.pack(order + "HH" + wide + wide, 0x0132, 2, len(time), data + len(make))
+    return out + struct.pack(order + wide, 0) + make + time
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+@pytest.mark.parametrize("big", [False, True])
+def test_tiff_directories(order, big):
+    h = images.read_header(with_exif(6, order, big))
+    assert (h.make.strip("\0"), h.date_time.strip("\0"), h.orientation) == ("Maker of cameras", "2026:04:06 06:30:00", 6)
+    with pytest.raises(ValueError):
+        images.read_header(with_exif(6, order, big)[:-25])
+
+
+def test_exif_of_png_before_and_behind_the_pixels(tmp_path):
+    plain = png(np.zeros((300, 300, 3), np.uint8))
+    chunk = struct.pack(">I", len(with_exif(3))) + b"eXIf" + with_exif(3) + struct.pack(">I", zlib.crc32(b"eXIf" + with_exif(3)))
+    noise = png(np.random.default_rng(1).integers(0, 255, (300, 300, 3), np.uint8))  # longer than the first look
+    for k, data in enumerate((plain[:33] + chunk + plain[33:], plain[:-12] + chunk + plain[-12:], noise[:-12] + chunk + noise[-12:])):
+        (tmp_path / f"{k}.png").write_bytes(data)
+        with images._opened(str(tmp_path))[0].open_input_file(f"{tmp_path}/{k}.png") as file:
+            h = images.header_of(file)
+        assert (h.width, h.height, h.orientation, h.make.strip("\0")) == (300, 300, 3, "Maker of cameras")
+
+
+def test_markers_of_jpeg_with_fill_bytes():
+    data = exif_jpeg("2026:04:06 06:30:00")
+    filled = data[:2] + b"\xff\xff" + data[2:].replace(b"\xff\xc0", b"\xff\xff\xff\xc0")
+    h = images.read_header(filled)
+    assert (h.width, h.height, h.date_time.strip("\0")) == (64, 48, "2026:04:06 06:30:00")
+    with pytest.raises(ValueError):
+        images.read_header(b"\xff\xd8\xff\xda\0\x04abcd")
+
+
+def figures(spark, root, names):
+    return images.measured_images(spark, str(root), names, lambda rgb: pixels.measure(rgb, Settings()), pixels.METRICS)
+
+
 def test_photos_are_turned_before_they_are_measured(spark, tmp_path):
     ramp = np.repeat(np.arange(48, dtype=np.uint8)[None, :, None] * 5, 32, axis=0).repeat(3, axis=2)
-    files = {"plain": png(ramp), "turned": png(ramp[::-1, ::-1])}
+    chunk = struct.pack(">I", len(with_exif(3))) + b"eXIf" + with_exif(3) + struct.pack(">I", zlib.crc32(b"eXIf" + with_exif(3)))
+    turned = png(ramp[::-1, ::-1])
     (tmp_path / "c").mkdir()
-    for name, data in files.items():
+    for name, data in {"plain": png(ramp), "a [b] {c}": png(ramp), "tür%20 x": png(ramp), "turned": turned[:33] + chunk + turned[33:], "_under": png(ramp), "cut": b"\x89PNG"}.items():
         (tmp_path / "c" / f"{name}.png").write_bytes(data)
-    image = images.decoded_images(spark, str(tmp_path))
-    told = image.select("rel_path", pixels.measured(F.col("image"), F.when(F.col("rel_path").contains("turned"), 3).otherwise(1)).alias("m")).collect()
-    assert len({r.m.dhash for r in told}) == 1
+    told = {r.rel_path: r for r in figures(spark, tmp_path, sorted(f"c/{p.name}" for p in (tmp_path / "c").iterdir())).collect()}
+    assert len(told) == 6 and told.pop("c/cut.png").error == "unreadable"
+    assert len({r.dhash for r in told.values()}) == 1 and all(r.error is None for r in told.values())
     assert images.HEADS[0] < images.HEADS[1]
+
+
+def test_only_pending_photos_are_decoded(spark, survey, tmp_path, monkeypatch):
+    root, truth = survey
+    plans = []
+    append = tables.RecordStore.append
+
+    def watched(self, records):
+        plans.append((records._jdf.queryExecution().toString(), records.count()))
+        append(self, records)
+
+    monkeypatch.setattr(tables.RecordStore, "append", watched)
+    run = Pipeline(spark, str(root), str(tmp_path / "run"))
+    run.run()
+    assert [n for _, n in plans] == [6]
+    (root / "cam_01" / "late.png").write_bytes(png(np.full((8, 8, 3), 7, np.uint8)))
+    plans.clear()
+    run.run(redo=["ingest"])
+    store = run.records("quality", "photo_id", METRICS)
+    stages.run_quality(spark, run.read("media"), run.root, store, Settings())
+    assert [n for _, n in plans] == [1]  # one new photo, one decoded
+    assert all("Exchange" not in plan and "Join" not in plan for plan, _ in plans)  # so no pixels move

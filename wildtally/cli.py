@@ -1,12 +1,10 @@
-"""Command line: run, status, synth, demo, fetch-sample, grade. Exit codes: 0 good, 1 a check failed, 2 bad input, 3 a package is missing."""
+"""Command line: run, status, publish, fetch-sample, grade. Exit codes: 0 good, 1 a check failed, 2 bad input, 3 a package is missing."""
 
 from __future__ import annotations
 
 import argparse
-import json
 import sys
 from collections.abc import Callable, Sequence
-from pathlib import Path
 from typing import Any
 
 from wildtally.errors import InputError, ModelDependencyError
@@ -25,11 +23,10 @@ def of_kind(kind: str) -> Callable[[str], Any]:
 
 #: Commands: what they do, and their arguments (name, kind, default; no default: required). Names and defaults are fixed values.
 COMMANDS: dict[str, tuple[str, tuple[tuple[str, str, Any], ...]]] = {
-    "run": ("run all stages over a photo folder", (("input", "text", ...), ("--out", "text", ...), ("--truth", "text", None), ("--seed", "whole", 7))),
+    "run": ("run all stages over a photo folder", (("input", "text", ...), ("--out", "text", ...))),
     "status": ("show how far a run is", (("out", "text", ...),)),
     "grade": ("hold a run against the truth of its survey", (("input", "text", ...), ("--out", "text", ...))),
-    "synth": ("write a generated survey", (("out", "text", ...), ("--cameras", "count", 3), ("--days", "count", 10), ("--seed", "whole", 7))),
-    "demo": ("generate a survey, break off, go on, grade and publish", (("out", "text", ...), ("--work", "text", ...), ("--cameras", "count", 3), ("--days", "count", 4), ("--seed", "whole", 7))),
+    "publish": ("copy a run's report, charts and summaries", (("out", "text", ...), ("--to", "text", ...))),
     "fetch-sample": ("download a few sequences of a public survey", (("out", "text", ...), ("--cameras", "count", 3), ("--photos", "count", 100), ("--seed", "whole", 7))),
 }
 
@@ -54,53 +51,46 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def _run(args: argparse.Namespace) -> int:
-    from wildtally.operators.rehearsal import TruthClassifier, TruthDetector
     from wildtally.plans.pipeline import Pipeline
     from wildtally.session import spark_session
 
-    truth, seed = json.loads(Path(args.truth).read_text())["images"] if args.truth else None, args.seed
-    models = (lambda: TruthDetector(truth, seed), lambda: TruthClassifier(truth, seed)) if truth else (None, None)
     told = Settings(**{o.name: getattr(args, o.name) for o in OPTIONS if o.flag})
-    print(*Pipeline(spark_session(), args.input, args.out, told, *models).run(args.redo), sep="\n")
+    print(*Pipeline(spark_session(), args.input, args.out, told).run(args.redo), sep="\n")
     return 0
 
 
 def _status(args: argparse.Namespace) -> int:
     from wildtally.plans import ledger
+    from wildtally.session import spark_session
+    from wildtally.storage import Files, located
 
-    path = Path(args.out) / "status.json"
-    if not path.exists():
+    files, path = Files(spark_session()), f"{located(args.out)}/status.json"
+    files.recover(path)
+    if not files.exists(path):
         raise InputError(f"{args.out} holds no run")
-    print(*ledger.lines(path), sep="\n")
+    print(*ledger.lines(files, path), sep="\n")
     return 0
 
 
 def _grade(args: argparse.Namespace) -> int:
-    from wildtally.plans import demo
+    from wildtally.plans.grading import graded
     from wildtally.session import spark_session
+    from wildtally.storage import located
 
-    checks = demo.graded(spark_session(), args.input, args.out)
+    checks = graded(spark_session(), located(args.input), located(args.out)).collect()
     print(*(f"{'ok  ' if c.passed else 'FAIL'} {c.name}: {c.good} of {c.total}" for c in checks), sep="\n")
     return 0 if all(c.passed for c in checks) else 1
 
 
-def _synth(args: argparse.Namespace) -> int:
-    from wildtally.plans import synthetic
+def _publish(args: argparse.Namespace) -> int:
     from wildtally.session import spark_session
+    from wildtally.sources.tables import publish
+    from wildtally.storage import located
 
-    print(synthetic.write_survey(spark_session(), args.out, synthetic.Survey(n_cameras=args.cameras, n_days=args.days, seed=args.seed)), "photos")
+    print(*publish(spark_session(), located(args.out), located(args.to)), sep="\n")
     return 0
 
 
-def _demo(args: argparse.Namespace) -> int:
-    from wildtally.plans import demo, synthetic
-    from wildtally.session import spark_session
-
-    told = demo.run_demo(spark_session(), args.out, args.work, synthetic.Survey(n_cameras=args.cameras, n_days=args.days, seed=args.seed))
-    print(*(f"{'ok  ' if c.passed else 'FAIL'} {c.name}: {c.good} of {c.total}" for c in told.checks), sep="\n")
-    return 0 if told.passed else 1
-
-
 def _fetch_sample(args: argparse.Namespace) -> int:
     from wildtally.session import spark_session
     from wildtally.sources import sample
@@ -112,7 +102,7 @@ def _fetch_sample(args: argparse.Namespace) -> int:
 def main(argv: Sequence[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     try:
-        return {"run": _run, "status": _status, "grade": _grade, "synth": _synth, "demo": _demo, "fetch-sample": _fetch_sample}[args.command](args)
+        return {"run": _run, "status": _status, "grade": _grade, "publish": _publish, "fetch-sample": _fetch_sample}[args.command](args)
     except InputError as error:
         print(f"error: {error}", file=sys.stderr)
         return 2

@@ -1,40 +1,60 @@
-"""Small column functions: text, time, boxes, hashes."""
+"""Small column functions: text, time, rounding, boxes, hashes."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wildtally.functions.taxonomy import stripped
+from wildtally.functions.stamps import cleaned, parse_timestamp, parse_timestamps
+
+__all__ = [
+    "CATEGORIES", "box_key", "camera_folder", "category_name", "clean_boxes", "cleaned", "event_name", "hamming", "hex_halves", "iou", "is_night", "micros_between",
+    "parse_timestamp", "parse_timestamps", "rounded", "rounded_exactly", "safe_file_name", "seconds_between", "written",
+]
 
 
-def cleaned(text: Column) -> Column:
-    """Without NUL bytes and white space around it; null if nothing is left."""
-    return F.nullif(stripped(F.replace(text, F.lit("\0"), F.lit(""))), F.lit(""))
+def rounded(value: Column, places: int) -> Column:
+    """To `places` decimals: the scaled double to the nearest whole number, a half to the even one."""
+    scale = 10.0**places
+    return F.rint(value * scale) / scale
 
 
-#: Formats of the first 19 characters (fixed values), in the order they are tried.
-STAMP_FORMATS = ("yyyy:MM:dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm:ss")
-LONG_FORMATS = ("d MMMM yyyy HH:mm", "d MMM yyyy HH:mm", "MMMM d yyyy HH:mm", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd HHmmss")
+#: Splits a double into two halves of 26 bits (Dekker).
+_HALVES = 134217729.0
 
 
-def parse_timestamp(value: Column) -> Column:
-    """Wall-clock time of a text in one of many formats, its zone offset dropped; null if unset or unknown."""
-    text = cleaned(value)
-    head = F.substring(text, 1, 19)
-    wall = lambda part, fmt: F.try_to_timestamp(part, F.lit(fmt)).cast("timestamp_ntz")
-    # the zoned type only passes through: reading and writing it in one session zone keeps the wall clock
-    known = [wall(head, f) for f in STAMP_FORMATS]
-    without_zone = F.regexp_replace(text, r"(?i)\s*(z|utc|[+-]\d\d:?\d\d)$", "")
-    return F.when(F.startswith(text, F.lit("0000")), F.lit(None)).otherwise(F.coalesce(*known, *[wall(without_zone, f) for f in LONG_FORMATS]))
+def _halves(x: Column) -> tuple[Column, Column]:
+    high = x * _HALVES - (x * _HALVES - x)
+    return high, x - high
 
 
-def rounded(value: Column, places: int) -> Column:
-    """To `places` decimals: the scaled double to the nearest whole number, a half to the even one."""
+def rounded_exactly(value: Column, places: int) -> Column:
+    """To `places` decimals by the double's exact value, which is a tie only if it lies exactly between; then to the even one.
+
+    The scaled value is the sum of two doubles, its nearest and what that leaves out. The first decides unless it is a
+    half, then the sign of the second does. Doubles too large for decimals, infinities and NaN stay.
+    """
     scale = 10.0**places
-    return F.rint(value * scale) / scale
+    x = F.abs(value)
+    near = x * scale
+    (x_high, x_low), (s_high, s_low) = _halves(x), (F.lit(float(h)) for h in _split(scale))
+    rest = ((x_high * s_high - near) + x_high * s_low + x_low * s_high) + x_low * s_low
+    whole = F.floor(near).cast("double")
+    part = near - whole
+    up = (part > 0.5) | ((part == 0.5) & ((rest > 0) | ((rest == 0) & (whole % 2 == 1))))
+    told = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    signed = F.when(value < 0, -told).otherwise(told)
+    return F.when(F.isnan(value) | (x >= 2.0**52 / scale), value).otherwise(signed)
+
+
+def _split(x: float) -> tuple[float, float]:
+    high = x * _HALVES - (x * _HALVES - x)
+    return high, x - high
+
+
+def written(value: Column, places: int) -> Column:
+    """A number rounded to `places` decimals as text: no trailing zeros but the first decimal, no exponent for small numbers."""
+    return F.regexp_replace(F.format_string(f"%.{places}f", value), r"(?<=\.\d{1,20}?)0+$", "")
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -68,7 +88,7 @@ def clean_boxes(boxes: Column) -> Column:
     def fitted(b: Column, at: Column) -> Column:
         x, y, w, h = (F.get(b["bbox"], F.lit(k)) for k in range(4))
         x, y, w, h = unit(x), unit(y), F.least(unit(w), 1 - unit(x)), F.least(unit(h), 1 - unit(y))
-        return F.struct((-F.bround(b["conf"], 4)).alias("minus"), at.alias("at"), b["category"].alias("category"), F.array(*[F.bround(v, 4) for v in (x, y, w, h)]).alias("bbox"))
+        return F.struct((-rounded_exactly(b["conf"], 4)).alias("minus"), at.alias("at"), b["category"].alias("category"), F.array(*[rounded_exactly(v, 4) for v in (x, y, w, h)]).alias("bbox"))
 
     ordered = F.array_sort(F.transform(boxes, fitted))
     return F.transform(ordered, lambda b: F.struct(b["category"].alias("category"), (-b["minus"]).alias("conf"), b["bbox"].alias("bbox")))
@@ -114,9 +134,3 @@ def is_night(moment: Column) -> Column:
     hour = F.hour(moment) + F.minute(moment) / 60.0
     return (hour < 6.5) | (hour >= 19.5)
 
-
-def diel_weights(peaks: list[tuple[float, float]]) -> list[float]:
-    """24 hourly weights that sum to one: a bump around each peak (hour, spread) of the clock, and a floor."""
-    away = lambda h, peak: min(abs(h - peak), 24 - abs(h - peak))
-    raw = [0.02 + sum(math.exp(-0.5 * (away(h + 0.5, peak) / spread) ** 2) for peak, spread in peaks) for h in range(24)]
-    return [x / sum(raw) for x in raw]

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wildtally.functions.scalars import event_name, micros_between, seconds_between
 from wildtally.functions.taxonomy import reconciled
+from wildtally.operators import ranges
 from wildtally.schemas import EVENT_SPECIES, EVENTS, conform
 
 BY_TIME = ("timestamp", "rel_path")
@@ -17,15 +17,16 @@ def assign_events(photos: DataFrame, gap_s: float) -> DataFrame:
     """`photos` with event_id: `<camera>-e<number>`, null without a valid clock and a decoded image.
 
     A camera's photos are taken in time order (then path); a gap over `gap_s` starts an event, so gaps chain and a gap
-    of exactly `gap_s` doesn't. Both windows share one sort by camera.
+    of exactly `gap_s` doesn't. A camera may lie in many ranges of time: begins are counted in each, and the ranges
+    before add what they have.
     """
     eligible = F.coalesce(F.col("timestamp_valid") & F.col("decode_ok"), F.lit(False))
-    order = W.partitionBy("camera_id").orderBy(*BY_TIME)
-    gap = micros_between(F.lag("timestamp").over(order), F.col("timestamp")) / 1e6
-    begins = F.when(gap.isNull() | (gap > gap_s), 1).otherwise(0)
-    ordered = photos.filter(eligible).withColumn("_begins", begins)
-    number = F.sum("_begins").over(order.rowsBetween(W.unboundedPreceding, 0))
-    within = ordered.withColumn("event_id", event_name(F.col("camera_id"), number)).drop("_begins")
+    ranged = ranges.dealt(photos.filter(eligible), "camera_id", BY_TIME)
+    timed = ranges.with_previous(ranged, "camera_id", BY_TIME, "timestamp", "_before")
+    gap = micros_between(F.col("_before"), F.col("timestamp")) / 1e6
+    begun = timed.withColumn("_begins", F.when(gap.isNull() | (gap > gap_s), 1).otherwise(0))
+    numbered = ranges.with_running_sum(begun, "camera_id", BY_TIME, "_begins", "_number")
+    within = numbered.withColumn("event_id", event_name(F.col("camera_id"), F.col("_number"))).drop("_begins", "_before", "_number", ranges.RANGE)
     return within.unionByName(photos.filter(~eligible).withColumn("event_id", F.lit(None).cast("string")))
 
 
@@ -71,9 +72,8 @@ def observation_type() -> F.Column:
     return F.when(F.col("n_animal_photos") > 0, "animal").when(F.col("has_person"), "person").when(F.col("has_vehicle"), "vehicle").otherwise("blank")
 
 
-def build_events(photos: DataFrame, per_photo: DataFrame, gap_s: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Photos with event_id, events, event_species."""
-    photos = assign_events(photos, gap_s)
+def events_of(photos: DataFrame) -> DataFrame:
+    """One row for each event of photos with event_id, all but its labels."""
     in_events = photos.filter(F.col("event_id").isNotNull())
     # the best photo: most animals, then surest (missing last), then earliest
     best = F.struct((-F.col("n_animals")).alias("a"), F.col("max_animal_conf").isNull().alias("b"), (-F.col("max_animal_conf")).alias("c"), "timestamp", "rel_path")
@@ -82,10 +82,21 @@ def build_events(photos: DataFrame, per_photo: DataFrame, gap_s: float) -> tuple
         F.count("*").alias("n_photos"), F.count_if(F.col("n_animals") > 0).alias("n_animal_photos"), F.max("n_animals").alias("max_animals"),
         (F.max("n_people") > 0).alias("has_person"), (F.max("n_vehicles") > 0).alias("has_vehicle"), F.min_by("photo_id", best).alias("best_photo_id"),
     )
-    events = events.withColumns({"duration_s": seconds_between(F.col("start"), F.col("end")), "observation_type": observation_type()})
-    labels = event_species(in_events, per_photo, events)
+    return events.withColumns({"duration_s": seconds_between(F.col("start"), F.col("end")), "observation_type": observation_type()})
+
+
+def with_primary(events: DataFrame, labels: DataFrame) -> DataFrame:
+    """Events with their foremost label: most animals, then most photos, then surest (missing last)."""
     rank = F.struct((-F.col("max_count")).alias("a"), (-F.col("n_photos")).alias("b"), F.col("max_score").isNull().alias("c"), (-F.col("max_score")).alias("d"), "species")
     primary = labels.groupBy("event_id").agg(F.min_by(F.struct("species", "max_count"), rank).alias("p"))
     primary = primary.select("event_id", F.col("p.species").alias("species"), F.col("p.max_count").alias("species_count"))
     told = events.join(primary, "event_id", "left").withColumn("species_count", F.coalesce("species_count", F.lit(0)))
-    return photos, conform(told, EVENTS), labels
+    return conform(told, EVENTS)
+
+
+def build_events(photos: DataFrame, per_photo: DataFrame, gap_s: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Photos with event_id, events, event_species."""
+    photos = assign_events(photos, gap_s)
+    events = events_of(photos)
+    labels = event_species(photos.filter(F.col("event_id").isNotNull()), per_photo, events)
+    return photos, with_primary(events, labels), labels

@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wildtally.functions.scalars import hamming, micros_between, rounded
+from wildtally.operators import ranges
 from wildtally.settings import Settings
 from wildtally.storage import cut
 
 
 def with_parents(frame: DataFrame, max_bits: int, window: int, max_gap_s: float) -> DataFrame:
     """`frame` with parent: the closest earlier photo of the camera, at most `window` back and `max_gap_s` before, whose
-    hash differs by at most `max_bits`; null if there is none. Photos without a hash or a time have none and are none."""
-    order = W.partitionBy("camera_id", F.col("dhash").isNotNull() & F.col("timestamp").isNotNull()).orderBy("timestamp", "rel_path")
-    seen = frame.withColumns({f"_{k}": F.lag(F.struct("photo_id", "timestamp", "dhash"), k).over(order) for k in range(1, window + 1)})
+    hash differs by at most `max_bits`; null if there is none. Photos without a hash or a time have none and are none.
+
+    A camera may lie in many ranges of time; the first photos of a range look back at the last ones of those before.
+    """
+    usable = F.col("dhash").isNotNull() & F.col("timestamp").isNotNull()
+    order = ("timestamp", "rel_path")
+    ranged = ranges.dealt(frame.filter(usable), "camera_id", order)
+    seen = ranges.with_look_back(ranged, "camera_id", order, F.struct("photo_id", "timestamp", "dhash"), window, "_")
 
     def match(k: int) -> F.Column:
         e = F.col(f"_{k}")
         near = micros_between(e["timestamp"], F.col("timestamp")) <= max_gap_s * 1e6
         return F.when(near & (hamming(F.col("dhash"), e["dhash"]) <= max_bits), e["photo_id"])
 
-    return seen.withColumn("parent", F.coalesce(*map(match, range(1, window + 1)))).drop(*[f"_{k}" for k in range(1, window + 1)])
+    told = seen.withColumn("parent", F.coalesce(*map(match, range(1, window + 1)))).drop(*[f"_{k}" for k in range(1, window + 1)], ranges.RANGE)
+    return told.unionByName(frame.filter(~usable).withColumn("parent", F.lit(None).cast(frame.schema["photo_id"].dataType)))
 
 
 def near_duplicate_parents(frame: DataFrame, max_bits: int, window: int, max_gap_s: float) -> DataFrame:
@@ -62,7 +68,7 @@ def photo_flags(frame: DataFrame, settings: Settings | None = None) -> DataFrame
         "is_ir": flag(F.col("ir_score") < s.infrared_below), "is_dark": flag(F.col("brightness") < s.dark_below),
         "is_overexposed": flag(F.col("brightness") > s.bright_above),
     })
-    medians = flagged.filter(ok).groupBy("camera_id", "is_ir").agg(F.median("sharpness").alias("_median"))
+    medians = ranges.medians(flagged.filter(ok), ["camera_id", "is_ir"], "sharpness", "_median")
     rel = rounded(F.col("sharpness") / F.when(F.col("_median") > 0, F.col("_median")), 4)
     judged = flagged.join(medians, ["camera_id", "is_ir"], "left").withColumn("sharpness_rel", F.when(ok, rel)).drop("_median")
     judged = judged.withColumn("is_blurry", flag(F.col("sharpness_rel") < s.blurred_below))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wildtally.functions.scalars import micros_between, rounded
+from wildtally.operators import ranges
 
 HOUR, DAY = 3600.0, 86400.0
 
@@ -27,9 +27,9 @@ def activity_by_hour(labels: DataFrame) -> DataFrame:
 
 
 def _silences(photos: DataFrame) -> DataFrame:
-    """Photos with a valid clock, and the hours since the one before of their camera."""
-    order = W.partitionBy("camera_id").orderBy("timestamp")
-    timed = photos.filter("timestamp_valid").withColumn("before", F.lag("timestamp").over(order))
+    """camera_id, timestamp, before, hours of photos with a valid clock: the time since the one before of their camera."""
+    ranged = ranges.dealt(photos.filter("timestamp_valid").select("camera_id", "timestamp"), "camera_id", ["timestamp"])
+    timed = ranges.with_previous(ranged, "camera_id", ["timestamp"], "timestamp", "before")
     return timed.withColumn("hours", micros_between(F.col("before"), F.col("timestamp")) / 1e6 / HOUR)
 
 
@@ -46,24 +46,22 @@ def percent(flag: str, of: Column) -> Column:
 
 def camera_health(photos: DataFrame, events: DataFrame, gaps: DataFrame) -> DataFrame:
     """18 figures for each camera."""
-    # photos with a valid clock come first, so the lag needs no key but the camera's, as the sums behind it
-    order = W.partitionBy("camera_id").orderBy(F.desc("timestamp_valid"), "timestamp")
-    step = F.when(F.col("timestamp_valid"), micros_between(F.lag("timestamp").over(order), F.col("timestamp")) / 1e6 / HOUR)
     ok, timed = F.col("decode_ok"), F.when(F.col("timestamp_valid"), F.col("timestamp"))
     looked = ok & F.col("detected")
     empty = (F.col("n_animals") + F.col("n_people") + F.col("n_vehicles") == 0).cast("double")
-    own = photos.withColumn("_step", step).groupBy("camera_id").agg(
+    own = photos.groupBy("camera_id").agg(
         F.count("*").alias("n_photos"), F.count_if(~ok).alias("n_unreadable"), F.count_if(~F.col("timestamp_valid")).alias("n_invalid_timestamp"),
         F.min(timed).alias("first_photo"), F.max(timed).alias("last_photo"), F.countDistinct(F.to_date(timed)).alias("active_days"),
-        rounded(F.max("_step"), 1).alias("longest_silence_hours"), percent("is_ir", ok).alias("pct_ir"), percent("is_dark", ok).alias("pct_dark"),
+        percent("is_ir", ok).alias("pct_ir"), percent("is_dark", ok).alias("pct_dark"),
         percent("is_blurry", ok).alias("pct_blurry"), percent("is_near_duplicate", ok).alias("pct_near_duplicate"),
         rounded(100.0 * F.avg(F.when(looked, empty)), 1).alias("pct_empty"),
     )
     silent = gaps.groupBy("camera_id").agg(F.count("*").alias("n_gaps"), F.sum("gap_hours").alias("_silent"))
+    longest = _silences(photos).groupBy("camera_id").agg(rounded(F.max("hours"), 1).alias("longest_silence_hours"))
     seen = events.groupBy("camera_id").agg(F.count("*").alias("n_events"), F.count_if(F.col("observation_type") == "animal").alias("n_animal_events"))
     span = F.coalesce(micros_between(F.col("first_photo"), F.col("last_photo")) / 1e6 / DAY, F.lit(0.0))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    joined = own.join(silent, "camera_id", "left").join(seen, "camera_id", "left")
+    joined = own.join(longest, "camera_id", "left").join(silent, "camera_id", "left").join(seen, "camera_id", "left")
     effort = F.greatest(span - F.coalesce(F.col("_silent"), F.lit(0.0)) / 24.0, F.lit(0.0))
     return joined.select(
         "camera_id", "n_photos", "n_unreadable", "n_invalid_timestamp", "first_photo", "last_photo", rounded(span, 2).alias("span_days"), "active_days",

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
-from pathlib import Path
 from typing import Any
 
 from wildtally.errors import InputError
-from wildtally.sources.tables import atomic_write_json
+from wildtally.storage import Files
 
 #: The seven stages in their order, the tables and files of each, and its states (fixed values).
 OUTPUTS = {
@@ -23,15 +22,16 @@ OUTPUTS = {
 PENDING, BEGUN, DONE = "pending", "incomplete", "done"
 
 
-def history(path: Path) -> list[dict[str, Any]]:
-    return json.loads(path.read_text()) if path.exists() else []
+def history(files: Files, path: str) -> list[dict[str, Any]]:
+    files.recover(path)
+    return json.loads(files.text(path)) if files.exists(path) else []
 
 
-def enter(path: Path, entries: Iterable[tuple[str, str, Mapping[str, Any]]]) -> None:
+def enter(files: Files, path: str, entries: Iterable[tuple[str, str, Mapping[str, Any]]]) -> None:
     """Adds entries (stage, state, figures), all at once."""
     added = [{"stage": stage, "state": state, "figures": dict(figures)} for stage, state, figures in entries]
     known(e["stage"] for e in added)
-    atomic_write_json(path, history(path) + added)
+    files.write_json(path, history(files, path) + added)
 
 
 def known(stages: Iterable[str]) -> list[str]:
@@ -42,12 +42,12 @@ def known(stages: Iterable[str]) -> list[str]:
     return [s for s in OUTPUTS if s in named]
 
 
-def standing(path: Path) -> dict[str, tuple[str, dict[str, Any]]]:
+def standing(files: Files, path: str) -> dict[str, tuple[str, dict[str, Any]]]:
     """Of every stage its state and figures."""
-    last = {e["stage"]: (e["state"], e["figures"]) for e in history(path)}
+    last = {e["stage"]: (e["state"], e["figures"]) for e in history(files, path)}
     return {stage: last.get(stage, (PENDING, {})) for stage in OUTPUTS}
 
 
-def lines(path: Path) -> list[str]:
+def lines(files: Files, path: str) -> list[str]:
     """The states as text, a line for each stage."""
-    return [f"{stage:10} {state:10} {', '.join(f'{k} {v}' for k, v in figures.items())}".rstrip() for stage, (state, figures) in standing(path).items()]
+    return [f"{stage:10} {state:10} {', '.join(f'{k} {v}' for k, v in figures.items())}".rstrip() for stage, (state, figures) in standing(files, path).items()]

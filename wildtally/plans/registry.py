@@ -129,7 +129,9 @@ def matched_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_boxes(spark: SparkSession, d: str) -> DataFrame:
-    box = F.struct(F.lit("animal").alias("category"), (F.col("l_discount") * 10).alias("conf"), F.array(F.col("l_tax") * 20 - 0.5, F.col("l_discount") * 12, F.col("l_quantity") / 40, F.lit(0.25)).alias("bbox"))
+    """Boxes of line items; confidences and corners hold exact halves of the fourth decimal and doubles next to one."""
+    conf, x = F.col("l_partkey") % 32 / 32.0, F.col("l_partkey") * 7919 % 100_000 / 100_000.0
+    box = F.struct(F.lit("animal").alias("category"), conf.alias("conf"), F.array(x, F.col("l_discount") * 12, F.col("l_quantity") / 40, F.lit(0.25)).alias("bbox"))
     one = A.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", F.explode(scalars.clean_boxes(F.array(box))).alias("b"))
     return one.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "b.conf", *[F.get("b.bbox", F.lit(k)).alias(c) for k, c in enumerate("xywh")])
 
@@ -284,9 +286,10 @@ FROM top t LEFT JOIN deepest b USING (l_orderkey)"""),
   SELECT *, CASE WHEN both_ - inside > 0 THEN inside / (both_ - inside) ELSE 0.0 END AS iou FROM pairs)
 SELECT photo_id, box_idx, match_idx, round(iou, 9) AS iou FROM (SELECT *, row_number() OVER (PARTITION BY photo_id, box_idx ORDER BY iou DESC, match_idx) AS r FROM shares WHERE iou >= 0.1) WHERE r = 1""")),
     "clean_boxes": (clean_boxes, """
-WITH raw AS (SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_discount * 10 AS conf, greatest(0.0, least(1.0, l_tax * 20 - 0.5)) AS x, greatest(0.0, least(1.0, l_discount * 12)) AS y,
+WITH raw AS (SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_partkey % 32 / 32.0::DOUBLE AS conf, l_partkey * 7919 % 100000 / 100000.0::DOUBLE AS x, greatest(0.0, least(1.0, l_discount * 12)) AS y,
   greatest(0.0, least(1.0, l_quantity / 40)) AS w, 0.25::DOUBLE AS h FROM lineitem)
-SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, round(conf, 4) AS conf, round(x, 4) AS x, round(y, 4) AS y, round_even(least(w, 1 - x), 4) AS w, round(least(h, 1 - y), 4) AS h FROM raw"""),
+SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice, CAST(printf('%.4f', conf) AS DOUBLE) AS conf, CAST(printf('%.4f', x) AS DOUBLE) AS x, CAST(printf('%.4f', y) AS DOUBLE) AS y, CAST(printf('%.4f', least(w, 1 - x)) AS DOUBLE) AS w,
+  CAST(printf('%.4f', least(h, 1 - y)) AS DOUBLE) AS h FROM raw"""),
     "hour_grid": (hour_grid, sql("folds", f"SELECT species, {_HOURS} FROM ({_ACTIVITY}) GROUP BY species")),
     "hour_shares": (hour_shares, sql("folds", f""", totals AS ({_TOTALS}), activity AS ({_ACTIVITY}), shown AS (SELECT species FROM totals ORDER BY n_events DESC, species LIMIT 6)
 SELECT species, hour, 100.0::DOUBLE * n_events / sum(n_events) OVER (PARTITION BY species) AS percent FROM activity SEMI JOIN shown USING (species)""")),

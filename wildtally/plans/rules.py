@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from wildtally.functions import pixels, scalars
 from wildtally.operators import charts, events, summaries
 from wildtally.plans import analog as A
-from wildtally.plans import grading, stages, synthetic
+from wildtally.plans import grading, stages
+from wildtally.plans.pipeline import stage_figures
 from wildtally.plans.registry import built, counted_photos, event_labels, gaps, photo_table, sql
 from wildtally.schemas import DETECTION_RECORDS, LABEL_RECORDS, conform
 from wildtally.settings import Settings
@@ -45,11 +46,19 @@ def ingest_rules(spark: SparkSession, d: str) -> DataFrame:
     return told.select("rel_path", "camera_id", "camera_source", "timestamp", "timestamp_source", "timestamp_valid", "exif_make", "exif_model")
 
 
+#: Ways to write a time, and what is left of it: the second, the minute, the day or all of it.
+WAYS = (
+    ("yyyy:MM:dd HH:mm:ss", "second"), ("yyyy-MM-dd HH:mm:ss", "second"), ("yyyy-MM-dd'T'HH:mm:ss'+02:00'", "second"), ("yyyy/MM/dd HH:mm:ss", "second"), ("d MMMM yyyy HH:mm", "minute"),
+    ("yyyy-MM-dd HH:mm", "minute"), ("MM/dd/yyyy HH:mm:ss", "second"), ("yyyy-MM-dd", "day"), ("yyyyMMdd HHmmss", "second"), ("yyyy/MM/dd", "day"), ("dd-MMM-yyyy HH:mm:ss", "second"),
+    ("MMMM d yyyy HH:mm:ss", "second"), ("M/d/yy h:mm a", "minute"), ("EEE MMM d HH:mm:ss yyyy", "second"), ("d MMM yyyy 'at' h:mm:ss a 'UTC'", "second"), ("MMM d, yyyy HH:mm:ss.SSSSSS", "microsecond"),
+    ("yyyyMMddHHmmss", "second"), ("M-d-yyyy H'h'mm'm'", "minute"),
+)
+
+
 def parsed_stamps(spark: SparkSession, d: str) -> DataFrame:
-    """Times written in nine ways and read back."""
-    ways = ("yyyy:MM:dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "d MMMM yyyy HH:mm", "yyyy-MM-dd HH:mm", "dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd HHmmss")
-    at = F.col("event_id") % len(ways)
-    written = F.coalesce(*[F.when(at == n, text_of(F.col("ts"), w)) for n, w in enumerate(ways)])
+    """Times written in eighteen ways, numbers alone month first, and read back."""
+    at = F.col("event_id") % len(WAYS)
+    written = F.coalesce(*[F.when(at == n, text_of(F.col("ts"), w)) for n, (w, _) in enumerate(WAYS)])
     return A.table(spark, d, "events").select("event_id", scalars.parse_timestamp(written).alias("read"))
 
 
@@ -96,7 +105,7 @@ def classified(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     label = lambda n: F.concat(F.lit("id;c"), F.lit(n), F.lit(";o;f;g;"), k % 5, F.lit(";Kind "), F.lit(n), F.lit(" "), k % 5)
     orders = A.table(spark, d, "orders").select("o_orderkey", k.cast("string").alias("photo_id"), F.lit(0).cast("long").alias("box_idx"), F.concat(k, F.lit(":b")).alias("box_key"))
-    top = (k % 8 + 8) / 16.0
+    top = (k % 4096 + 4096) / 8192.0
     records = orders.filter(k % 11 != 0).select(
         "box_key", "photo_id", F.lit("m").alias("model"), F.array(label(1), label(2)).alias("classes"), F.array(top, 1 - top).alias("scores"), F.when(k % 7 == 0, "unreadable").alias("error")
     )
@@ -116,12 +125,10 @@ def quality_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    """What a stage says of itself."""
-    whole = photo_table(spark, d)
-    return whole.agg(
-        F.count("*").alias("photos"), F.countDistinct("camera_id").alias("cameras"), F.count_if(~F.col("decode_ok")).alias("undecoded"), F.count_if(~F.col("timestamp_valid")).alias("invalid_clock"),
-        F.count_if("detected").alias("detected"), F.count("detect_error").alias("failed"),
-    )
+    """What the stages say of themselves, by the pipeline's own figures, over photos, their runs and their quality."""
+    whole = photo_table(spark, d).withColumns({"readable": F.col("decode_ok"), "error": F.col("detect_error")})
+    ingest, quality, runs = (stage_figures(whole, n) for n in ("ingest", "quality", "detection_runs"))
+    return ingest.crossJoin(quality).crossJoin(runs)  # three single rows
 
 
 def pixel_figures(spark: SparkSession, d: str) -> DataFrame:
@@ -199,12 +206,6 @@ def species_bars(spark: SparkSession, d: str) -> DataFrame:
     return charts.top_labels(summaries.species_totals(event_labels(spark, d)), charts.TOP_BARS).select("species", "n_events")
 
 
-def camera_plans(spark: SparkSession, d: str) -> DataFrame:
-    """A plan for as many cameras as there are nations."""
-    survey = synthetic.Survey(n_cameras=A.table(spark, d, "nation").count(), n_days=10)
-    return synthetic.plan_cameras(spark, survey)
-
-
 def with_visits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Photos of events with the truth that a camera's year is one visit, and these visits."""
     year = F.year("timestamp")
@@ -278,8 +279,8 @@ SELECT rel_path, coalesce(side, folder, serial, model, 'unknown') AS camera_id,
   CASE WHEN side IS NOT NULL THEN 'sidecar' WHEN folder IS NOT NULL THEN 'folder' WHEN coalesce(serial, model) IS NOT NULL THEN 'exif' ELSE 'unknown' END AS camera_source,
   CAST(coalesce(a, b, d) AS TIMESTAMP) AS timestamp, CASE WHEN a IS NOT NULL THEN 'sidecar' WHEN b IS NOT NULL THEN 'exif' WHEN d IS NOT NULL THEN 'exif_datetime' ELSE 'none' END AS timestamp_source,
   coalesce(coalesce(a, b, d) > TIMESTAMP '1995-01-01' AND coalesce(a, b, d) <= TIMESTAMP '1998-01-02', false) AS timestamp_valid, exif_make, exif_model FROM t"""),
-    "parsed_stamps": (parsed_stamps, """
-SELECT event_id, CAST(CASE event_id % 9 WHEN 4 THEN date_trunc('minute', ts) WHEN 5 THEN date_trunc('minute', ts) WHEN 7 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS TIMESTAMP) AS read FROM events"""),
+    "parsed_stamps": (parsed_stamps, f"""
+SELECT event_id, CAST(CASE event_id % {len(WAYS)} {" ".join(f"WHEN {n} THEN date_trunc('{left}', ts)" for n, (_, left) in enumerate(WAYS))} END AS TIMESTAMP) AS read FROM events"""),
     "night_hours": (night_hours, """
 SELECT user_id, count(*) FILTER (hour(ts) + minute(ts) / 60.0 < 6.5 OR hour(ts) + minute(ts) / 60.0 >= 19.5) AS n_night, count(*) AS n FROM events GROUP BY user_id"""),
     "names": (names, """
@@ -287,22 +288,22 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CASE WHEN l_partkey % 6 >= 4 AND l_partkey % 5 <> 0 THEN 'img ' || l_partkey || CASE WHEN l_partkey % 5 = 1 THEN '.JPG' ELSE '.png' END END AS file,
   'location_loc_' || l_suppkey || CASE WHEN l_partkey % 2 = 0 THEN '_b' ELSE '' END AS folder, CASE l_linenumber WHEN 1 THEN 'animal' WHEN 2 THEN 'person' WHEN 3 THEN 'vehicle' ELSE 'unknown' END AS category FROM lineitem"""),
     "box_rows": (box_rows, """
-SELECT CAST(l_orderkey AS VARCHAR) AS photo_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY round_even(l_discount * 10, 4) DESC, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS box_idx, 'animal' AS category,
-  round_even(l_discount * 10, 4) AS conf, round_even(l_linenumber / 16.0::DOUBLE, 4) AS x, 0.25::DOUBLE AS y, least(0.5, 1 - l_linenumber / 16.0::DOUBLE) AS w, 0.125::DOUBLE AS h, 'm' AS model FROM lineitem WHERE l_orderkey % 13 <> 0"""),
+SELECT CAST(l_orderkey AS VARCHAR) AS photo_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(printf('%.4f', l_discount * 10) AS DOUBLE) DESC, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS box_idx, 'animal' AS category,
+  CAST(printf('%.4f', l_discount * 10) AS DOUBLE) AS conf, CAST(printf('%.4f', l_linenumber / 16.0::DOUBLE) AS DOUBLE) AS x, 0.25::DOUBLE AS y, least(0.5, 1 - l_linenumber / 16.0::DOUBLE) AS w, 0.125::DOUBLE AS h, 'm' AS model FROM lineitem WHERE l_orderkey % 13 <> 0"""),
     "run_rows": (run_rows, """
 SELECT CAST(l_orderkey AS VARCHAR) AS photo_id, 'm' AS model, CASE WHEN l_orderkey % 13 = 0 THEN 0 ELSE count(*) END AS n_boxes, CASE WHEN l_orderkey % 13 = 0 THEN 'timeout' END AS error FROM lineitem GROUP BY l_orderkey"""),
     "classified": (classified, """
-WITH o AS (SELECT o_orderkey AS k, (o_orderkey % 8 + 8) / 16.0::DOUBLE AS top, o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AS good, o_orderkey % 11 <> 0 AND o_orderkey % 7 = 0 AS failed FROM orders)
-SELECT CAST(k AS VARCHAR) AS photo_id, CASE WHEN good AND top >= 0.65 THEN 'kind 1 ' || k % 5 ELSE 'animal (unresolved)' END AS species, CASE WHEN good THEN round_even(top, 4) ELSE 0.0 END AS species_score,
+WITH o AS (SELECT o_orderkey AS k, (o_orderkey % 4096 + 4096) / 8192.0::DOUBLE AS top, o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 AS good, o_orderkey % 11 <> 0 AND o_orderkey % 7 = 0 AS failed FROM orders)
+SELECT CAST(k AS VARCHAR) AS photo_id, CASE WHEN good AND top >= 0.65 THEN 'kind 1 ' || k % 5 ELSE 'animal (unresolved)' END AS species, CASE WHEN good THEN CAST(printf('%.4f', top) AS DOUBLE) ELSE 0.0 END AS species_score,
   CASE WHEN good AND top >= 0.65 THEN 'species' ELSE 'unresolved' END AS species_level, CASE WHEN good AND top >= 0.65 THEN 'c1;o;f;g;' || k % 5 ELSE '' END AS lineage,
-  CASE WHEN good THEN 'kind 1 ' || k % 5 END AS top1_label, CASE WHEN good THEN round_even(top, 4) END AS top1_score,
-  CASE WHEN good THEN '[["kind 1 ' || k % 5 || '", ' || round_even(top, 4) || '], ["kind 2 ' || k % 5 || '", ' || round_even(1 - top, 4) || ']]' ELSE '[]' END AS top5_json, CASE WHEN failed THEN 'unreadable' END AS error FROM o"""),
+  CASE WHEN good THEN 'kind 1 ' || k % 5 END AS top1_label, CASE WHEN good THEN CAST(printf('%.4f', top) AS DOUBLE) END AS top1_score,
+  CASE WHEN good THEN '[["kind 1 ' || k % 5 || '", ' || CAST(printf('%.4f', top) AS DOUBLE) || '], ["kind 2 ' || k % 5 || '", ' || CAST(printf('%.4f', 1 - top) AS DOUBLE) || ']]' ELSE '[]' END AS top5_json, CASE WHEN failed THEN 'unreadable' END AS error FROM o"""),
     "quality_rows": (quality_rows, sql("measured", """, j AS (SELECT photo_id, k, k % 9 <> 0 AS readable, k % 7 <> 0 AS known, brightness, ir_score FROM measured), ok AS (
   SELECT *, readable AND known AND k % 29 <> 0 AS decode_ok FROM j)
 SELECT photo_id, decode_ok, CASE WHEN NOT readable THEN 'unreadable' WHEN known AND k % 29 = 0 THEN 'cut' END AS quality_error, CASE WHEN known THEN brightness END AS brightness,
   decode_ok AND coalesce(ir_score < 4, false) AS is_ir, decode_ok AND coalesce(brightness < 30, false) AS is_dark, decode_ok AND coalesce(brightness > 225, false) AS is_overexposed, photo_id AS dup_group, false AS is_near_duplicate FROM ok""")),
-    "stage_counts": (stage_counts, sql("photos", """SELECT count(*) AS photos, count(DISTINCT camera_id) AS cameras, count(*) FILTER (NOT decode_ok) AS undecoded, count(*) FILTER (NOT timestamp_valid) AS invalid_clock,
-  count(*) FILTER (detected) AS detected, count(detect_error) AS failed FROM photos""")),
+    "stage_counts": (stage_counts, sql("photos", """SELECT count(*) AS photos, count(DISTINCT camera_id) AS cameras, count(*) FILTER (NOT decode_ok) AS unreadable, count(*) FILTER (NOT timestamp_valid) AS invalid_clock,
+  count(*) FILTER (decode_ok) AS decoded, count(*) FILTER (is_near_duplicate) AS near_duplicates, count(*) FILTER (is_blurry) AS blurry, count(*) AS runs, count(detect_error) AS failed FROM photos""")),
     "pixel_figures": (pixel_figures, """
 WITH p AS (SELECT p_partkey, p_partkey % 2 = 1 AS ramp, p_partkey % 7 + 1 AS s, p_partkey * 7 % 256 AS r, p_partkey * 11 % 256 AS g, p_partkey * 13 % 256 AS b FROM part)
 SELECT p_partkey, CASE WHEN ramp THEN round(8.0::DOUBLE * s * s / 18, 3) ELSE 0.0 END AS sharpness, CASE WHEN ramp THEN 8.5::DOUBLE * s ELSE floor(0.299::DOUBLE * r + 0.587 * g + 0.114 * b + 0.5) END AS brightness,
@@ -316,9 +317,6 @@ SELECT p_partkey, CASE WHEN ramp THEN round(8.0::DOUBLE * s * s / 18, 3) ELSE 0.
     "stored_records": (stored_records, "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS v FROM supplier"),
     "replaced_table": (replaced_table, "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 2 = 0"),
     "species_bars": (species_bars, sql("folds", "SELECT species, count(DISTINCT event_id) AS n_events FROM event_species GROUP BY species ORDER BY n_events DESC, species LIMIT 15")),
-    "camera_plans": (camera_plans, """
-SELECT 'cam_' || printf('%02d', range + 1) AS camera_id, CASE WHEN range = 2 THEN 4 END AS outage_from, CASE WHEN range = 2 THEN 7 END AS outage_to, CASE WHEN range = 1 THEN 2 ELSE 0 END AS unset_clock_days,
-  CASE WHEN range = 0 THEN 1 END AS fog_day FROM range((SELECT count(*) FROM nation))"""),
     "graded_visits": (graded_visits, sql("events", _VISITS + ", seen AS (SELECT DISTINCT " + _VISIT + " AS visit_id, true AS seen FROM in_events), meant AS (SELECT visit_id, true AS meant FROM visits WHERE valid_clock)\n"
         + _row("visits seen", "coalesce(seen AND meant, false)", "seen FULL JOIN meant USING (visit_id)"))),
     "graded_events": (graded_events, sql("events", _VISITS + """, observed AS (SELECT e.*, v.kind, v.true_species, v.count AS true_count FROM events_ e JOIN shown USING (event_id) JOIN visits v USING (visit_id)),

@@ -15,6 +15,7 @@ from wildtally.schemas import CLASSIFICATIONS, DETECTION_RECORDS, DETECTIONS, LA
 from wildtally.settings import Settings
 from wildtally.sources import images
 from wildtally.sources.tables import SIDECAR, RecordStore, load_sidecar
+from wildtally.storage import cut
 
 
 def ingest(spark: SparkSession, root: str, valid_from: str = "2001-01-01", now: datetime | None = None) -> DataFrame:
@@ -37,7 +38,8 @@ def media_frame(rows: DataFrame, valid_from: str, now: datetime | None = None) -
     make_model = F.nullif(F.concat_ws(" ", "exif_make", "exif_model"), F.lit(""))
     cameras = (("sidecar", F.col("side_camera")), ("folder", folder), ("exif", F.col("exif_serial")), ("exif", make_model), ("unknown", F.lit("unknown")))
     times = (("sidecar", "side_timestamp"), ("exif", "original"), ("exif_datetime", "date_time"))
-    stamps = [(name, scalars.parse_timestamp(F.col(c))) for name, c in times]
+    rows = rows.withColumn("_stamps", scalars.parse_timestamps(F.array(*[F.col(c) for _, c in times])))
+    stamps = [(name, F.get("_stamps", F.lit(k))) for k, (name, _) in enumerate(times)]
     source = lambda options: F.coalesce(*[F.when(c.isNotNull(), F.lit(name)) for name, c in options])
     latest = F.lit(now).cast("timestamp_ntz") if now else F.localtimestamp()
     stamp = F.col("timestamp")
@@ -57,15 +59,22 @@ def quality_table(media: DataFrame, metrics: DataFrame, settings: Settings) -> D
     return conform(add_flags(joined.withColumns({"decode_ok": F.coalesce(ok, F.lit(False)), "quality_error": error}), settings), QUALITY)
 
 
-def run_quality(spark: SparkSession, media: DataFrame, root: str, store: RecordStore, settings: Settings) -> DataFrame:
-    """Measures readable photos without a good record, then flags all."""
-    todo = incremental.still_to_do(media.filter("readable"), store.read(), "photo_id")
-    if not todo.isEmpty():
-        decoded = images.decoded_images(spark, root)
-        turned = images.read_headers(todo.select("rel_path"), root).select("rel_path", "orientation")
-        joined = todo.select("photo_id", "rel_path").join(turned, "rel_path").join(decoded, "rel_path", "left")
-        told = joined.select("photo_id", pixels.measured(F.col("image"), F.col("orientation"), settings).alias("m")).select("photo_id", "m.*")
-        store.append(conform(told.withColumn("error", F.when(F.col("dhash").isNull(), F.coalesce("error", F.lit("unreadable")))), METRICS))
+def run_quality(spark: SparkSession, media: DataFrame, root: str, store: RecordStore, settings: Settings, batch: int = 10_000) -> DataFrame:
+    """Measures readable photos without a good record, and only those, then flags all.
+
+    Photos are dealt to rounds of about `batch` by a hash; the driver holds the paths of one round, and what a round
+    measured is kept before the next begins.
+    """
+    todo = incremental.still_to_do(media.filter("readable"), store.read(), "photo_id").select("photo_id", "rel_path")
+    rounds = -(-todo.count() // batch)
+    if rounds:
+        todo = cut(todo)
+    place = F.pmod(F.xxhash64("photo_id"), F.lit(max(1, rounds)))
+    for k in range(rounds):
+        ids = {r.rel_path: r.photo_id for r in todo.filter(place == k).collect()}
+        if ids:
+            figures = images.measured_images(spark, root, list(ids), lambda rgb: pixels.measure(rgb, settings), pixels.METRICS)
+            store.append(conform(figures.withColumn("photo_id", pixels.photo_id_for("rel_path")), METRICS))
     return quality_table(media, store.read(), settings)
 
 
@@ -102,10 +111,10 @@ def classifications_table(selected: DataFrame, records: DataFrame, threshold: fl
     scored = joined.withColumn("_labels", labels)
     called = scored.withColumn("_call", taxonomy.roll_up(F.col("_labels"), threshold))
     top = F.get("_labels", F.lit(0))
-    pair = lambda x: F.concat(F.lit("["), F.to_json(F.array(x["name"])).substr(F.lit(2), F.length(F.to_json(F.array(x["name"]))) - 2), F.lit(", "), F.bround(x["score"], 4).cast("string"), F.lit("]"))
+    pair = lambda x: F.concat(F.lit("["), F.to_json(F.array(x["name"])).substr(F.lit(2), F.length(F.to_json(F.array(x["name"]))) - 2), F.lit(", "), scalars.written(scalars.rounded_exactly(x["score"], 4), 4), F.lit("]"))
     told = called.withColumns({
-        "species": F.col("_call.species"), "species_score": F.bround("_call.score", 4), "species_level": F.col("_call.level"), "lineage": F.col("_call.lineage"),
-        "top1_label": top["name"], "top1_score": F.bround(top["score"], 4), "top5_json": F.concat(F.lit("["), F.array_join(F.transform("_labels", pair), ", "), F.lit("]")),
+        "species": F.col("_call.species"), "species_score": scalars.rounded_exactly(F.col("_call.score"), 4), "species_level": F.col("_call.level"), "lineage": F.col("_call.lineage"),
+        "top1_label": top["name"], "top1_score": scalars.rounded_exactly(top["score"], 4), "top5_json": F.concat(F.lit("["), F.array_join(F.transform("_labels", pair), ", "), F.lit("]")),
     })
     return conform(told, CLASSIFICATIONS)
 

@@ -15,6 +15,7 @@ from wildtally.errors import InputError
 from wildtally.functions import scalars
 from wildtally.operators.incremental import contiguous_runs
 from wildtally.sources.tables import SIDECAR, atomic_write_bytes, atomic_write_text, parse_metadata, write_csv
+from wildtally.storage import located
 
 #: Where the survey's description and images are, and how it asks to be named (fixed values).
 METADATA_URL = "https://storage.googleapis.com/public-datasets-lila/caltechcameratraps/labels/caltech_camera_traps.json.zip"
@@ -71,7 +72,7 @@ def fetch_sample(spark: SparkSession, out: str, cameras: int, photos: int, seed:
         kept.append((r.file, r.camera_id, r.timestamp))
     if not kept:
         raise InputError("no image of the sample could be downloaded")
-    write_csv(spark.createDataFrame(kept, "file string, camera_id string, timestamp string").orderBy("file"), folder / SIDECAR)
+    write_csv(spark.createDataFrame(kept, "file string, camera_id string, timestamp string").orderBy("file"), f"{located(str(folder))}/{SIDECAR}")
     atomic_write_text(folder / "ATTRIBUTION.txt", CREDIT)
     return len(kept)
 

@@ -7,7 +7,6 @@ import io
 import itertools
 import json
 import os
-import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from wildtally.errors import InputError
 from wildtally.functions.scalars import cleaned
 from wildtally.operators.incremental import last_of_each
-from wildtally.storage import fresh_path
+from wildtally.storage import Files, fresh_path
 
 SIDECAR = "metadata.csv"
 
@@ -88,13 +87,8 @@ class RecordStore:
         self.spark, self.path, self.key, self.schema = spark, path, key, schema
 
     def _attempts(self) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path)
-        store = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not store.exists(where):
-            return []
-        names = sorted(s.getPath().getName() for s in store.listStatus(where))
-        return [n for n in names if store.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        files = Files(self.spark)
+        return [n for n in files.names(self.path) if files.exists(f"{self.path}/{n}/_SUCCESS")]
 
     def read(self) -> DataFrame:
         empty = self.spark.createDataFrame([], self.schema)
@@ -125,19 +119,15 @@ def read_json_records(spark: SparkSession, path: str, key: str, schema: str) ->
 
 def mended_json_records(spark: SparkSession, path: str, key: str, schema: str) -> int:
     """How many lines of the file are no record; if any, the file is written anew without them, as a crash may have torn the last."""
+    Files(spark).recover(path)
     lines = json_lines(spark, path, key, schema)
     torn = lines.filter("x IS NULL").count()
     if torn:
-        kept = lines.filter("x IS NOT NULL").orderBy("_row").select(F.to_json("x").alias("value"))
-        staging = f"{path}.mended"
-        kept.coalesce(1).write.mode("overwrite").text(staging)
-        jvm = spark.sparkContext._jvm
-        target, folder = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
-        store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        part = next(s.getPath() for s in store.listStatus(folder) if s.getPath().getName().startswith("part-"))
-        store.delete(target, False)
-        store.rename(part, target)
-        store.delete(folder, True)
+        files, staging = Files(spark), f"{path}.mended"
+        lines.filter("x IS NOT NULL").orderBy("_row").select(F.to_json("x").alias("value")).coalesce(1).write.mode("overwrite").text(staging)
+        part = next(n for n in files.names(staging) if n.startswith("part-"))
+        files.put(f"{staging}/{part}", path)
+        files.delete(staging)
     return torn
 
 
@@ -165,22 +155,21 @@ def atomic_write_json(path: Path, value: object) -> None:
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Written as Parquet beside and moved into place; returns the table as read back.
-
-    The old table is moved aside before and deleted after, so a crash leaves the one or the other under a name of its own.
-    """
+    """Written as Parquet beside and moved into place; returns the table as read back. See Files for what a crash leaves."""
     spark = df.sparkSession
+    files = Files(spark)
     df.write.mode("overwrite").parquet(f"{path}.new")
-    target, new, old = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new", f"{path}.old"))
-    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.delete(old, True)
-    if store.exists(target):
-        store.rename(target, old)
-    store.rename(new, target)
-    store.delete(old, True)
+    files.recover(path)
+    files.put(f"{path}.new", path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of write_table(), also if a crash left it aside."""
+    Files(spark).recover(path)
+    return spark.read.parquet(path)
+
+
 def csv_text(df: DataFrame) -> Iterator[str]:
     """Lines of a small ordered table; null is empty, whole seconds are written without a fraction."""
     line = io.StringIO()
@@ -192,17 +181,17 @@ def csv_text(df: DataFrame) -> Iterator[str]:
         line.truncate()
 
 
-def write_csv(df: DataFrame, path: Path) -> None:
-    atomic_write_text(path, "".join(csv_text(df)))
+def write_csv(df: DataFrame, path: str) -> None:
+    """One CSV file; rows come to the driver a partition at a time and go on at once."""
+    Files(df.sparkSession).write(path, csv_text(df))
 
 
-def publish(run_dir: Path, out_dir: Path, events: DataFrame) -> list[Path]:
-    """Copies the report, the charts and the summary CSVs of a run, and writes its events as one."""
-    wanted = [run_dir / "report.html", *sorted((run_dir / "plots").glob("*.svg")), *sorted((run_dir / "summary").glob("*.csv"))]
-    found = []
-    for source in wanted:
-        target = out_dir / source.relative_to(run_dir)
-        target.parent.mkdir(parents=True, exist_ok=True)
-        found.append(Path(shutil.copy2(source, target)))
-    write_csv(events.orderBy("camera_id", "start", "event_id"), out_dir / "summary" / "events.csv")
-    return [*found, out_dir / "summary" / "events.csv"]
+def publish(spark: SparkSession, run: str, out: str) -> list[str]:
+    """Copies the report, the charts and the summary CSVs of a run, and writes its events as one; returns the files."""
+    files = Files(spark)
+    inside = lambda folder, kind: [f"{folder}/{n}" for n in files.names(f"{run}/{folder}") if n.endswith(kind)]
+    names = ["report.html", *inside("plots", ".svg"), *inside("summary", ".csv")]
+    for name in names:
+        files.write(f"{out}/{name}", [files.text(f"{run}/{name}")])
+    write_csv(read_table(spark, f"{run}/events.parquet").orderBy("camera_id", "start", "event_id"), f"{out}/summary/events.csv")
+    return [f"{out}/{n}" for n in (*names, "summary/events.csv")]
