@@ -204,24 +204,27 @@ def test_components(spark):
     assert found == {**{k: 0 for k in range(31)}, 80: 80, 90: 80, 100: 80}
 
 
-def plain_shingles(text):
-    w = re.sub(r"[\W_]+", " ", (text or "").lower()).strip().split(" ")
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+def plain_items(text):
+    """The shingles of an item, and a document's runs of their length: five words, or all of a shorter item's."""
+    w = re.sub(r"[\W_]+", " ", (text or "").lower()).split()
+    n = min(5, len(w))
+    runs = lambda t: {tuple(t[i : i + n]) for i in range(len(t) - n + 1)}
+    return (runs(w), lambda d: runs(re.sub(r"[\W_]+", " ", (d or "").lower()).split())) if n else (set(), None)
 
 
 def test_decontamination(spark):
     rnd = random.Random(3)
     word = lambda: rnd.choice(["ab", "cd", "ef", "gh", "ij", "kl", "mn"]) + rnd.choice("xyz")
-    items = [" ".join(word() for _ in range(n)) for n in (14, 30, 60, 3)]
+    items = [" ".join(word() for _ in range(n)) for n in (14, 30, 60, 3)] + ["Quo", "vadis quo", "!!", ""]
     filler = lambda n: " ".join(word() for _ in range(n))
     part = items[2].split()
-    texts = [None, "", filler(50), f"{filler(900)} {items[0].upper()}! {filler(40)}", f"{items[1]} {items[2]}", " ".join(part[:50] + ["odd"] + part[51:]), " ".join(part[:30]), items[3]]
+    texts = [None, "", filler(50), f"{filler(900)} {items[0].upper()}! {filler(40)}", f"{items[1]} {items[2]}", " ".join(part[:50] + ["odd"] + part[51:]), " ".join(part[:30]), items[3], "say: vadis, quo?", "quo", "quota", items[3], None]
     docs, table = documents(spark, texts), spark.createDataFrame([*enumerate(items), (None, items[0]), (9, None)], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontam.contained(docs, table).collect()}
-    want = {(d, i) for d, t in enumerate(texts) for i, q in enumerate(items) if (s := plain_shingles(q)) and len(s & plain_shingles(t)) >= 0.8 * len(s)}
-    assert found == want and {(3, 0), (4, 1), (4, 2), (5, 2)} <= want
+    want = {(d, i) for d, t in enumerate(texts) for i, q in enumerate(items) if (s := plain_items(q))[0] and len(s[0] & s[1](t)) >= 0.8 * len(s[0])}
+    assert found == want and {(3, 0), (4, 1), (4, 2), (5, 2), (7, 3), (8, 4), (8, 5), (9, 4), (11, 3)} <= want
     clean = decontam.without_contaminated(docs, table)
-    assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {0, 1, 2, 6, 7}
+    assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in want} and {0, 1, 6, 10, 12} <= {r.doc_id for r in clean.collect()}
     assert decontam.contained(docs, table.limit(0)).count() == 0
 
 
