@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
@@ -247,7 +248,7 @@ def measured_images(spark: SparkSession, root: str, paths: list[str], measure: C
         for batch in batches:
             rows = []
             for origin, high, wide, channels, data in zip(*(batch[c] for c in ("origin", "height", "width", "nChannels", "data")), strict=True):
-                path = origin.partition("://")[2] if "://" in origin else origin.removeprefix("file:")
+                path = unquote(origin.partition("://")[2] if "://" in origin else origin.removeprefix("file:"))
                 name, folder = known[path]
                 told = (*[None] * (len(names) - 1), "unreadable")
                 if high > 0:
