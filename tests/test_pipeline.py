@@ -18,7 +18,7 @@ from wildtally.schemas import DETECTION_RECORDS, METRICS
 from wildtally.settings import Settings
 from wildtally.sources import images, tables
 from wildtally.storage import Files
-from wildtally.streaming import stream_near_duplicates, stream_sessions
+from wildtally.streaming import stream_sessions
 
 
 def png(rgb: np.ndarray) -> bytes:
@@ -169,12 +169,10 @@ def test_streams(spark, tmp_path):
     df = spark.createDataFrame([(p, c, t, v, d, None if h is None else h.zfill(16)) for p, c, t, v, d, h in rows], "photo_id string, camera_id string, t string, timestamp_valid boolean, decode_ok boolean, dhash string")
     df.selectExpr("photo_id", "camera_id", "cast(t as timestamp_ntz) timestamp", "timestamp_valid", "decode_ok", "dhash").coalesce(1).write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
-    for name, stream in (("s", stream_sessions(source, 60)), ("d", stream_near_duplicates(source))):
-        q = stream.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).start()
-        q.processAllAvailable()
-        q.stop()
+    q = stream_sessions(source, 60).writeStream.format("memory").queryName("s").outputMode("append").option("checkpointLocation", str(tmp_path / "s")).start()
+    q.processAllAvailable()
+    q.stop()
     assert sorted(r.n_photos for r in spark.table("s").collect()) == [1, 2]
-    assert {r.photo_id: r.dup_group for r in spark.table("d").collect()} == {"a": "a", "b": "a", "d": "d", "z": "z"}
 
 
 def test_command_line(tmp_path, capsys):

@@ -17,7 +17,8 @@ from wildtally.storage import cut
 RANGE = "_range"
 #: Rows of a group whose median is taken by sorting them; of a larger group values are counted in buckets first.
 SORTED_ROWS = 100_000
-BUCKETS = 1024
+#: Edges of buckets are approximate quantiles, so each holds about as many rows however values are spread.
+BUCKETS, ACCURACY = 128, 10_000
 
 
 def dealt(rows: DataFrame, by: str, order: Sequence[str]) -> DataFrame:
@@ -71,49 +72,61 @@ def with_look_back(rows: DataFrame, by: str, order: Sequence[str], value: Column
 def medians(rows: DataFrame, by: Sequence[str], value: str, name: str, sorted_rows: int = SORTED_ROWS) -> DataFrame:
     """The exact median of `value` in each group of `by`, nulls left out.
 
-    A group of more than `sorted_rows` rows is narrowed first: its values are counted in buckets between the least and
-    the largest, the running sum of the counts tells in which buckets the two middle values lie, and only those buckets
-    are looked at again, until few rows or one value is left. State is a number of buckets, whatever a group holds.
+    A group of more than `sorted_rows` rows is narrowed first, for each of its two middle ranks: of the buckets between
+    approximate quantiles two edges around the rank are taken, the values below, at and between them are counted, and
+    only what lies between is looked at again, until few rows are left or the value is an edge. State is a number of
+    buckets, whatever a group holds; counts are exact, so is the result.
     """
     rows = rows.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("_n"))
     large = cut(sizes.filter(F.col("_n") > sorted_rows))
     if large.isEmpty():
         return rows.groupBy(*by).agg(F.median("_v").alias(name))
-    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in by]
-    small = rows.join(large, same(rows, large), "left_anti").groupBy(*by).agg(F.median("_v").alias(name))
-    middle = F.explode(F.array(F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)))
-    # of each group the two middle ranks, the values between which they lie, and the rank among those
-    open_ = cut(large.select(*by, F.col("_n").alias("_all"), "_n", "_low", "_high", middle.alias("_rank")).withColumn("_which", F.row_number().over(W.partitionBy(*by).orderBy("_rank"))))
-    found = []
+    small = rows.join(large, [rows[c].eqNullSafe(large[c]) for c in by], "left_anti").groupBy(*by).agg(F.median("_v").alias(name))
+    middle = F.posexplode(F.array(F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2))).alias("_which", "_rank")
+    nothing = F.lit(None).cast("double")
+    open_ = large.select(*by, "_n", nothing.alias("_low"), nothing.alias("_high"), middle)
+    values = []
     while True:
-        done = (F.col("_low") == F.col("_high")) | (F.col("_n") <= sorted_rows)
-        found.append(open_.filter(done))
-        open_ = open_.filter(~done)
+        few = _inside_of(rows, open_.filter(F.col("_n") <= sorted_rows), by)
+        place = F.row_number().over(W.partitionBy(*by, "_which").orderBy("_v"))
+        values.append(few.withColumn("_place", place).filter(F.col("_place") == F.col("_rank")).select(*by, "_v"))
+        open_ = open_.filter(F.col("_n") > sorted_rows)
         if open_.isEmpty():
             break
-        open_ = cut(_narrowed(rows, open_, by, same))
-    ends = found[0]
-    for more in found[1:]:
-        ends = ends.unionByName(more)
-    own = ends.select(*[F.col(c).alias(f"_{c}_") for c in by], "_low", "_high", "_rank", "_which")
-    inside = rows.join(own, [rows[c].eqNullSafe(own[f"_{c}_"]) for c in by] + [rows["_v"].between(own["_low"], own["_high"])])
-    # of one value, or few rows: of equal values one row is enough
-    counted = inside.groupBy(*by, "_which", "_rank", "_v").agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(W.partitionBy(*by, "_which").orderBy("_v"))
-    picked = counted.withColumn("_upto", upto).filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_c") < F.col("_rank")))
-    return small.unionByName(picked.groupBy(*by).agg((F.sum(F.col("_v") * 0.5)).alias(name)))
-
-
-def _narrowed(rows: DataFrame, open_: DataFrame, by: Sequence[str], same) -> DataFrame:  # noqa: ANN001
-    """Each open middle with the bucket it lies in, in place of the values between which it was known to lie."""
-    own = open_.select(*[F.col(c).alias(f"_{c}_") for c in by], "_all", "_low", "_high", "_rank", "_which")
-    inside = rows.join(own, [rows[c].eqNullSafe(own[f"_{c}_"]) for c in by] + [rows["_v"].between(own["_low"], own["_high"])])
-    share = (F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
-    bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
-    counted = inside.withColumn("_bucket", bucket).groupBy(*by, "_which", "_rank", "_all", "_bucket").agg(
-        F.count("*").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        counted = cut(_counted(rows, open_, by))
+        values.append(counted.filter(F.col("_found").isNotNull()).select(*by, F.col("_found").alias("_v")))
+        open_ = counted.filter(F.col("_found").isNull()).drop("_found")
+    both = values[0]
+    for more in values[1:]:
+        both = both.unionByName(more)
+    return small.unionByName(both.groupBy(*by).agg(F.sum(F.col("_v") * 0.5).alias(name)))
+
+
+def _inside_of(rows: DataFrame, open_: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows between the two values of each open rank of their group, with its columns."""
+    own = open_.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    between = (own["_low"].isNull() | (rows["_v"] > own["_low"])) & (own["_high"].isNull() | (rows["_v"] < own["_high"]))
+    return rows.join(own, [rows[c].eqNullSafe(own[f"_by_{c}"]) for c in by] + [between]).drop(*[f"_by_{c}" for c in by])
+
+
+def _counted(rows: DataFrame, open_: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each open rank with its value (_found), or the narrower bounds that it lies between, the rows there and its rank among them."""
+    key = [*by, "_which"]
+    fractions = F.array(*[F.lit(k / BUCKETS) for k in range(BUCKETS + 1)])
+    quantiles = _inside_of(rows, open_, by).groupBy(*key, "_rank", "_n", "_low", "_high").agg(F.percentile_approx("_v", fractions, ACCURACY).alias("_edges"))
+    share = F.col("_rank") * BUCKETS / F.col("_n")
+    edge = lambda at: F.get("_edges", F.least(F.greatest(at.cast("int"), F.lit(0)), F.lit(BUCKETS)))
+    bounds = quantiles.select(*key, "_rank", "_n", "_low", "_high", edge(F.floor(share - 0.25)).alias("_a"), edge(F.ceil(share + 0.25)).alias("_b"))
+    v, a, b, rank = (F.col(c) for c in ("_v", "_a", "_b", "_rank"))
+    told = _inside_of(rows, bounds, by).groupBy(*key, "_rank", "_n", "_low", "_high", "_a", "_b").agg(
+        F.count_if(v < a).alias("_below"), F.count_if(v == a).alias("_at_a"), F.count_if((v > a) & (v < b)).alias("_mid"), F.count_if((v == b) & (a != b)).alias("_at_b")
     )
-    upto = F.sum("_c").over(W.partitionBy(*by, "_which").orderBy("_bucket"))
-    hit = counted.withColumn("_before", upto - F.col("_c")).filter((F.col("_before") < F.col("_rank")) & (F.col("_before") + F.col("_c") >= F.col("_rank")))
-    return hit.select(*by, "_all", F.col("_c").alias("_n"), "_low", "_high", (F.col("_rank") - F.col("_before")).alias("_rank"), "_which")
+    to_a = F.col("_below") + F.col("_at_a")
+    to_mid, to_b = to_a + F.col("_mid"), to_a + F.col("_mid") + F.col("_at_b")
+    found = F.when((rank > F.col("_below")) & (rank <= to_a), a).when((rank > to_mid) & (rank <= to_b), b)
+    part = lambda below, mid, above: F.when(rank <= F.col("_below"), below).when(rank <= to_mid, mid).otherwise(above)
+    return told.select(
+        *key, found.alias("_found"), part(F.col("_below"), F.col("_mid"), F.col("_n") - to_b).alias("_n"), part(F.col("_low"), a, b).alias("_low"),
+        part(a, b, F.col("_high")).alias("_high"), part(rank, rank - to_a, rank - to_b).alias("_rank"),
+    )

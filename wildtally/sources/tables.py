@@ -90,17 +90,22 @@ class RecordStore:
         files = Files(self.spark)
         return [n for n in files.names(self.path) if files.exists(f"{self.path}/{n}/_SUCCESS")]
 
-    def read(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], self.schema)
+    def history(self) -> DataFrame:
+        """All records with _attempt, the number of the attempt that made them."""
         attempts = self._attempts()
         if not attempts:
-            return empty
+            return self.spark.createDataFrame([], self.schema).withColumn("_attempt", F.lit(None).cast("long"))
         rows = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*[f"{self.path}/{n}" for n in attempts])
-        named = rows.withColumn("_attempt", F.regexp_extract(F.input_file_name(), r"/(attempt=\d+)/", 1))
-        return last_of_each(named, self.key, "_attempt").select(*self.schema.names)
+        return rows.withColumn("_attempt", F.regexp_extract(F.input_file_name(), r"/attempt=(\d+)/", 1).cast("long"))
+
+    def read(self) -> DataFrame:
+        return last_of_each(self.history(), self.key, "_attempt").select(*self.schema.names)
 
     def append(self, records: DataFrame) -> None:
-        number = 1 + max((int(n.partition("=")[2]) for n in self._attempts()), default=0)
+        self.put(records, 1 + max((int(n.partition("=")[2]) for n in self._attempts()), default=0))
+
+    def put(self, records: DataFrame, number: int) -> None:
+        """The records as attempt `number`, in place of what a broken attempt of that number left."""
         records.write.mode("overwrite").parquet(f"{self.path}/attempt={number:06d}")
 
 

@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wildtally.streaming.folder import feed_again, stream_folder
+
+__all__ = ["feed_again", "stream_folder", "stream_near_duplicates", "stream_sessions"]
+
 
 def stream_sessions(photos: DataFrame, gap_s: float, late: str = "1 hour") -> DataFrame:
     """camera_id, start, end, n_photos of sessions, once the watermark has passed them.
@@ -20,30 +24,49 @@ def stream_sessions(photos: DataFrame, gap_s: float, late: str = "1 hour") -> Da
     return whole.select("camera_id", "start", "end", "n_photos")
 
 
-def stream_near_duplicates(photos: DataFrame, max_bits: int = 6, window: int = 8, max_gap_s: float = 300.0) -> DataFrame:
-    """photo_id, camera_id, dup_group as photos come; state: each camera's last `window` photos. They must come in order."""
-    state = "ids array<string>, times array<double>, hashes array<string>, groups array<string>"
+#: Of a camera: photos that the watermark hasn't passed, and the last ones that it has.
+_STATE = ", ".join(f"{kind}_{c}" for kind in ("open", "last") for c in ("ids array<string>", "paths array<string>", "times array<long>", "hashes array<string>", "groups array<string>"))
+
+
+def stream_near_duplicates(photos: DataFrame, max_bits: int = 6, window: int = 8, max_gap_s: float = 300.0, late: str = "10 minutes") -> DataFrame:
+    """photo_id, camera_id, dup_group, in whatever order photos come within `late` of each other.
+
+    A photo waits until the watermark has passed its time; then it is held against the `window` photos of its camera
+    before it. A camera's state goes once all its photos are passed and the last is too old to be looked back at. Photos
+    without a hash or a time are groups of their own and wait for nothing. Photos later than `late` are left out, as
+    Spark does.
+    """
+    reach = int(max_gap_s * 1e6)
 
     def work(key: tuple, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-        last = list(zip(*held.get, strict=True)) if held.exists else []
+        waiting, last = [], []
+        if held.exists:
+            lists = held.get
+            waiting, last = list(zip(*lists[:5], strict=True)), list(zip(*lists[5:], strict=True))
         for batch in batches:
-            rows = []
-            for photo, moment, print_ in batch.sort_values(["timestamp", "photo_id"])[["photo_id", "timestamp", "dhash"]].itertuples(index=False):
-                if print_ is None:
-                    rows.append((photo, key[0], photo))
-                    continue
-                second, group = moment.timestamp(), photo
-                for _, t, h, g in reversed(last):
-                    if second - t > max_gap_s:
-                        break
-                    if (int(h, 16) ^ int(print_, 16)).bit_count() <= max_bits:
-                        group = g
-                        break
-                last = [*last, (photo, second, print_, group)][-window:]
-                rows.append((photo, key[0], group))
+            waiting += [(p, r, int(t), h, "") for p, r, t, h in batch[["photo_id", "rel_path", "micros", "dhash"]].itertuples(index=False)]
+        passed = held.getCurrentWatermarkMs() * 1000
+        waiting.sort(key=lambda w: (w[2], w[1]))
+        rows = []
+        while waiting and waiting[0][2] < passed:
+            photo, path, moment, print_, _ = waiting.pop(0)
+            alike = (g for _, _, t, h, g in reversed(last) if moment - t <= reach and (int(h, 16) ^ int(print_, 16)).bit_count() <= max_bits)
+            group = next(alike, photo)
+            last = [*last, (photo, path, moment, print_, group)][-window:]
+            rows.append((photo, key[0], group))
+        if not waiting and (not last or last[-1][2] + reach < passed):
+            if held.exists:
+                held.remove()
+        else:
+            empty = ([], [], [], [], [])
+            held.update((*(map(list, zip(*waiting, strict=True)) if waiting else empty), *(map(list, zip(*last, strict=True)) if last else empty)))
+            wake = (waiting[0][2] if waiting else last[-1][2] + reach) // 1000 + 1
+            held.setTimeoutTimestamp(max(wake, passed // 1000 + 1))
+        if rows:
             yield pd.DataFrame(rows, columns=["photo_id", "camera_id", "dup_group"])
-        if last:
-            held.update(tuple(list(c) for c in zip(*last, strict=True)))
 
-    rows = photos.select("photo_id", "camera_id", F.col("timestamp").cast("timestamp").alias("timestamp"), "dhash")
-    return rows.groupBy("camera_id").applyInPandasWithState(work, "photo_id string, camera_id string, dup_group string", state, "append", "NoTimeout")
+    usable = F.col("dhash").isNotNull() & F.col("timestamp").isNotNull()
+    moment = F.col("timestamp").cast("timestamp")
+    timed = photos.filter(usable).select("photo_id", "camera_id", "rel_path", moment.alias("_t"), F.unix_micros(moment).alias("micros"), "dhash").withWatermark("_t", late)
+    found = timed.groupBy("camera_id").applyInPandasWithState(work, "photo_id string, camera_id string, dup_group string", _STATE, "append", "EventTimeTimeout")
+    return found.unionByName(photos.filter(~usable).select("photo_id", "camera_id", F.col("photo_id").alias("dup_group")))
