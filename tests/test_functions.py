@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,145 @@ def test_scalars(spark):
         assert one(spark, scalars.safe_file_name(F.lit(bad))) is None
     assert one(spark, scalars.category_name(F.lit("2"))) == "person"
     assert one(spark, scalars.category_name(F.lit("9"))) == "unknown"
+
+
+#: Texts and the wall-clock times that they say, month first where numbers leave it open; None: no time.
+WRITTEN = [
+    ('2026/04/06', '2026-04-06 00:00:00'),
+    ('06-Apr-2026 06:30:10', '2026-04-06 06:30:10'),
+    ('April 6 2026 06:30:15', '2026-04-06 06:30:15'),
+    ('05/04/2026 06:30:00', '2026-05-04 06:30:00'),
+    ('13/04/2026 06:30', '2026-04-13 06:30:00'),
+    ('6 April', '0001-04-06 00:00:00'),
+    ('April 2026', '2026-04-01 00:00:00'),
+    ('2026-04', '2026-04-01 00:00:00'),
+    ('2026', '2026-01-01 00:00:00'),
+    ('6 April 2026 6:30 pm', '2026-04-06 18:30:00'),
+    ('6 April 2026 12:30 am', '2026-04-06 00:30:00'),
+    ('Mon Apr 6 06:30:10 2026', '2026-04-06 06:30:10'),
+    ('Monday, April 6th, 2026 at 06:30', '2026-04-06 06:30:00'),
+    ('2026.04.06 06:30', '2026-04-06 06:30:00'),
+    ('04.06.2026', '2026-04-06 00:00:00'),
+    ('6.4.2026', '2026-06-04 00:00:00'),
+    ('20260406', '2026-04-06 00:00:00'),
+    ('20260406063010', '2026-04-06 06:30:10'),
+    ('20260406 063010', '2026-04-06 06:30:10'),
+    ('20260406T0630', '2026-04-06 06:30:00'),
+    ('202604060630', '2026-04-06 06:30:00'),
+    ('260406', '2006-04-26 00:00:00'),
+    ('04/06/26', '2026-04-06 00:00:00'),
+    ('13/04/76', '1976-04-13 00:00:00'),
+    ('04-06-2026 06:30:10.123456789', '2026-04-06 06:30:10.123456'),
+    ('2026-04-06T06:30:10.123456789Z', '2026-04-06 06:30:10'),
+    ('2026-04-06T06:30:10,5', '2026-04-06 06:30:10'),
+    ('2026-04-06 06:30:10 +0200', '2026-04-06 06:30:10'),
+    ('2026-04-06 06:30 EST', '2026-04-06 06:30:00'),
+    ('2026-04-06 06:30:10 UTC', '2026-04-06 06:30:10'),
+    ('2026-04-06 24:00', None),
+    ('2026-02-30', None),
+    ('2026-13-04', None),
+    ('6apr2026', '2026-04-06 00:00:00'),
+    ('6h30 2026-04-06', '2026-04-06 06:30:00'),
+    ('2026-04-06 6h30m10s', '2026-04-06 06:30:10'),
+    ('1775457010', None),
+    ('6 avril 2026', None),
+    ('2026-4-6 6:5:1', '2026-04-06 06:05:01'),
+    ('2026-04-06T06', '2026-04-06 06:00:00'),
+    ('2026-04-06 06', '2026-04-06 06:00:00'),
+    ('2026-04-06 6am', '2026-04-06 06:00:00'),
+    ('2026-04-06 6 AM', '2026-04-06 06:00:00'),
+    ('Sept 6 2026', '2026-09-06 00:00:00'),
+    ('6 sept. 2026', '2026-09-06 00:00:00'),
+    ('2026 April 6', '2026-04-06 00:00:00'),
+    ('2026-Apr-06', '2026-04-06 00:00:00'),
+    ('Apr-06-26', '2026-04-06 00:00:00'),
+    ('6 of April, 2026', '2026-04-06 00:00:00'),
+    ('2026-04-06 06:30:61', None),
+    ('2026:4:6 6:30:1', '2026-04-06 06:30:01'),
+    ('12/31/2026 11:59:59 PM', '2026-12-31 23:59:59'),
+    ('1/2/3', '2003-01-02 00:00:00'),
+    ('99-01-02', '1999-01-02 00:00:00'),
+    ('2026-04-06T06:30:10+02:00', '2026-04-06 06:30:10'),
+    ('2026-04-06T06:30:10-0700 ', '2026-04-06 06:30:10'),
+    ('6/4', '0001-06-04 00:00:00'),
+    ('4/2026', '2026-04-01 00:00:00'),
+    ('0026-04-06', '0026-04-06 00:00:00'),
+    ('10000-01-01', None),
+    ('1600-01-01', '1600-01-01 00:00:00'),
+    ('January', '0001-01-01 00:00:00'),
+    ('1', None),
+    ('31', None),
+    ('100', None),
+    ('2026-04-06 06:30:10 a.m.', '2026-04-06 06:30:10'),
+    ('2026-04-06 13:30 pm', None),
+    ('2026-04-06 0:30 pm', '2026-04-06 12:30:00'),
+    ('April 31 2026', None),
+    ('6 April 2026, 06:30:15', '2026-04-06 06:30:15'),
+    ('6-April-2026T06:30', '2026-04-06 06:30:00'),
+    ('2026-04-06 06:30:', None),
+    ('2026-04-06 06:30:5', '2026-04-06 06:30:05'),
+    ('2026-04-06 06:3', '2026-04-06 06:03:00'),
+    ('2026-04-06T6:30', '2026-04-06 06:30:00'),
+    ('20260406 06:30', '2026-04-06 06:30:00'),
+    ('260406 0630', '2006-04-26 06:30:00'),
+    ('2026:04:06 06:30:00', '2026-04-06 06:30:00'),
+    ('2026-04-06 06:30:00.123', '2026-04-06 06:30:00'),
+    ('2026/04/06 06:30:00', '2026-04-06 06:30:00'),
+    ('2026-04-06T06:30:00+02:00', '2026-04-06 06:30:00'),
+    ('2026-04-06 06:30:00Z', '2026-04-06 06:30:00'),
+    ('6 April 2026 06:30', '2026-04-06 06:30:00'),
+    ('  2026-04-06  ', '2026-04-06 00:00:00'),
+    ('0000:00:00 00:00:00', None),
+    ('not a date', None),
+    ('May 5, 2026 5:06 PM', '2026-05-05 17:06:00'),
+    ('5 MAY 2026', '2026-05-05 00:00:00'),
+    ('1 Dec 99', '1999-12-01 00:00:00'),
+    ('Dec 1 1999 23:59:59.5', '1999-12-01 23:59:59.500000'),
+    ('Thu, 09 Apr 2026 10:11:12 GMT', '2026-04-09 10:11:12'),
+    ('Fri Apr 10 2026', '2026-04-10 00:00:00'),
+    ('2026-04-06 12:00 AM', '2026-04-06 00:00:00'),
+    ('2026-04-06 12:00 pm', '2026-04-06 12:00:00'),
+    ('03-04-2026', '2026-03-04 00:00:00'),
+    ('3/4/2026 7:08', '2026-03-04 07:08:00'),
+    ('28.02.2026 10:00', '2026-02-28 10:00:00'),
+    ('2024-02-29', '2024-02-29 00:00:00'),
+    ('2025-02-29', None),
+    ('April 6th 2026', '2026-04-06 00:00:00'),
+    ('1st of May 2026 at 5pm', '2026-05-01 17:00:00'),
+    ('2026-04-06 06:30:10-03:30', '2026-04-06 06:30:10'),
+    ('06:30 6 April 2026', '2026-04-06 06:30:00'),
+    ('06:30:15 2026-04-06', '2026-04-06 06:30:15'),
+    ('20260406T063010Z', '2026-04-06 06:30:10'),
+]
+
+
+def test_times_as_people_write_them(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(WRITTEN)], "k int, t string")
+    told = {r.k: r.v for r in df.select("k", scalars.parse_timestamp(F.col("t")).alias("v")).collect()}
+    assert {WRITTEN[k][0]: None if v is None else v.isoformat(sep=" ") for k, v in told.items()} == dict(WRITTEN)
+    assert len(WRITTEN) >= 100
+
+
+def test_a_time_of_day_is_of_today(spark):
+    v, today = spark.sql("SELECT '6:30 pm' AS t").select(scalars.parse_timestamp(F.col("t")), F.current_date()).first()
+    assert v == datetime(today.year, today.month, today.day, 18, 30)
+
+
+def test_rounding_by_exact_values(spark):
+    ties = np.arange(100_001) / 1e5
+    values = np.concatenate([
+        np.random.default_rng(1).random(1_000_000), ties, np.nextafter(ties, 2), np.nextafter(ties, -1), np.arange(65_537) / 65_536, -ties[:4000], [1e15, 1e300, 5e-324, float("inf"), 123456789.12345, 2.0**52 / 1e4 + 0.5]
+    ])
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    told = df.select(scalars.rounded_exactly(F.col("v"), 4).alias("four"), scalars.rounded_exactly(F.col("v"), 2).alias("two")).toPandas()
+    for column, places in (("four", 4), ("two", 2)):
+        want = np.array([round(v, places) if np.isfinite(v) else v for v in values.tolist()])
+        assert (told[column].to_numpy() == want).all() and (np.signbit(told[column].to_numpy()) == np.signbit(want)).all()
+    known = {0.12345: 0.1235, 0.61235: 0.6123, 0.00005: 0.0001, 0.03125: 0.0312, 0.09375: 0.0938}
+    assert all(one(spark, scalars.rounded_exactly(F.lit(v), 4)) == want == round(v, 4) for v, want in known.items())
+
+
+def test_numbers_as_text(spark):
+    df = spark.createDataFrame([(k / 1e4,) for k in range(10_001)], "v double")
+    assert all(float(r.t) == r.v and "E" not in r.t for r in df.select("v", scalars.written(F.col("v"), 4).alias("t")).collect())
+    assert one(spark, scalars.written(F.lit(0.5), 4)) == "0.5" and one(spark, scalars.written(F.lit(1.0), 4)) == "1.0" and one(spark, scalars.written(F.lit(0.0005), 4)) == "0.0005"

@@ -44,7 +44,7 @@ def rounded_exactly(value: Column, places: int) -> Column:
     up = (part > 0.5) | ((part == 0.5) & ((rest > 0) | ((rest == 0) & (whole % 2 == 1))))
     told = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
     signed = F.when(value < 0, -told).otherwise(told)
-    return F.when(F.isnan(value) | (x >= 2.0**52 / scale), value).otherwise(signed)
+    return F.when(F.isnan(value) | (x == 0) | (x >= 2.0**52 / scale), value).otherwise(signed)
 
 
 def _split(x: float) -> tuple[float, float]:

@@ -88,7 +88,7 @@ def _clock_numbers(told: Column) -> Column:
 def _tokens(rest: Column) -> Column:
     """Numbers and words of a date; a number without separators is taken apart."""
     for pattern, by in (
-        (r"(\d)(?:st|nd|rd|th)\b", "$1"), (_WEEKDAY, " "), (r"(?<=\d)(?=[a-z])|(?<=[a-z])(?=\d)", " "), (r"[\s,;.'/-]+", " "), (_FILLING, " "), (r"\s+", " "), (r"^ | $", ""),
+        (r"(?<=^\d{8}[t ]?\d{2,6})(?:z|[+-]\d\d:?\d\d)$", ""), (r"(\d)(?:st|nd|rd|th)\b", "$1"), (_WEEKDAY, " "), (r"(?<=\d)(?=[a-z])|(?<=[a-z])(?=\d)", " "), (r"[\s,;.'/-]+", " "), (_FILLING, " "), (r"\s+", " "), (r"^ | $", ""),
         (r"^(\d{4})(\d\d)(\d\d)(\d{4}|\d{6})?(?= |$)", "$1 $2 $3 $4"), (r"^(\d\d)(\d\d)(\d\d)(?= |$)", "$1 $2 $3"), (r"\s+", " "), (r"^ | $", ""),
     ):
         rest = F.regexp_replace(rest, pattern, by)
