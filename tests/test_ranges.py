@@ -89,3 +89,19 @@ def test_medians_by_selection(spark):
     told = {r.g: r.m for r in ranges.medians(df, ["g"], "v", "m", sorted_rows=50).collect()}
     assert told == {k: v for k, v in want.items() if k != "nothing"}
     assert {r.g: r.m for r in ranges.medians(df, ["g"], "v", "m").collect()} == told
+
+
+def test_tables_that_are_left_are_swept(spark):
+    from wildtally import storage
+
+    kept, path = storage.stored(spark.range(3), "kept")
+    gone, other = storage.stored(spark.range(3), "gone")
+    storage.remove(spark, other)
+    files = storage.Files(spark)
+    assert files.exists(path) and not files.exists(other) and path in storage._LEFT and other not in storage._LEFT
+    held = dict(storage._LEFT)
+    storage._LEFT.clear()
+    storage._LEFT[path] = held.pop(path)
+    storage.sweep()
+    storage._LEFT.update(held)
+    assert not files.exists(path)

@@ -8,18 +8,17 @@ import itertools
 import json
 import os
 import tempfile
-import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.errors import InputError
 from wildtally.functions.scalars import cleaned
 from wildtally.operators.incremental import last_of_each
-from wildtally.storage import Files, fresh_path
+from wildtally.sources.pieces import json_elements
+from wildtally.storage import Files
 
 SIDECAR = "metadata.csv"
 
@@ -41,43 +40,36 @@ CAMERA_FIELDS, TIME_FIELDS = ("location", "camera", "site"), ("datetime", "date_
 
 
 def parse_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """file_name, camera_id, timestamp, seq_id of camera-trap JSON, plain or in a zip; images without file or camera go."""
-    if path.lower().endswith(".zip"):
-        with zipfile.ZipFile(path) as archive:
-            member = next((n for n in archive.namelist() if n.lower().endswith(".json")), None)
-            if member is None:
-                raise InputError("the zip holds no JSON")
-            data = archive.read(member)
-        folder = fresh_path(spark, "metadata")
-        store, root = pafs.FileSystem.from_uri(folder)
-        store.create_dir(root, recursive=True)
-        path = f"{folder}/survey.json"
-        with store.open_output_stream(f"{root}/survey.json", compression=None) as out:
-            out.write(data)
+    """file_name, camera_id, timestamp, seq_id of camera-trap JSON, plain or in a zip; images without file or camera go.
+
+    The document is read by pieces, so its size doesn't matter.
+    """
+    pieces = json_elements(spark, path)
+    if problem := pieces.filter("error IS NOT NULL").head(1):
+        raise InputError(f"metadata is not camera-trap JSON: {problem[0].error}")
     fields = ("file_name", *CAMERA_FIELDS, *TIME_FIELDS, "seq_id")
-    schema = f"images array<struct<{','.join(f'{f}:string' for f in fields)}>>, _corrupt string"
-    rows = spark.read.option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").schema(schema).json(path)
-    if rows.filter("_corrupt IS NOT NULL AND images IS NULL").select("images", "_corrupt").head(1):
-        raise InputError("metadata is not camera-trap JSON")
-    image = rows.select(F.explode("images").alias("i")).select("i.*")
+    image = pieces.filter("member = 'images'").select(F.from_json("value", ", ".join(f"{f} string" for f in fields)).alias("i")).select("i.*")
     first = lambda names: F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names])
     told = image.select("file_name", first(CAMERA_FIELDS).alias("camera_id"), first(TIME_FIELDS).alias("timestamp"), F.nullif("seq_id", F.lit("")).alias("seq_id"))
     return told.filter(F.coalesce(F.col("file_name"), F.lit("")) != "").filter(F.col("camera_id").isNotNull())
 
 
-TRUTH = (
-    "images map<string,struct<camera_id:string,time:string,camera_clock:string,visit_id:bigint,kind:string,night:boolean,blurred:boolean,truncated:boolean,"
-    "objects:array<struct<category:string,species:string,lineage:string,bbox:array<double>>>>>, "
-    "visits array<struct<visit_id:bigint,camera_id:string,kind:string,start:string,species:string,count:bigint,n_photos:bigint,valid_clock:boolean>>, "
-    "cameras array<struct<camera_id:string,habitat:map<string,double>,outage_days:array<int>,unset_clock_days:int,fog_day:int>>"
-)
+#: What a ground truth holds of each image (by path), visit and camera.
+TRUTH = {
+    "images": "camera_id string, time string, camera_clock string, visit_id bigint, kind string, night boolean, blurred boolean, truncated boolean, "
+    "objects array<struct<category:string,species:string,lineage:string,bbox:array<double>>>",
+    "visits": "visit_id bigint, camera_id string, kind string, start string, species string, count bigint, n_photos bigint, valid_clock boolean",
+    "cameras": "camera_id string, habitat map<string,double>, outage_days array<int>, unset_clock_days int, fog_day int",
+}
 
 
 def load_ground_truth(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Tables images, visits, cameras of a ground-truth JSON."""
-    whole = spark.read.option("multiLine", True).schema(TRUTH).json(path)
-    images = whole.select(F.explode("images").alias("rel_path", "x")).select("rel_path", "x.*")
-    return {"images": images} | {k: whole.select(F.explode(k).alias("x")).select("x.*") for k in ("visits", "cameras")}
+    """Tables images, visits, cameras of a ground-truth JSON, which is read by pieces."""
+    pieces = json_elements(spark, path)
+    if problem := pieces.filter("error IS NOT NULL").head(1):
+        raise InputError(f"the ground truth is not JSON: {problem[0].error}")
+    parsed = {name: pieces.filter(F.col("member") == name).select(F.col("key").alias("rel_path"), F.from_json("value", schema).alias("x")).select("rel_path", "x.*") for name, schema in TRUTH.items()}
+    return {name: rows if name == "images" else rows.drop("rel_path") for name, rows in parsed.items()}
 
 
 class RecordStore:

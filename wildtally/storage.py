@@ -106,9 +106,25 @@ def located(path: str) -> str:
     return path.rstrip("/") if "://" in path else f"file://{os.path.abspath(path)}"
 
 
+#: Tables in the shared folder that nobody has removed; the driver deletes them when it ends, as lazy results may read them till then.
+_LEFT: dict[str, Files] = {}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that holds it."""
     Files(spark).delete(path)
+    _LEFT.pop(path, None)
+
+
+@atexit.register
+def sweep() -> None:
+    """Deletes the tables that are left."""
+    while _LEFT:
+        path, files = _LEFT.popitem()
+        try:
+            files.delete(path)
+        except Exception:  # the session's JVM is gone
+            _LEFT.clear()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -122,5 +138,6 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """The rows written as a table in the shared folder, and its path."""
     path = fresh_path(df.sparkSession, tag)
+    _LEFT[path] = Files(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
