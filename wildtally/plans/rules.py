@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.functions import pixels, scalars
-from wildtally.operators import charts, events, summaries
+from wildtally.operators import charts, events, ranges, summaries
 from wildtally.plans import analog as A
 from wildtally.plans import grading, stages
 from wildtally.plans.pipeline import stage_figures
@@ -18,6 +18,7 @@ from wildtally.schemas import DETECTION_RECORDS, LABEL_RECORDS, conform
 from wildtally.settings import Settings
 from wildtally.sources.tables import RecordStore, json_lines, load_sidecar, parse_metadata, read_json_records, write_table
 from wildtally.storage import fresh_path
+from wildtally.streaming import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW = datetime(1998, 1, 1)
@@ -202,6 +203,30 @@ def replaced_table(spark: SparkSession, d: str) -> DataFrame:
     return write_table(spark.read.parquet(path).filter("c_custkey % 2 = 0"), path)
 
 
+def retried_records(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as photos of which some fail once, twice or always, fed again until they work or have failed four times."""
+    orders = A.table(spark, d, "orders").select("o_orderkey")
+    store = RecordStore(spark, fresh_path(spark, "retried"), "o_orderkey", orders.select("o_orderkey", F.lit("").alias("error")).schema)
+    fails = F.when(F.col("o_orderkey") % 7 == 0, 9).when(F.col("o_orderkey") % 5 == 0, 2).when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0)
+
+    def attempt(number: int) -> Callable[[DataFrame], DataFrame]:
+        return lambda rows: rows.select("o_orderkey", F.when(fails >= number, F.lit("timeout")).alias("error"))
+
+    store.put(attempt(1)(orders), 0)
+    for number in range(2, 6):
+        folder.feed_again(orders, store, attempt(number), most=4)
+    tries = store.history().groupBy("o_orderkey").agg(F.count("*").alias("n_tries"), F.count_if(F.col("error").isNull()).alias("n_good"))
+    return store.read().join(tries, "o_orderkey")
+
+
+def group_medians(spark: SparkSession, d: str) -> DataFrame:
+    """The exact median price of each kind of line item, by selection; some prices are missing."""
+    price = F.when(F.col("l_partkey") % 9 != 0, F.col("l_extendedprice"))
+    rows = A.table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", price.alias("price"))
+    told = ranges.medians(rows, ["l_returnflag", "l_linestatus"], "price", "median_price", sorted_rows=500)
+    return told.withColumn("median_price", F.round("median_price", 4))
+
+
 def species_bars(spark: SparkSession, d: str) -> DataFrame:
     return charts.top_labels(summaries.species_totals(event_labels(spark, d)), charts.TOP_BARS).select("species", "n_events")
 
@@ -316,6 +341,10 @@ SELECT p_partkey, CASE WHEN ramp THEN round(8.0::DOUBLE * s * s / 18, 3) ELSE 0.
     "torn_lines": (torn_lines, f"SELECT count(*) FILTER (k % 5 < 3) AS torn, count(*) FILTER (k % 5 >= 3) AS good FROM ({_SUPPLIER})"),
     "stored_records": (stored_records, "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS v FROM supplier"),
     "replaced_table": (replaced_table, "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 2 = 0"),
+    "retried_records": (retried_records, """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 9 WHEN o_orderkey % 5 = 0 THEN 2 WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS fails FROM orders)
+SELECT o_orderkey, CASE WHEN fails >= 4 THEN 'timeout' END AS error, least(fails + 1, 4) AS n_tries, CASE WHEN fails < 4 THEN 1 ELSE 0 END AS n_good FROM o"""),
+    "group_medians": (group_medians, "SELECT l_returnflag, l_linestatus, round(median(l_extendedprice) FILTER (l_partkey % 9 <> 0), 4) AS median_price FROM lineitem GROUP BY ALL HAVING count(*) FILTER (l_partkey % 9 <> 0) > 0"),
     "species_bars": (species_bars, sql("folds", "SELECT species, count(DISTINCT event_id) AS n_events FROM event_species GROUP BY species ORDER BY n_events DESC, species LIMIT 15")),
     "graded_visits": (graded_visits, sql("events", _VISITS + ", seen AS (SELECT DISTINCT " + _VISIT + " AS visit_id, true AS seen FROM in_events), meant AS (SELECT visit_id, true AS meant FROM visits WHERE valid_clock)\n"
         + _row("visits seen", "coalesce(seen AND meant, false)", "seen FULL JOIN meant USING (visit_id)"))),
