@@ -14,8 +14,9 @@ PARTS = 32
 
 
 @pytest.fixture()
-def many_ranges(spark):
+def many_ranges(spark, monkeypatch):
     """So many ranges, however few the rows."""
+    monkeypatch.setattr(ranges, "GROUP_ROWS", 0)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", str(PARTS))
     yield spark
@@ -45,6 +46,8 @@ def test_events_of_one_camera_in_many_tasks(many_ranges):
     dealt = ranges.dealt(df.filter("camera_id = 'hot'"), "camera_id", ["timestamp", "rel_path"])
     assert dealt.select(ranges.RANGE).distinct().count() == PARTS
     assert told.count() == df.count() and told.columns == [*df.columns, "event_id"]
+    ranges.GROUP_ROWS = 1_000_000  # the fixture puts it back
+    assert {r.photo_id: r.event_id for r in events.assign_events(df, 60).collect() if r.event_id} == want
 
 
 def test_look_back_over_borders(many_ranges):

@@ -1,4 +1,5 @@
-"""Scans over groups of any size: rows are dealt out by ranges of (group, order), so one group may lie in many tasks.
+"""Scans over groups of any size. Where the largest group is too large for a task, which a count tells first, rows are
+dealt out by ranges of (group, order), so one group may lie in many tasks; else they are plain windows.
 
 What crosses a border between two ranges is found from one small row for each group and range: the last value of a range
 for the row behind it, the count of a range for all ranges behind it, the last few rows for a look-back.
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from wildtally.storage import cut
 
 RANGE = "_range"
+#: A group of so many rows is one task of a window; where one is larger, all are dealt out by ranges. Results are the same.
+GROUP_ROWS = 1_000_000
 #: Rows of a group whose median is taken by sorting them; of a larger group values are counted in buckets first.
 SORTED_ROWS = 100_000
 #: Edges of buckets are approximate quantiles, so each holds about as many rows however values are spread.
@@ -22,7 +25,10 @@ BUCKETS, ACCURACY = 128, 10_000
 
 
 def dealt(rows: DataFrame, by: str, order: Sequence[str]) -> DataFrame:
-    """`rows` with the number of their range, written, so that every reader sees the same ranges."""
+    """`rows` with the number of their range, written, so that every reader sees the same ranges; as they are, without one, if no group is too large for a task."""
+    largest = rows.groupBy(by).count().agg(F.max("count")).first()[0]
+    if (largest or 0) <= GROUP_ROWS:
+        return rows
     return cut(rows.repartitionByRange(by, *order).withColumn(RANGE, F.spark_partition_id()))
 
 
@@ -42,6 +48,8 @@ def _joined(rows: DataFrame, borders: DataFrame, by: str) -> DataFrame:
 
 def with_previous(rows: DataFrame, by: str, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Dealt `rows` with the value of the row before in their group, null for the first; values are never null."""
+    if RANGE not in rows.columns:
+        return rows.withColumn(name, F.lag(value).over(W.partitionBy(by).orderBy(*order)))
     last = rows.groupBy(by, RANGE).agg(F.max_by(value, F.struct(*order)).alias("_last"))
     before = last.select(by, RANGE, F.lag("_last").over(_over(by)).alias("_border"))
     return _joined(rows, before, by).withColumn(name, F.coalesce(F.lag(value).over(_inside(by, order)), "_border")).drop("_border")
@@ -49,6 +57,8 @@ def with_previous(rows: DataFrame, by: str, order: Sequence[str], value: str, na
 
 def with_running_sum(rows: DataFrame, by: str, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Dealt `rows` with the sum of `value` over the rows of their group up to them."""
+    if RANGE not in rows.columns:
+        return rows.withColumn(name, F.sum(value).over(W.partitionBy(by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
     sums = rows.groupBy(by, RANGE).agg(F.sum(value).alias("_sum"))
     before = sums.select(by, RANGE, F.coalesce(F.sum("_sum").over(_over(by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     own = F.sum(value).over(_inside(by, order).rowsBetween(W.unboundedPreceding, 0))
@@ -57,6 +67,8 @@ def with_running_sum(rows: DataFrame, by: str, order: Sequence[str], value: str,
 
 def with_look_back(rows: DataFrame, by: str, order: Sequence[str], value: Column, size: int, prefix: str) -> DataFrame:
     """Dealt `rows` with `value` of each of the `size` rows before in their group, the nearest in `<prefix>1`; null where there is none."""
+    if RANGE not in rows.columns:
+        return rows.withColumns({f"{prefix}{k}": F.lag(value, k).over(W.partitionBy(by).orderBy(*order)) for k in range(1, size + 1)})
     place = F.row_number().over(_inside(by, [F.desc(c) for c in order]))
     late = rows.withColumns({"_place": place, "_value": value}).filter(F.col("_place") <= size)
     nearest = F.transform(F.sort_array(F.collect_list(F.struct("_place", "_value"))), lambda x: x["_value"])
@@ -79,9 +91,9 @@ def medians(rows: DataFrame, by: Sequence[str], value: str, name: str, sorted_ro
     """
     rows = rows.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     sizes = rows.groupBy(*by).agg(F.count("*").alias("_n"))
-    large = cut(sizes.filter(F.col("_n") > sorted_rows))
-    if large.isEmpty():
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= sorted_rows:
         return rows.groupBy(*by).agg(F.median("_v").alias(name))
+    large = cut(sizes.filter(F.col("_n") > sorted_rows))
     small = rows.join(large, [rows[c].eqNullSafe(large[c]) for c in by], "left_anti").groupBy(*by).agg(F.median("_v").alias(name))
     middle = F.posexplode(F.array(F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2))).alias("_which", "_rank")
     nothing = F.lit(None).cast("double")
