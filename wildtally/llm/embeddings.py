@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildtally.llm.components import components
-from wildtally.llm.shared import cut, over_batches, table
+from wildtally.llm.shared import cut, heavy_first, over_batches, table
 
 TABLES, BLOCKS, PROBES = 8, 3, 2
 #: Lattice units for a distance of one between unit vectors after projection to a block, times sqrt(dimensions / 8).
 SCALE = 1.65
+#: Distinct vectors that are sent to every task with their results: at most 80 MB for 1,000 doubles each.
+SENT_VECTORS = 10_000
 
 
 def _shortest() -> np.ndarray:
@@ -267,9 +269,9 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     parts = components(found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "rep")
     told = classes.join(counts, "rep", "left").join(parts, "rep", "left").select(
-        "embedding", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
+        "embedding", "weight", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
     )
-    linked = rows.filter(good).join(told, "embedding").select("id", "n_links", "component_id")
+    linked = heavy_first(rows.filter(good), cut(told), "embedding", "weight", SENT_VECTORS).select("id", "n_links", "component_id")
     alone = rows.filter(~good).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     both = linked.unionByName(alone)
     return both.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

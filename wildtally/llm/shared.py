@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wildtally.storage import cut, fresh_path, remove, shared_folder, stored
 
-__all__ = ["as_bytes", "bounded_sample", "cut", "free_name", "fresh_path", "in_blocks", "matching", "over_batches", "remainder", "remove", "row_key", "shared_folder", "stored", "table"]
+__all__ = ["as_bytes", "bounded_sample", "cut", "free_name", "fresh_path", "heavy_first", "in_blocks", "matching", "over_batches", "remainder", "remove", "row_key", "shared_folder", "stored", "table"]
 
 #: Rows that a Python function sees at a time; texts can be long, so batches are cut to this.
 ROWS_AT_A_TIME = 256
@@ -94,3 +94,19 @@ def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """left_anti or left_semi join of `rows` with the distinct key columns of `keys`, which are counted first."""
     keys = cut(keys.distinct())
     return rows.join(F.broadcast(keys) if keys.count() <= SENT_KEYS else keys, keys.columns, how)
+
+
+def heavy_first(rows: DataFrame, told: DataFrame, on: str, weight: str, most: int = SENT_KEYS) -> DataFrame:
+    """Left join of `rows` to `told`, which has a row for each key `on`, and in `weight` how many of the rows have it.
+
+    Up to `most` keys are sent to every task. Of more, those are sent that over 1 / `most` of the rows have, which can't
+    be more than `most` either, and only rows with other keys are shuffled: so no task gets a large share of the rows,
+    however many a key has. `weight` isn't in the result.
+    """
+    rest = told.drop(weight)
+    held, total = told.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    if held <= most:
+        return rows.join(F.broadcast(rest), on, "left")
+    heavy = told.filter(F.col(weight) > total / most)
+    keys = F.broadcast(heavy.select(on))
+    return rows.join(F.broadcast(heavy.drop(weight)), on).unionByName(rows.join(keys, on, "left_anti").join(told.join(keys, on, "left_anti").drop(weight), on, "left"))

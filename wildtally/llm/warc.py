@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wildtally.llm.shared import SENT_KEYS, as_bytes, cut, fresh_path, over_batches, stored, table
+from wildtally.llm.shared import SENT_KEYS, as_bytes, cut, fresh_path, heavy_first, over_batches, stored, table
 
 INDEX = (
     "page_id long, url string, file string, offset long, length long, payload_bytes long, payload_digest string, "
@@ -75,19 +75,18 @@ def with_originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     A null html counts as an empty payload. Rows that share the largest page_id are all responses, and so are rows
     without a page_id and payloads under `least_bytes`. Only digests travel to find repeats; those that repeat are sent
-    to all tasks if there are SENT_KEYS at most, else the pages are joined to them by a shuffle.
+    to all tasks if there are SENT_KEYS at most. Of more, the frequent ones are sent, and pages with other digests are
+    joined to theirs by a shuffle, so copies of one page aren't one task, however many.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     sha1, long_enough = F.unhex(F.sha1(F.encode(html, "utf-8"))), F.octet_length(html) >= least_bytes
     repeated = cut(
         pages.filter(long_enough).select("page_id", sha1.alias("sha1")).groupBy("sha1")
-        .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1").select("sha1", "last")
+        .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1").select("sha1", "last", "n")
     )
-    if repeated.count() <= SENT_KEYS:  # the pages stay where they are
-        repeated = F.broadcast(repeated)
     is_repeat = long_enough & (F.col("page_id") != F.col("last"))
-    keyed = pages.select("page_id", "url", "html", sha1.alias("sha1"))
-    return keyed.join(repeated, "sha1", "left").select("page_id", "url", "html", F.when(is_repeat, F.col("last")).alias("refers_to"))
+    keyed = heavy_first(pages.select("page_id", "url", "html", sha1.alias("sha1")), repeated, "sha1", "n", SENT_KEYS)
+    return keyed.select("page_id", "url", "html", F.when(is_repeat, F.col("last")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, max_bytes: int = 256 << 20, level: int = 6) -> DataFrame:
