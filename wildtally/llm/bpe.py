@@ -244,7 +244,8 @@ def token_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 def op7_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length and digests of every document's ids and of the text decoded from them.
 
-    A null or empty text has no ids. Repeated rows and rows without an id stay; an empty table gives no rows.
+    A null or empty text has no ids. Repeated rows and rows without an id stay; an empty table gives no rows. Texts of any
+    length are encoded whole; other columns are not looked at.
     """
     import public_tokenizers
 

@@ -334,7 +334,8 @@ def op2_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those that aren't held out.
 
     Null, empty and letterless texts are `und` with score 0. Of languages that tie the first by name counts. Repeated
-    rows and rows without an id stay. Without labelled texts all are `und`; an empty table gives no rows.
+    rows and rows without an id stay. Without labelled texts all are `und`; an empty table gives no rows. Texts and words
+    of any length are read whole; other columns are not looked at.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs, learn(docs.filter(remainder() != 0)))

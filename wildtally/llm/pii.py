@@ -399,7 +399,7 @@ def op3_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base spans, and all spans.
 
     A null or empty text has none. Spans that begin together come in the order of their kinds. Repeated rows and rows
-    without an id stay. An empty table gives no rows. Other columns are not looked at.
+    without an id stay. An empty table gives no rows. Other columns are not looked at; texts of any length are read whole.
     """
     docs = table(spark, sf_dir, "documents")
     found = find_personal_data(docs, learn(docs))

@@ -249,6 +249,7 @@ def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document.
 
     Null, empty and blank texts have fingerprint zero and link like any other. A bit set in half the shingles is 0.
-    Repeated rows and rows without an id stay. An empty table gives no rows. Other columns are not looked at.
+    Repeated rows and rows without an id stay. An empty table gives no rows. Other columns are not looked at;
+    texts of any length are read whole.
     """
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
