@@ -173,6 +173,22 @@ def test_near_duplicates_of_the_pipeline_are_verified(spark, sizes):
     assert sum(found[2 * k] != found[2 * k + 1] for k in range(60)) >= 20
 
 
+def test_candidates_of_the_pipeline_come_from_fingerprints_first(spark, monkeypatch):
+    rnd = random.Random(3)
+    base = [["".join(rnd.choices("abcdefgh", k=5)) for _ in range(300)] for _ in range(6)]
+    docs = documents(spark, [" ".join(x) for b in base for x in (b, [*b[:150], "odd", *b[151:]])])
+    seen, rest = [], resemblance.candidates
+
+    def none_left(sets, cell_rows, joined):
+        seen.append(joined.count())
+        found = rest(sets, cell_rows, joined)
+        assert found.isEmpty()  # what the fingerprints' links connect is not proposed again
+        return found
+
+    monkeypatch.setattr(resemblance, "candidates", none_left)
+    assert simhash.one_of_each(docs).count() == 6 and seen == [12]
+
+
 def test_cells_meet():
     rng = np.random.default_rng(6)
     for bits, (widths, shared) in simhash.PARTITIONS.items():

@@ -1,6 +1,7 @@
 """Groups of texts that resemble each other: Jaccard similarity of their sets of five-word shingles, verified exactly.
 
-MinHash only proposes. Every distinct set has HASHES least hashes, dealt to bands of ROWS: sets that agree in a whole
+What a caller has proposed (`near` of groups(): in the pipeline SimHash fingerprints compared through pivot tables) is
+verified first. MinHash then proposes only what that left apart. Every distinct set has HASHES least hashes, dealt to bands of ROWS: sets that agree in a whole
 band share a cell, which two sets of similarity 0.8 miss with probability (1 - 0.8 ** 4) ** 16 = 0.0002. In a cell, sets
 that agree in ALIKE of all hashes are tied (at 0.8, fewer agree with a probability of about 1e-7), so unlike texts that
 share a passage don't grow into one. What ties connect is a candidate group.
@@ -31,6 +32,9 @@ CELL_ROWS, GROUP_SHINGLES, LEADERS = 512, 200_000, 8
 FACTORS = np.random.default_rng(80).integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 SEED = 42
 
+#: Two 64-bit fingerprints of a text, given with its set of shingles.
+Prints = Callable[[bytes, np.ndarray], tuple[int, int]]
+
 
 def shingles(data: bytes, words: int = 5) -> np.ndarray:
     """Distinct XXH64 of all shingles (ASCII lower case, ASCII white space), ascending; a shorter text is one shingle."""
@@ -154,13 +158,24 @@ def first_round(rows: DataFrame, large: DataFrame | None, group: str) -> DataFra
     return told.withColumn("task", F.explode(tasks)).drop("parts", "leaders")
 
 
+def labels_of(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """`rows` with label: the component of their node in `joined` (node, component), the node itself if it has none."""
+    if joined is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(joined.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def apart(rows: DataFrame, group: str) -> DataFrame:
+    """The groups of `rows` (group, label) with members of different labels."""
+    return rows.groupBy(group).agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a <> _b").select(group)
+
+
 def second_round(rows: DataFrame, large: DataFrame, group: str, joined: DataFrame, weight: F.Column, limit: int) -> DataFrame | None:
     """`rows` of large groups whose members `joined` (node, component) leaves in several components, with the column task: those apart from the group's most common component meet all. None if there are none."""
-    member = rows.join(large.select(group, "parts"), group).join(joined.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    member = labels_of(rows.join(large.select(group, "parts"), group), joined)
     common = member.groupBy(group, "label").count().groupBy(group).agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     member = cut(member.join(common, group))
-    apart = member.filter("label <> main")
-    rest = cut(apart.groupBy(group).agg(F.ceil(F.sum(weight) / limit).cast("int").alias("others")))
+    rest = cut(member.filter("label <> main").groupBy(group).agg(F.ceil(F.sum(weight) / limit).cast("int").alias("others")))
     if rest.isEmpty():
         return None
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -175,17 +190,20 @@ def in_tasks(rows: DataFrame, group: str) -> DataFrame:
     return rows.repartition(group, "task").sortWithinPartitions(group, "task")
 
 
-def sketches(docs: DataFrame, words: int, key: str) -> DataFrame:
-    """key, node (names the set of shingles), n (its size), sketch of every whole text."""
+def sketches(docs: DataFrame, words: int, key: str, prints: Prints | None = None) -> DataFrame:
+    """key, node (names the set of shingles), n (its size), sketch, fingerprint, second of every whole text; without `prints` the last two are 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(x, words) for x in as_bytes(batch.column(1))]
+            texts = as_bytes(batch.column(1))
+            sets = [shingles(x, words) for x in texts]
+            both = np.array([prints(x, s) if prints else (0, 0) for x, s in zip(texts, sets, strict=True)], np.uint64).reshape(-1, 2).view(np.int64)
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], names=[key, "node", "n", "sketch"])
+            told = [pa.array(node), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()), pa.array(both[:, 0]), pa.array(both[:, 1])]
+            yield pa.record_batch([batch.column(0), *told], names=[key, "node", "n", "sketch", "fingerprint", "second"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, "text").mapInArrow(over_batches(work), f"`{key}` {kind}, node long, n long, sketch binary")
+    return docs.select(key, "text").mapInArrow(over_batches(work), f"`{key}` {kind}, node long, n long, sketch binary, fingerprint long, second long")
 
 
 def connected(rows: DataFrame, group: str, weight: F.Column, limit: int, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -199,12 +217,12 @@ def connected(rows: DataFrame, group: str, weight: F.Column, limit: int, links:
     return joined if more is None else components(found.unionByName(links(more)))
 
 
-def candidates(sets: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """node, component: each candidate group; `sets` has a row for each node: node, sketch."""
+def candidates(sets: DataFrame, cell_rows: int = CELL_ROWS, joined: DataFrame | None = None) -> DataFrame:
+    """node, component: each candidate group; `sets` has a row for each node: node, sketch. Cells and groups that `joined` (node, component) has connected already are left out."""
     width = 4 * ROWS
     cells = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * width + 1, width)) for k in range(HASHES // ROWS)])
-    member = sets.select("node", F.explode(cells).alias("cell"))
-    full = member.groupBy("cell").count().filter("count > 1").select("cell")
+    member = labels_of(sets, joined).select("node", "label", F.explode(cells).alias("cell"))
+    full = apart(member, "cell")
     met = cut(member.join(full, "cell").select("cell", "node"))
 
     def roots(held: list[pa.RecordBatch]) -> np.ndarray:
@@ -214,7 +232,8 @@ def candidates(sets: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
         rows = tasks.join(sets.select("node", "sketch"), "node").select("cell", "task", "node", "sketch")
         return in_tasks(rows, "cell").mapInArrow(in_groups(roots), "a long, b long")
 
-    return connected(met, "cell", F.lit(1), cell_rows, links)
+    found = connected(met, "cell", F.lit(1), cell_rows, links)
+    return found if joined is None else found.join(apart(labels_of(found, joined), "component"), "component").select("node", "component")
 
 
 def verified(docs: DataFrame, sets: DataFrame, proposed: DataFrame, least: float, words: int, key: str, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
@@ -235,15 +254,26 @@ def verified(docs: DataFrame, sets: DataFrame, proposed: DataFrame, least: float
     return connected(chosen, "group", F.col("n"), group_shingles, links)
 
 
-def groups(docs: DataFrame, key: str = "key", least: float = 0.8, words: int = 5, cell_rows: int = CELL_ROWS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+def groups(
+    docs: DataFrame, key: str = "key", least: float = 0.8, words: int = 5, cell_rows: int = CELL_ROWS, group_shingles: int = GROUP_SHINGLES,
+    prints: Prints | None = None, near: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """key, component_id (the smallest key that links of similarity `least` or more reach, itself included).
 
     One row for each row of `docs` (key, text); keys are non-null, and rows with the same key have the same text. Blank
-    and null texts are alike.
+    and null texts are alike. `near` proposes groups (node, component) from node, fingerprint, second, which `prints`
+    makes; MinHash proposes what their verified links leave apart.
     """
-    own = cut(sketches(docs, words, key))
-    sets = cut(own.groupBy("node").agg(F.min(F.struct(F.col(key), "n", "sketch")).alias("r")).select("node", F.col(f"r.{key}").alias("first"), "r.n", "r.sketch"))
-    joined = verified(docs, sets.drop("sketch"), candidates(sets, cell_rows), least, words, key, group_shingles)
+    own = cut(sketches(docs, words, key, prints))
+    sets = own.groupBy("node").agg(F.min(F.struct(F.col(key), "n", "sketch", "fingerprint", "second")).alias("r"))
+    sets = cut(sets.select("node", F.col(f"r.{key}").alias("first"), "r.n", "r.sketch", "r.fingerprint", "r.second"))
+    check = lambda proposed: verified(docs, sets.select("node", "first", "n"), proposed, least, words, key, group_shingles)
+    if near:
+        early = cut(check(near(sets.select("node", "fingerprint", "second"))))
+        late = cut(check(candidates(sets, cell_rows, early)))
+        joined = components(early.unionByName(late).select(F.col("node").alias("a"), F.col("component").alias("b")))
+    else:
+        joined = check(candidates(sets, cell_rows))
     labelled = cut(sets.select("node", "first").join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root")))
     roots = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(roots, "root").select("node", "component_id")

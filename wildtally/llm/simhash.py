@@ -12,8 +12,10 @@ so cells don't fill with strangers. A cell of more than `cell_rows` members is d
 through common leaders, and only what they leave apart meets all parts. A cell returns a forest of its links, never all
 pairs.
 
-one_of_each() needs a similarity of 0.8 or more on five-word shingles, which is about 10 of 64 bits and too wide for an
-exact partition, so it takes its groups from wildtally.llm.resemblance, which verifies that similarity itself.
+one_of_each() needs a similarity of 0.8 or more on five-word shingles. Its candidates are fingerprints of two-word
+shingles within NEAR bits, compared as above, whose five-word fingerprints lie within NEAR_SECOND bits; every link is
+verified by the exact similarity (wildtally.llm.resemblance). At 0.8 texts may lie further apart than any exact partition
+reaches, so pairs that this leaves apart are proposed by MinHash, and verified likewise.
 """
 
 from __future__ import annotations
@@ -55,6 +57,8 @@ def key_blocks(bits: int, count: int) -> tuple[tuple[int, ...], int]:
 
 
 SEED = 42
+#: Differing bits of candidates of one_of_each(), by fingerprints of two-word and of five-word shingles.
+NEAR, NEAR_SECOND = 7, 14
 
 
 def fingerprint(data: bytes, words: int) -> int:
@@ -77,6 +81,12 @@ def fingerprint(data: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(one * 2 > len(first)).tobytes(), "big")
 
 
+def both_prints(data: bytes, found: np.ndarray) -> tuple[int, int]:
+    """The fingerprint over two-word shingles, and the majority bits of the distinct five-word shingles' hashes, which are known."""
+    one = np.unpackbits(found.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return fingerprint(data, 2), int.from_bytes(np.packbits(one * 2 > len(found)).tobytes(), "big") if len(found) else 0
+
+
 def fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text", second_words: int = 0) -> DataFrame:
     """id, fingerprint, second (64 bits as a long each; 0 without second_words) of every whole text; blank ones have 0."""
 
@@ -235,7 +245,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     whole = free_name(docs, "_key")
     named = docs.withColumn(whole, row_key()).withColumns({k: F.col(f"`{whole}`.k{n}") for n, k in enumerate(key, 1)}).drop(whole)
     order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), *key).alias("key")
-    found = cut(groups(named.select(order, "text")))
+    found = cut(groups(named.select(order, "text"), prints=both_prints, near=lambda prints: linked(prints, NEAR, NEAR_SECOND)))
     of = lambda df: df.select(*[f"key.{k}" for k in key])
     rest = matching(named, of(found.filter("key <> component_id")), "left_anti")
     repeated = cut(of(found.filter("key = component_id")).groupBy(*key).count().filter("count > 1").select(*key))
