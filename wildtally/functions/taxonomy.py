@@ -6,6 +6,8 @@ from class down to some level, joined by semicolons; the empty lineage is unreso
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,22 +16,28 @@ LEVELS = ("class", "order", "family", "genus", "species")
 UNRESOLVED = "animal (unresolved)"
 
 _SPACE = r"^\s+|\s+$"
+#: White space and what may end a line: a text without any of these at both ends is stripped already.
+_EDGES = " \t\n\v\f\r\u0085\u2028\u2029"
 
 
 def _levels() -> Column:
     return F.array(*map(F.lit, LEVELS))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once for each row, however often it is named; inside lambdas Spark shares nothing itself."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def stripped(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(text, _SPACE, "")
+    return F.when(text == F.btrim(text, F.lit(_EDGES)), text).otherwise(F.regexp_replace(text, _SPACE, ""))
 
 
 def taxonomy_fields(label: Column) -> Column:
     """The five taxonomy fields, lower-cased and stripped; empty texts for a bare name."""
-    parts = F.split(label, ";")
-    taxa = F.transform(F.slice(parts, 2, 5), lambda x: F.lower(stripped(x)))
-    return F.when(F.size(parts) >= 7, taxa).otherwise(F.array(*[F.lit("")] * 5))
+    taxa = lambda parts: F.transform(F.slice(parts, 2, 5), lambda x: F.lower(stripped(x)))
+    return bound(F.split(label, ";"), lambda parts: F.when(F.size(parts) >= 7, taxa(parts)).otherwise(F.array(*[F.lit("")] * 5)))
 
 
 def depth_of(fields: Column) -> Column:
@@ -85,23 +93,24 @@ def scored_labels(classes: Column, scores: Column) -> Column:
     pairs = F.arrays_zip(F.slice(classes, F.lit(1), F.greatest(n, F.lit(0))).alias("c"), F.slice(scores, F.lit(1), F.greatest(n, F.lit(0))).alias("s"))
     return F.transform(
         pairs,
-        lambda p: F.struct(
-            taxonomy_fields(p["c"]).alias("fields"),
-            depth_of(taxonomy_fields(p["c"])).alias("depth"),
-            common_name(p["c"]).alias("name"),
-            p["s"].cast("double").alias("score"),
-        ),
-    )
+        lambda p: bound(taxonomy_fields(p["c"]), lambda f: F.struct(
+            f.alias("fields"), depth_of(f).alias("depth"), common_name(p["c"]).alias("name"), p["s"].cast("double").alias("score"),
+        )),
+    )
 
 
-def _best_at(labels: Column, depth: int) -> Column:
-    """struct<minus, lineage> of the group with the largest summed score at a depth, ties by smallest lineage."""
-    deep = F.filter(labels, lambda x: x["depth"] >= depth)
-    keys = F.array_distinct(F.transform(deep, lambda x: lineage_of(x["fields"], depth)))
-    total = lambda key: F.aggregate(F.filter(deep, lambda x: lineage_of(x["fields"], depth) == key), F.lit(0.0), lambda a, x: a + x["score"])
+def _best_at(labels: Column) -> Column:
+    """struct<minus, lineage> of the group with the largest summed score at a depth, ties by smallest lineage; `labels` has lineage, score of those so deep."""
+    total = lambda key: F.aggregate(labels, F.lit(0.0), lambda a, x: F.when(x["lineage"] == key, a + x["score"]).otherwise(a))
+    keys = F.array_distinct(F.transform(labels, lambda x: x["lineage"]))
     return F.array_min(F.transform(keys, lambda k: F.struct((-total(k)).alias("minus"), k.alias("lineage"))))
 
 
+def _at_depth(labels: Column, depth: int) -> Column:
+    deep = F.filter(labels, lambda x: x["depth"] >= depth)
+    return F.transform(deep, lambda x: F.struct(lineage_of(x["fields"], depth).alias("lineage"), x["score"].alias("score")))
+
+
 def roll_up(labels: Column, threshold: float) -> Column:
     """struct<species, score, level, lineage> for an array from scored_labels.
 
@@ -114,10 +123,15 @@ def roll_up(labels: Column, threshold: float) -> Column:
     none = call(F.lit(UNRESOLVED), F.coalesce(top["score"], F.lit(0.0)), F.lit("unresolved"), F.lit(""))
     taxon = call(top["name"], top["score"], F.try_element_at(_levels(), F.greatest(top["depth"], F.lit(1))), lineage_of(top["fields"], top["depth"]))
     result = F.when(top.isNull(), none).when((top["score"] >= threshold) & (top["depth"] == 0), none).when(top["score"] >= threshold, taxon)
-    for depth in range(4, 0, -1):
-        best = _best_at(labels, depth)
-        result = result.when(-best["minus"] >= threshold, call(label_for_lineage(best["lineage"]), -best["minus"], F.lit(LEVELS[depth - 1]), best["lineage"]))
-    return result.otherwise(none)
+
+    def summed(depth: int) -> Column:
+        if not depth:
+            return none
+        found = lambda best: call(label_for_lineage(best["lineage"]), -best["minus"], F.lit(LEVELS[depth - 1]), best["lineage"])
+        tried = lambda best: F.when(-best["minus"] >= threshold, found(best)).otherwise(summed(depth - 1))
+        return bound(_at_depth(labels, depth), lambda deep: bound(_best_at(deep), tried))
+
+    return result.otherwise(summed(4))
 
 
 def folded(labels: Column) -> Column:
