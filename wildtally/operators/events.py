@@ -9,6 +9,7 @@ from wildtally.functions.scalars import event_name, micros_between, seconds_betw
 from wildtally.functions.taxonomy import reconciled
 from wildtally.operators import ranges
 from wildtally.schemas import EVENT_SPECIES, EVENTS, conform
+from wildtally.storage import cut
 
 BY_TIME = ("timestamp", "rel_path")
 
@@ -34,9 +35,10 @@ def resolve_labels(rows: DataFrame, most_animals: DataFrame) -> DataFrame:
     """Rows event_id, photo_id, species, lineage, ... with the labels of each event reconciled.
 
     The labels of an event are few (distinct taxa), so they are gathered into one array each; a name with two lineages
-    keeps that of its last row by photo and lineage. Everything is keyed by event alone, so rows move once.
+    keeps that of its last row by photo and lineage. Rows are read twice, so they are written: plans that need different
+    columns share no shuffle, and would work the rows out twice.
     """
-    rows = rows.repartition("event_id")
+    rows = cut(rows)
     one = rows.groupBy("event_id", "species").agg(
         F.min(F.struct("photo_id", "lineage")).alias("first"), F.max_by("lineage", F.struct("photo_id", "lineage")).alias("lineage")
     )
@@ -94,9 +96,15 @@ def with_primary(events: DataFrame, labels: DataFrame) -> DataFrame:
     return conform(told, EVENTS)
 
 
-def build_events(photos: DataFrame, per_photo: DataFrame, gap_s: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Photos with event_id, events, event_species."""
-    photos = assign_events(photos, gap_s)
+def build_events(photos: DataFrame, per_photo: DataFrame, gap_s: float, keep_labels: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Photos with event_id, events, event_species.
+
+    Photos are read by all that follows, so they are written once; with `keep_labels` so is event_species, for those who
+    use it beside the events.
+    """
+    photos = cut(assign_events(photos, gap_s))
     events = events_of(photos)
     labels = event_species(photos.filter(F.col("event_id").isNotNull()), per_photo, events)
+    if keep_labels:
+        labels = cut(labels)
     return photos, with_primary(events, labels), labels

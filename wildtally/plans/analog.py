@@ -49,18 +49,27 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.add_flags(measured(spark, sf_dir), QUALITY).drop("camera_id", "rel_path", "timestamp", "timestamp_valid")
 
 
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Media with flags, without groups: no chain is followed."""
+    return Q.photo_flags(measured(spark, sf_dir), QUALITY)
+
+
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flags of each photo, without groups: no chain is followed."""
-    return Q.photo_flags(measured(spark, sf_dir), QUALITY).drop("camera_id", "rel_path", "timestamp", "timestamp_valid", "parent")
+    """The flags of flagged() alone."""
+    return flagged(spark, sf_dir).drop("camera_id", "rel_path", "timestamp", "timestamp_valid", "parent")
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.desc("conf"), *map(F.col, ("l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity", "l_tax"))]
     named = F.create_map(*[F.lit(x) for x in ("A", "animal", "N", "person", "R", "vehicle")])
     rows = table(spark, sf_dir, "lineitem").withColumns({"conf": F.col("l_discount") * 10, "photo_id": F.col("l_orderkey").cast("string")})
-    return rows.select(
-        "photo_id", (F.row_number().over(W.partitionBy("photo_id").orderBy(*order)) - 1).cast("long").alias("box_idx"),
-        F.try_element_at(named, F.col("l_returnflag")).alias("category"), "conf", (F.col("l_partkey") % 80 / 100.0).alias("x"), (F.col("l_suppkey") % 70 / 100.0).alias("y"),
+    # what is made of the columns is made behind the window, so that all readers move the same columns and share one shuffle
+    placed = rows.select(
+        "photo_id", "conf", (F.row_number().over(W.partitionBy("photo_id").orderBy(*order)) - 1).cast("long").alias("box_idx"),
+        "l_returnflag", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax",
+    )
+    return placed.select(
+        "photo_id", "box_idx", F.try_element_at(named, F.col("l_returnflag")).alias("category"), "conf", (F.col("l_partkey") % 80 / 100.0).alias("x"), (F.col("l_suppkey") % 70 / 100.0).alias("y"),
         (F.col("l_linenumber") / 50.0 + 0.1).alias("w"), (F.col("l_quantity") / 200.0 + 0.05).alias("h"), F.col("l_partkey"),
         F.round(F.col("l_tax") * 10, 4).alias("score"),
     )

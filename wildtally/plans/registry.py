@@ -11,7 +11,6 @@ from wildtally.functions import scalars, taxonomy
 from wildtally.operators import charts, events, incremental, photos, quality, summaries
 from wildtally.plans import analog as A
 from wildtally.plans import grading
-from wildtally.storage import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 PHOTO_COLUMNS = (
@@ -37,8 +36,8 @@ def counted_photos(spark: SparkSession, d: str) -> DataFrame:
     return whole.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_animals", "n_people", "n_vehicles")})
 
 
-def built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return events.build_events(counted_photos(spark, d), per_photo(spark, d), A.GAP_S)
+def built(spark: SparkSession, d: str, keep_labels: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return events.build_events(counted_photos(spark, d), per_photo(spark, d), A.GAP_S, keep_labels)
 
 
 def sessions(spark: SparkSession, d: str) -> DataFrame:
@@ -78,7 +77,7 @@ def boxes_by_photo(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_labels(spark: SparkSession, d: str) -> DataFrame:
-    return built(spark, d)[2]
+    return built(spark, d, keep_labels=True)[2]
 
 
 def event_table(spark: SparkSession, d: str) -> DataFrame:
@@ -99,9 +98,9 @@ def by_camera(spark: SparkSession, d: str) -> DataFrame:
 
 
 def overview(spark: SparkSession, d: str) -> DataFrame:
-    """Events and labels are figures of one row each, so they are written once and read by both."""
-    _, found, labels = built(spark, d)
-    return summaries.overview(photo_table(spark, d), found, cut(labels))
+    """Labels are written once and read by both figures of them; photos need clocks and flags alone, no boxes."""
+    _, found, labels = built(spark, d, keep_labels=True)
+    return summaries.overview(A.flagged(spark, d), found, labels)
 
 
 def rolled_up(spark: SparkSession, d: str) -> DataFrame:
