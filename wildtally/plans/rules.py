@@ -17,7 +17,7 @@ from wildtally.plans.registry import built, counted_photos, event_labels, gaps,
 from wildtally.schemas import DETECTION_RECORDS, LABEL_RECORDS, conform
 from wildtally.settings import Settings
 from wildtally.sources.tables import RecordStore, json_lines, load_sidecar, parse_metadata, read_json_records, write_table
-from wildtally.storage import fresh_path
+from wildtally.storage import cut, fresh_path
 from wildtally.streaming import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,12 +231,12 @@ def species_bars(spark: SparkSession, d: str) -> DataFrame:
     return charts.top_labels(summaries.species_totals(event_labels(spark, d)), charts.TOP_BARS).select("species", "n_events")
 
 
-def with_visits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Photos of events with the truth that a camera's year is one visit, and these visits."""
+def with_visits(spark: SparkSession, d: str, photos: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Photos of events (`photos` if they are known) with the truth that a camera's year is one visit, and these visits."""
     year = F.year("timestamp")
     key = F.regexp_extract("camera_id", r"(\d+)", 1).cast("long")
     visit = (key * 10_000 + year).alias("truth_visit_id")
-    whole = events.assign_events(counted_photos(spark, d), A.GAP_S).select("*", visit)
+    whole = (events.assign_events(counted_photos(spark, d), A.GAP_S) if photos is None else photos).select("*", visit)
     kinds = F.element_at(F.array(*map(F.lit, ("animal", "person", "vehicle", "empty"))), ((key + year) % 4 + 1).cast("int"))
     visits = A.media(spark, d).select(visit, kinds.alias("kind"), (year % 3).cast("long").alias("count"), ((key + year) % 5 != 0).alias("valid_clock")).distinct()
     return whole, visits.withColumnRenamed("truth_visit_id", "visit_id").withColumn("species", F.concat(F.lit("kind "), F.col("visit_id") % 32))
@@ -248,9 +248,9 @@ def graded_visits(spark: SparkSession, d: str) -> DataFrame:
 
 def graded_events(spark: SparkSession, d: str) -> DataFrame:
     """Types, counts and species of events against their visits."""
-    whole, visits = with_visits(spark, d)
-    _, found, labels = built(spark, d)
-    observed = grading.observed_visits(whole, found, visits)
+    photos, found, labels = built(spark, d, keep_labels=True)
+    whole, visits = with_visits(spark, d, photos)
+    observed = cut(grading.observed_visits(whole, found, visits))
     kind = F.col("id")
     levels = [F.concat(F.lit(n), kind % m) for n, m in (("class", 2), ("order", 4), ("family", 8), ("genus", 16), ("species", 32))]
     lineages = spark.range(32).select(F.concat(F.lit("kind "), kind).alias("species"), F.concat_ws(";", *levels).alias("lineage"))
