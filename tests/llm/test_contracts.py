@@ -214,6 +214,31 @@ def test_one_of_each_keeps_all_columns_and_one_row(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "other"), (2, "same words here")]
 
 
+def test_components_take_few_plans_where_few_edges_are_left(spark, monkeypatch):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(0, 300) if k % 50] + [(7, 7)], "a long, b long")
+    found, jobs = [], []
+    for rest in (4096, 20, 0):
+        monkeypatch.setattr(components, "REST", rest)
+        spark.sparkContext.setJobGroup(f"components-{rest}", "")
+        found.append({r.node: r.component for r in components.components(edges).collect()})
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components-{rest}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found[0] == found[1] == found[2] == {k: (k - 1) // 50 * 50 + 1 for k in range(1, 301)}
+    assert jobs[0] <= 12 < jobs[2]
+
+
+def test_pipeline_plans_few_jobs_for_near_duplicates(spark):
+    rnd = random.Random(3)
+    base = [["".join(rnd.choices("abcdefgh", k=5)) for _ in range(60)] for _ in range(20)]
+    docs = documents(spark, [" ".join(x) for b in base for x in (b, [*b, "odd"], ["even", *b])])
+    spark.sparkContext.setJobGroup("one_of_each", "")
+    kept = simhash.one_of_each(docs).count()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one_of_each"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    print("jobs", jobs)
+    assert kept == 20 and jobs <= 90  # each holds plans and code in the driver's memory; 5 runs of components() took more
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 90), (100, 80), (7, 7), (0, 1)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

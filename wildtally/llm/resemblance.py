@@ -1,8 +1,8 @@
 """Groups of texts that resemble each other: Jaccard similarity of their sets of five-word shingles, verified exactly.
 
-What a caller has proposed (`near` of groups(): in the pipeline SimHash fingerprints compared through pivot tables) is
-verified first. MinHash then proposes only what that left apart. Every distinct set has HASHES least hashes, dealt to bands of ROWS: sets that agree in a whole
-band share a cell, which two sets of similarity 0.8 miss with probability (1 - 0.8 ** 4) ** 16 = 0.0002. In a cell, sets
+What a caller proposes (`near` of groups(): in the pipeline SimHash fingerprints compared through pivot tables) comes
+first, and MinHash adds only what that leaves apart; both together are verified once. Every distinct set has HASHES
+least hashes, dealt to bands of ROWS: sets that agree in a whole band share a cell, which two sets of similarity 0.8 miss with probability (1 - 0.8 ** 4) ** 16 = 0.0002. In a cell, sets
 that agree in ALIKE of all hashes are tied (at 0.8, fewer agree with a probability of about 1e-7), so unlike texts that
 share a passage don't grow into one. What ties connect is a candidate group.
 
@@ -206,19 +206,29 @@ def sketches(docs: DataFrame, words: int, key: str, prints: Prints | None = None
     return docs.select(key, "text").mapInArrow(over_batches(work), f"`{key}` {kind}, node long, n long, sketch binary, fingerprint long, second long")
 
 
-def connected(rows: DataFrame, group: str, weight: F.Column, limit: int, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """node, component of all nodes that links within a group connect; `rows` has each member of a group once, `links` gives the links (a, b) within tasks of rows."""
+def as_links(joined: DataFrame) -> DataFrame:
+    """node, component as links a, b."""
+    return joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def connected(rows: DataFrame, group: str, weight: F.Column, limit: int, links: Callable[[DataFrame], DataFrame], known: DataFrame | None = None) -> DataFrame:
+    """node, component of all nodes that links within a group, or `known` (node, component), connect; `rows` has each member of a group once, `links` gives the links (a, b) within tasks of rows."""
     large = parts_of(rows, group, weight, limit)
-    found = cut(links(first_round(rows, large, group)))
-    joined = components(found)
+    found = links(first_round(rows, large, group))
+    joined = components(found if known is None else found.unionByName(as_links(known)))
     if large is None:
         return joined
-    more = second_round(rows, large, group, cut(joined), weight, limit)
-    return joined if more is None else components(found.unionByName(links(more)))
+    joined = cut(joined)
+    more = second_round(rows, large, group, joined, weight, limit)
+    return joined if more is None else components(as_links(joined).unionByName(links(more)))
 
 
 def candidates(sets: DataFrame, cell_rows: int = CELL_ROWS, joined: DataFrame | None = None) -> DataFrame:
-    """node, component: each candidate group; `sets` has a row for each node: node, sketch. Cells and groups that `joined` (node, component) has connected already are left out."""
+    """node, component: each candidate group; `sets` has a row for each node: node, sketch.
+
+    With `joined` (node, component) its groups are connected, too; cells and groups that it has connected already are
+    left out.
+    """
     width = 4 * ROWS
     cells = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * width + 1, width)) for k in range(HASHES // ROWS)])
     member = labels_of(sets, joined).select("node", "label", F.explode(cells).alias("cell"))
@@ -232,8 +242,11 @@ def candidates(sets: DataFrame, cell_rows: int = CELL_ROWS, joined: DataFrame |
         rows = tasks.join(sets.select("node", "sketch"), "node").select("cell", "task", "node", "sketch")
         return in_tasks(rows, "cell").mapInArrow(in_groups(roots), "a long, b long")
 
-    found = connected(met, "cell", F.lit(1), cell_rows, links)
-    return found if joined is None else found.join(apart(labels_of(found, joined), "component"), "component").select("node", "component")
+    found = connected(met, "cell", F.lit(1), cell_rows, links, joined)
+    if joined is None:
+        return found
+    found = cut(found)
+    return found.join(apart(labels_of(found, joined), "component"), "component").select("node", "component")
 
 
 def verified(docs: DataFrame, sets: DataFrame, proposed: DataFrame, least: float, words: int, key: str, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
@@ -262,18 +275,18 @@ def groups(
 
     One row for each row of `docs` (key, text); keys are non-null, and rows with the same key have the same text. Blank
     and null texts are alike. `near` proposes groups (node, component) from node, fingerprint, second, which `prints`
-    makes; MinHash proposes what their verified links leave apart.
+    makes; MinHash adds what they leave apart, and all groups are verified together.
     """
     own = cut(sketches(docs, words, key, prints))
     sets = own.groupBy("node").agg(F.min(F.struct(F.col(key), "n", "sketch", "fingerprint", "second")).alias("r"))
     sets = cut(sets.select("node", F.col(f"r.{key}").alias("first"), "r.n", "r.sketch", "r.fingerprint", "r.second"))
-    check = lambda proposed: verified(docs, sets.select("node", "first", "n"), proposed, least, words, key, group_shingles)
     if near:
-        early = cut(check(near(sets.select("node", "fingerprint", "second"))))
-        late = cut(check(candidates(sets, cell_rows, early)))
-        joined = components(early.unionByName(late).select(F.col("node").alias("a"), F.col("component").alias("b")))
+        early = cut(near(sets.select("node", "fingerprint", "second")))
+        late = cut(candidates(sets, cell_rows, early))
+        proposed = early.join(late.select("node"), "node", "left_anti").unionByName(late)
     else:
-        joined = check(candidates(sets, cell_rows))
+        proposed = candidates(sets, cell_rows)
+    joined = verified(docs, sets.select("node", "first", "n"), proposed, least, words, key, group_shingles)
     labelled = cut(sets.select("node", "first").join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root")))
     roots = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(roots, "root").select("node", "component_id")
