@@ -56,6 +56,29 @@ def test_chunks_are_reused_and_joins_repaired():
     assert coder._grown(b"hello wor", b"ld again") == packed(library_ids("hello world again"))
 
 
+def test_words_are_encoded_once(monkeypatch):
+    rnd, given, library = random.Random(8), [], bpe.ChunkEncoder._library
+    monkeypatch.setattr(bpe.ChunkEncoder, "_library", lambda self, texts: [given.extend(texts), library(self, texts)][1])
+    texts = [" ".join(rnd.choices([f"Word{k}'s," for k in range(300)], k=2000)) for _ in range(5)]
+    for most in (96 << 20, 1 << 14):  # also with a memo that is full again and again
+        given.clear()
+        coder = bpe.ChunkEncoder(BPE, max_chunk_bytes=1 << 14, max_word_bytes=most)
+        assert coder.by_word and [coder.encode([t.encode()])[0] for t in texts] == [packed(library_ids(t)) for t in texts]
+        assert most < 1 << 20 or sum(map(len, given)) < 0.1 * sum(map(len, texts))
+
+
+def test_words_apart_are_the_library():
+    rnd, own = random.Random(9), Tokenizer.from_file(BPE)
+    odd = [*" \t\n\r\v\f\x1c\x85\xa0\u2003\u200b\u0301\u0338\u1100\u1161<=|>'sSΣİßéÉﬁ漢9½🙂\0", "e\u0301", "<|endoftext|>", "<|startoftext|>", "'re", "don't", "ΣΑΣ", "the "]
+    texts = ["".join(rnd.choices(odd, k=rnd.randint(0, 60))) for _ in range(3000)]
+    want = [packed(x.ids) for x in own.encode_batch(texts, add_special_tokens=False)]
+    assert bpe.ChunkEncoder(BPE).encode([t.encode() for t in texts]) == want
+    assert not bpe.ChunkEncoder(tokenizers_files.path("byte_bpe_50k.json")).by_word
+    told = json.loads(own.to_str())
+    for change in ({"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": None}, {"added_tokens": [{"content": "a b", "lstrip": False, "rstrip": False, "single_word": False}]}):
+        assert bpe.apart_at_blanks(json.dumps(told)) and not bpe.apart_at_blanks(json.dumps(told | change))
+
+
 @pytest.mark.parametrize("sizes", [[], [0], [1, 5, 0, 700, 300, 300]])
 def test_range_coder_round_trip(sizes):
     rng = np.random.default_rng(0)
